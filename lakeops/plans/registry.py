@@ -83,3 +83,82 @@ ORDER BY total_orders DESC, country NULLS FIRST
 """)
 def q_orders_by_country(spark, d):
     return reports.orders_by_country(td.dim_orders(spark, d), td.dim_customers(spark, d))
+
+
+# --------------------------------------------------------------------------
+# M1-M4 medallion over events (day = match, user = team, props = player)
+# --------------------------------------------------------------------------
+from . import medallion  # noqa: E402
+
+_SRC_SQL = """
+SELECT CAST(event_id AS VARCHAR) AS event_id,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS match_id,
+       CAST(user_id AS VARCHAR) AS team,
+       props AS player,
+       event_type,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_ts
+FROM events
+"""
+
+_SILVER_SQL = f"""
+SELECT DISTINCT match_id, team, event_type, COALESCE(event_ts, TIMESTAMP '2024-02-01 00:00:00') AS "timestamp"
+FROM ({_SRC_SQL}) src WHERE event_type IS NOT NULL
+"""
+AS_OF = "2024-02-01 00:00:00"
+EVENT_PATTERNS = {"total_clicks": "%click%", "total_errors": "%error%", "total_ups": "%up%"}
+
+
+def _bronze(spark, d):
+    return medallion.bronze(td.match_events(spark, d))
+
+
+def _silver(spark, d):
+    return medallion.silver(_bronze(spark, d), as_of=AS_OF)
+
+
+@register("bronze_events", f"""
+SELECT event_id, match_id, team, player, event_type, event_ts AS "timestamp" FROM ({_SRC_SQL}) s
+""")
+def q_bronze_events(spark, d):
+    return _bronze(spark, d)
+
+
+@register("silver_events", _SILVER_SQL)
+def q_silver_events(spark, d):
+    return _silver(spark, d)
+
+
+@register("gold_stats", f"""
+SELECT team,
+       COUNT(*) FILTER (WHERE event_type ILIKE '%goal%') AS total_goals,
+       COUNT(*) FILTER (WHERE event_type ILIKE '%foul%') AS total_fouls,
+       COUNT(*) FILTER (WHERE event_type ILIKE '%shot%') AS total_shots
+FROM ({_SILVER_SQL}) s GROUP BY team
+""")
+def q_gold_stats(spark, d):
+    return medallion.gold(_silver(spark, d))
+
+
+@register("gold_event_counts", f"""
+SELECT team,
+       COUNT(*) FILTER (WHERE event_type ILIKE '%click%') AS total_clicks,
+       COUNT(*) FILTER (WHERE event_type ILIKE '%error%') AS total_errors,
+       COUNT(*) FILTER (WHERE event_type ILIKE '%up%') AS total_ups
+FROM ({_SILVER_SQL}) s GROUP BY team
+""")
+def q_gold_event_counts(spark, d):
+    return medallion.gold(_silver(spark, d), EVENT_PATTERNS)
+
+
+@register("layer_counts", f"""
+SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM events
+UNION ALL
+SELECT 'silver' AS layer, COUNT(*) AS row_count FROM ({_SILVER_SQL}) s
+UNION ALL
+SELECT 'gold' AS layer, COUNT(*) AS row_count
+FROM (SELECT team FROM ({_SILVER_SQL}) s2 GROUP BY team) g
+""")
+def q_layer_counts(spark, d):
+    b = _bronze(spark, d)
+    s = medallion.silver(b, as_of=AS_OF)
+    return medallion.layer_counts(b, s, medallion.gold(s))

@@ -1,0 +1 @@
+"""Writers K1-K8."""

@@ -162,3 +162,142 @@ def q_layer_counts(spark, d):
     b = _bronze(spark, d)
     s = medallion.silver(b, as_of=AS_OF)
     return medallion.layer_counts(b, s, medallion.gold(s))
+
+
+# --------------------------------------------------------------------------
+# L1-L7, L10 ticket log over events (signup/purchase = CREATE, error = DELETE,
+# click/view = validation requests, user id = ticket id, 7-day tickets)
+# --------------------------------------------------------------------------
+from . import tickets  # noqa: E402
+
+TICKET_TTL = "7 days"
+STATE_AS_OF = "2024-01-16 00:00:00"   # tickets = replay of the log before this time
+SWEEP_AS_OF = "2024-01-21 12:00:00"
+
+_LOG_SQL = """
+SELECT event_id AS lsn,
+       CASE WHEN event_type IN ('signup', 'purchase') THEN 'CREATE'
+            WHEN event_type = 'error' THEN 'DELETE' ELSE upper(event_type) END AS op,
+       CAST(user_id AS VARCHAR) AS ticket_id,
+       'passenger ' || CAST(user_id AS VARCHAR) AS passenger_name,
+       ts AS created_at, ts + INTERVAL 7 DAY AS expires_at
+FROM events
+"""
+_TICKETS_SQL = f"""
+SELECT ticket_id, passenger_name, created_at, expires_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY lsn DESC) AS rn
+  FROM ({_LOG_SQL}) lg
+  WHERE op IN ('CREATE', 'DELETE') AND length(ticket_id) > 0
+    AND created_at < TIMESTAMP '{STATE_AS_OF}') x
+WHERE rn = 1 AND op = 'CREATE'
+"""
+_REQ_SQL = """
+SELECT event_id AS request_id, CAST(user_id AS VARCHAR) AS ticket_id, ts
+FROM events WHERE event_type IN ('click', 'view')
+"""
+_JOINED_SQL = f"""
+SELECT r.request_id, r.ticket_id, r.ts, t.passenger_name AS tn, t.expires_at AS te,
+       CASE WHEN t.created_at IS NULL OR t.created_at > r.ts THEN 'not_found'
+            WHEN r.ts <= t.expires_at THEN 'valid' ELSE 'expired' END AS status
+FROM ({_REQ_SQL}) r LEFT JOIN ({_TICKETS_SQL}) t ON r.ticket_id = t.ticket_id
+"""
+
+
+def _finish_sql(src: str, status: str = "status") -> str:
+    return f"""
+SELECT request_id, ticket_id, ts, {status} AS status,
+       CASE WHEN {status} = 'valid' THEN tn END AS passenger_name,
+       CASE WHEN {status} = 'valid' THEN te END AS expires_at
+FROM ({src}) v
+"""
+
+
+def _swept_sql(trigger: str) -> str:
+    prev = f"""
+SELECT *, MAX({trigger}) OVER (ORDER BY ts, request_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+FROM ({_JOINED_SQL}) j
+"""
+    return _finish_sql(prev, "CASE WHEN status = 'expired' AND prev > te THEN 'not_found' "
+                             "ELSE status END")
+
+
+def _tickets(spark, d):
+    log = td.ticket_log(spark, d, TICKET_TTL)
+    return tickets.replay(log.where(F.col("created_at") < F.lit(STATE_AS_OF).cast("timestamp_ntz")))
+
+
+@register("ticket_replay", _TICKETS_SQL)
+def q_ticket_replay(spark, d):
+    return _tickets(spark, d)
+
+
+@register("expiry_sweep", f"""
+SELECT 'DELETE' AS op, ticket_id FROM ({_TICKETS_SQL}) t
+WHERE expires_at < TIMESTAMP '{SWEEP_AS_OF}'
+""")
+def q_expiry_sweep(spark, d):
+    deletes, _ = tickets.expiry_sweep(_tickets(spark, d), SWEEP_AS_OF)
+    return deletes
+
+
+@register("tickets_after_sweep", f"""
+SELECT * FROM ({_TICKETS_SQL}) t WHERE expires_at >= TIMESTAMP '{SWEEP_AS_OF}'
+""")
+def q_tickets_after_sweep(spark, d):
+    _, remaining = tickets.expiry_sweep(_tickets(spark, d), SWEEP_AS_OF)
+    return remaining
+
+
+@register("validate", _finish_sql(_JOINED_SQL))
+def q_validate(spark, d):
+    return tickets.validate(_tickets(spark, d), td.ticket_requests(spark, d))
+
+
+@register("validate_swept", _swept_sql("CASE WHEN status = 'valid' THEN ts END"))
+def q_validate_swept(spark, d):
+    return tickets.validate_swept(_tickets(spark, d), td.ticket_requests(spark, d), "valid")
+
+
+@register("validate_swept_all", _swept_sql("ts"))
+def q_validate_swept_all(spark, d):
+    return tickets.validate_swept(_tickets(spark, d), td.ticket_requests(spark, d), "all")
+
+
+@register("validation_log", f"""
+SELECT tn AS passenger_name, ticket_id,
+       strftime(ts, '%Y-%m-%d %H:%M:%S')
+       || CASE WHEN strftime(ts, '%f') = '000000' THEN '' ELSE '.' || strftime(ts, '%f') END
+       || '+00:00' AS validated_at
+FROM ({_JOINED_SQL}) j WHERE status = 'valid'
+""")
+def q_validation_log(spark, d):
+    v = tickets.validate(_tickets(spark, d), td.ticket_requests(spark, d))
+    return tickets.parse_validation_lines(tickets.validation_lines(v))
+
+
+@register("ticket_lookup", f"""
+SELECT q.ticket_id, CASE WHEN t.ticket_id IS NULL THEN 'not_found' ELSE 'found' END AS status,
+       t.passenger_name, t.created_at, t.expires_at
+FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticket_id FROM events) q
+LEFT JOIN ({_TICKETS_SQL}) t ON q.ticket_id = t.ticket_id
+""")
+def q_ticket_lookup(spark, d):
+    ids = td.table(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("ticket_id")).distinct()
+    return tickets.lookup(_tickets(spark, d), ids)
+
+
+@register("issue_tickets", """
+SELECT 'CREATE' AS op, sha256(CAST(event_id AS VARCHAR)) AS ticket_id,
+       'passenger ' || CAST(user_id AS VARCHAR) AS passenger_name,
+       ts AS created_at, ts + INTERVAL 1 HOUR AS expires_at
+FROM events WHERE event_type = 'purchase'
+""")
+def q_issue_tickets(spark, d):
+    pays = (td.table(spark, d, "events").where(F.col("event_type") == "purchase")
+            .select("event_id",
+                    F.concat(F.lit("passenger "), F.col("user_id").cast("string"))
+                    .alias("passenger_name"),
+                    F.col("ts").alias("paid_at")))
+    return tickets.issue_tickets(pays, key_cols=["event_id"])

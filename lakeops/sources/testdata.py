@@ -89,7 +89,7 @@ def ticket_log(spark: SparkSession, sf_dir: str, ttl: str = "7 days") -> DataFra
     Other event types are carried with their own op name and ignored by the
     replay, like unknown ops in a real log."""
     e = table(spark, sf_dir, "events")
-    ts = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")
+    ts = F.col("ts")
     op = (F.when(F.col("event_type").isin(*CREATE_TYPES), F.lit("CREATE"))
           .when(F.col("event_type").isin(*DELETE_TYPES), F.lit("DELETE"))
           .otherwise(F.upper("event_type")))
@@ -106,4 +106,4 @@ def ticket_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (e.where(F.col("event_type").isin(*REQUEST_TYPES))
             .select(F.col("event_id").alias("request_id"),
                     F.col("user_id").cast("string").alias("ticket_id"),
-                    F.col("ts").cast("timestamp").alias("ts")))
+                    F.col("ts").alias("ts")))

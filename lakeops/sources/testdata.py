@@ -107,3 +107,27 @@ def ticket_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("event_id").alias("request_id"),
                     F.col("user_id").cast("string").alias("ticket_id"),
                     F.col("ts").alias("ts")))
+
+
+def order_messages(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """events as an order topic: offset = event_id, one order id per user
+    and day (so ids repeat), item = event type. The quantity token varies
+    with the event type to exercise typed coercion: a JSON number (value)
+    for most events, a numeric string for signups, a non-numeric string
+    for errors (rejected)."""
+    e = table(spark, sf_dir, "events")
+    if where is not None:
+        e = e.where(where)
+    k = F.get_json_object("props", "$.k")
+    qty = (F.when(F.col("event_type") == "error", F.concat(F.lit('"'), k, F.lit('x"')))
+           .when(F.col("event_type") == "signup", F.concat(F.lit('"'), k, F.lit('"')))
+           .otherwise(F.col("value").cast("string")))
+    value = F.format_string('{"order_id": "%s", "user": "%s", "item": "%s", "quantity": %s}',
+                            order_id_col(), F.concat(F.lit("user"), F.col("user_id").cast("string")),
+                            F.col("event_type"), qty)
+    return e.select(F.col("event_id").alias("offset"), value.alias("value"))
+
+
+def order_id_col():
+    return F.concat(F.lit("order-"), F.col("user_id").cast("string"), F.lit("-"),
+                    F.col("ts").cast("date").cast("string"))

@@ -38,11 +38,13 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A directory of JSON-lines files as a message stream (``value``)."""
+    """A directory of JSON-lines files as a message stream (``value``, and
+    ``_file``, the source file, used for first-wins order)."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path)
+    return r.load(path).select("value", F.col("_metadata.file_path").alias("_file"),
+                               F.col("_metadata.file_block_start").alias("_start"))
 
 
 def _with_order(batch: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -50,9 +52,12 @@ def _with_order(batch: DataFrame) -> tuple[DataFrame, list[str]]:
         return batch, ["partition", "offset"]
     # file source: file name, then row position (row ids grow with the
     # split order inside a batch); names must sort in arrival order
-    ordered = batch.select("value", F.col("_metadata.file_path").alias("_file"),
+    # (split order is by size, so the split start is part of the key)
+    file_col = F.col("_file") if "_file" in batch.columns else F.lit("")
+    start_col = F.col("_start") if "_start" in batch.columns else F.lit(0).cast("bigint")
+    ordered = batch.select("value", file_col.alias("_file"), start_col.alias("_start"),
                            F.monotonically_increasing_id().alias("_row"))
-    return ordered, ["_file", "_row"]
+    return ordered, ["_file", "_start", "_row"]
 
 
 def process_batch(batch: DataFrame, epoch_id: int, target: str, quarantine: str,

@@ -1,0 +1,19 @@
+"""Parallelism helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a frame that arrives in fewer partitions than the cluster
+    has cores, before CPU-heavy per-row work (JSON decode, regex, parsing).
+
+    A large input already has many splits, so this is a no-op at scale; it
+    only helps small, unsplittable inputs (one file, one row group) use more
+    than one core. Checking the partition count plans the scan; it runs no job.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import sized_broadcast
 from ..operators.topk import top_k
 
 
@@ -34,17 +33,18 @@ def avg_sales(items: DataFrame, column: str = "line_item_sales") -> DataFrame:
     return items.agg(F.avg(column).alias("average_line_item_sales"))
 
 
-def top_products(products: DataFrame, items: DataFrame, n: int = 10,
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def top_products(products: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     """Top-n product *names* by quantity sold.
 
     Products sharing a name merge (grouping is by name); products never sold
     do not appear (inner join). Ties are broken by name so results are stable.
+    The product side is broadcast only when Catalyst's size check (file
+    statistics, re-checked by AQE on the runtime size) allows it; otherwise
+    the per-product sums and the products meet in a sort-merge join.
     """
     per_product = (items.groupBy("product_id")
                    .agg(F.sum("quantity").alias("qty")))
-    names = sized_broadcast(products.select("product_id", "product_name"),
-                            max_broadcast_rows)
+    names = products.select("product_id", "product_name")
     by_name = (per_product.join(names, "product_id")
                .groupBy("product_name")
                .agg(F.sum("qty").alias("total_quantity_sold")))

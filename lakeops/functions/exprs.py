@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_of_lit", "null_default", "ilike", "flag_to_int", "is_expired",
     "plus_interval", "parse_iso", "format_iso", "json_struct", "json_field",
-    "json_object_shape", "stable_id", "coerce_int", "col_",
+    "json_object_shape", "stable_id", "coerce_int", "col_", "epoch_micros",
 ]
 
 
@@ -29,7 +29,7 @@ def as_of_lit(as_of, ntz: bool = False) -> Column:
         return F.lit(as_of).cast("timestamp_ntz" if ntz else "timestamp")
     if isinstance(as_of, _dt.datetime):
         if ntz:
-            return F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+            return F.lit(as_of.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
         return F.lit(as_of).cast("timestamp")
     return as_of
 
@@ -98,3 +98,18 @@ def coerce_int(c) -> Column:
     column: 2.5 -> 3 (half away from zero), "7" -> 7, "abc" -> NULL.
     Caller treats NULL-from-non-NULL as a rejected row."""
     return F.round(col_(c).try_cast("decimal(38,6)")).try_cast("int")
+
+
+def epoch_micros(c, ntz: bool) -> Column:
+    """Microseconds since 1970-01-01 as a long. For ``timestamp_ntz`` it is
+    computed from the date and the time of day, so the session time zone
+    (and its DST gaps) never enters; for ``timestamp`` it is ``unix_micros``."""
+    c = col_(c)
+    if not ntz:
+        return F.unix_micros(c)
+    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.extract(F.lit("SECOND"), c)                      # decimal(8,6), with micros
+    return (days * F.lit(86_400_000_000)
+            + F.hour(c).cast("long") * F.lit(3_600_000_000)
+            + F.minute(c).cast("long") * F.lit(60_000_000)
+            + (secs * F.lit(1_000_000)).cast("long"))

@@ -56,10 +56,14 @@ def _choice(values: list[str], seed, tag, id_col="id") -> Column:
     return F.element_at(arr, _int_between(seed, tag, 1, len(values), id_col))
 
 
+def _ts_lit(t: _dt.datetime) -> Column:
+    """A wall-clock literal that no time zone shifts."""
+    return F.lit(t.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _past_ts(as_of: _dt.datetime, days: int, seed, tag, id_col="id") -> Column:
     secs = F.floor(_u(seed, tag, id_col) * (days * 86400 + 1)).cast("long")
-    return F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0),
-                                                                  F.lit(0), secs)
+    return _ts_lit(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def _as_of(as_of) -> _dt.datetime:
@@ -149,7 +153,7 @@ def order_items(spark: SparkSession, n: int, n_orders: int, n_products: int, see
         q.alias("quantity"),
         price.alias("unit_price_paid"),
         F.round(q * price.cast("double") * noise, 2).cast("decimal(12,2)").alias("line_item_sales"),
-        F.lit(t0).cast("timestamp_ntz").alias("created_at"))
+        _ts_lit(t0).alias("created_at"))
 
 
 def shipments(items: DataFrame, seed: int = 42, as_of=None, fraction_den: int = 3,
@@ -172,7 +176,7 @@ def shipments(items: DataFrame, seed: int = 42, as_of=None, fraction_den: int =
         F.date_add(pickup, _int_between(seed, "days", 1, 7)).alias("delivery_date"),
         (_u(seed, "ontime") < 0.9).alias("on_time_delivery"),
         (_u(seed, "damage") < 0.01).alias("damage_reported"),
-        F.lit(t0).cast("timestamp_ntz").alias("created_at"))
+        _ts_lit(t0).alias("created_at"))
 
 
 def star(spark: SparkSession, sizes: dict | None = None, seed: int = 42, as_of=None) -> dict:

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_of_lit, is_expired, parse_iso, plus_interval, stable_id
+from ..functions.exprs import (as_of_lit, epoch_micros, is_expired, parse_iso, plus_interval,
+                               stable_id)
 from ..operators.dedup import last_per_key
 from ..operators.scan import exclusive_running_max
 from ..sinks.logs import validation_line
@@ -125,12 +126,13 @@ def validate_swept(tickets: DataFrame, requests: DataFrame, sweep_on: str = "val
     if sweep_on not in ("valid", "all"):
         raise ValueError("sweep_on must be 'valid' or 'all'")
     r = _base_status(_join_tickets(requests, tickets))
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    types = dict(r.dtypes)
+    micros = epoch_micros("ts", types["ts"] == "timestamp_ntz")
     trig = micros if sweep_on == "all" else F.when(F.col("status") == "valid", micros)
     r = r.withColumn("_trig", trig)
     r = exclusive_running_max(r, ["ts", "request_id"], "_trig", "_prev", num_partitions)
-    swept = ((F.col("status") == "expired")
-             & (F.col("_prev") > F.unix_micros(F.col("_t_expires").cast("timestamp"))))
+    expires = epoch_micros("_t_expires", types["_t_expires"] == "timestamp_ntz")
+    swept = (F.col("status") == "expired") & (F.col("_prev") > expires)
     r = r.withColumn("status", F.when(swept, F.lit("not_found")).otherwise(F.col("status")))
     return _finish(r)
 

@@ -9,8 +9,10 @@ the new records plus the state, not the whole log history.
 The stored state keeps DELETE tombstones (the winning record per ticket,
 whatever its op), so a late or replayed file cannot revive a deleted ticket
 with an older CREATE. Readers see only CREATE rows (``current_tickets``).
-A retried batch re-derives its version from the version before it, so the
-retry overwrites its own output and nothing else.
+Each batch writes version ``latest committed + 1``. Folding is idempotent
+(the last record per ticket by lsn), so a retried batch writes a version
+with the same content; an attempt that died before its commit leaves an
+uncommitted folder that the next attempt overwrites. One writer per base.
 """
 
 from __future__ import annotations
@@ -57,9 +59,10 @@ def fold(state: DataFrame, records: DataFrame) -> DataFrame:
 def _sync_batch(batch: DataFrame, epoch_id: int, base: str) -> None:
     spark = batch.sparkSession
     records = parse_records(batch, schemas.LOG_RECORD, explicit_lsn=True)
-    version = int(epoch_id) + 1                       # version 0 = start-up sync
-    prev = read_state(spark, base, below=version)
-    snapshot.write_snapshot(fold(prev, records), base, version=version)
+    last = snapshot.latest_version(spark, base)
+    prev = read_state(spark, base)
+    snapshot.write_snapshot(fold(prev, records), base,
+                            version=0 if last is None else last + 1)
 
 
 def start_sync(spark: SparkSession, log_dir: str, base: str, checkpoint: str | None = None,

@@ -2,8 +2,8 @@
 
 Broadcasting is only ever decided behind a size check: either Catalyst's own
 (``autoBroadcastJoinThreshold`` on file statistics, re-checked by AQE with
-runtime sizes) or ``sized_broadcast``'s bounded row count. Beyond the bound
-the join stays a shuffle (sort-merge) join.
+runtime sizes) or ``fits``'s bounded row count. Beyond the bound the join
+stays a shuffle (sort-merge) join.
 """
 
 from __future__ import annotations
@@ -14,17 +14,32 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limit job stops early),
-    so it is cheap even when the side turns out to be large.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads at most
+    ``max_rows + 1`` rows (a limit job stops early), so the check stays
+    cheap when the frame turns out to be large."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def anti_join(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``existing`` (null keys never
-    match, as in SQL NOT EXISTS on equality)."""
-    return new.join(existing.select(*keys), on=keys, how="left_anti")
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when the side has at most ``max_rows`` rows."""
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def anti_join(new: DataFrame, existing: DataFrame, keys: list[str],
+              max_probe_rows: int | None = None) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``existing`` (NULL keys never
+    match, as in SQL NOT EXISTS on equality).
+
+    A left anti join can only broadcast its right side, so a huge
+    ``existing`` (all history) would be shuffled for every small batch. With
+    ``max_probe_rows``, when ``new`` has at most that many rows its keys are
+    broadcast into a semi-join that *scans* ``existing`` without shuffling
+    it; the few keys found are then anti-joined. Above the bound the plain
+    shuffle anti join is used."""
+    ex = existing.select(*keys)
+    if max_probe_rows and fits(new, max_probe_rows):
+        probe = F.broadcast(new.select(*keys).distinct())
+        hits = ex.join(probe, keys, "left_semi")
+        return new.join(hits, keys, "left_anti")
+    return new.join(ex, keys, "left_anti")

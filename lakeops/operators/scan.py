@@ -8,16 +8,25 @@ one task. This scan instead
 1. range-partitions on the (unique) order key, so partitions are balanced
    even when one timestamp holds a third of the rows,
 2. takes the running max inside each sorted partition (vectorised numpy in
-   ``mapInPandas``; one pass, no extra shuffle),
-3. takes each partition's max (partial aggregate; one row per partition),
-   carries it forward over the at most ``num_partitions`` segments, and
-4. joins the carry back by broadcast (bounded by the partition count).
+   ``mapInPandas``; one pass in the same stage as the shuffle read),
+3. takes each partition's max (a partial aggregate over the scan output,
+   keyed by partition index), carries it forward over the
+   ``num_partitions`` segments, and
+4. joins the carry back by partition index (broadcast; at most
+   ``num_partitions`` rows, a proven bound).
+
+Both readers of the scan output sit on the same range exchange, which Spark
+reuses (``ReusedExchange``): the upstream and the shuffle run once, only the
+cheap numpy pass runs twice. Partition indexes agree between the readers
+because an exchange with an explicit partition count is never coalesced or
+split by AQE.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,26 +38,23 @@ def exclusive_running_max(df: DataFrame, order_cols: list[str], value_col: str,
                           out_col: str, num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = max(``value_col``) over rows ordered strictly before
     this one by ``order_cols`` (which must be unique). ``value_col`` is a
-    nullable long; NULL values are skipped; no earlier value gives NULL."""
+    nullable long (exact up to 2^53 in the Arrow hand-off, e.g. epoch
+    microseconds); NULL values are skipped; no earlier value gives NULL."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seg_cols = [f"_seg_{c}" for c in order_cols]
-    local_col = "_local_prev"
-    out_schema = T.StructType(
-        df.schema.fields
-        + [T.StructField(local_col, T.LongType(), True)]
-        + [T.StructField(s, df.schema[c].dataType, True) for s, c in zip(seg_cols, order_cols)])
+    local_col, pid_col = "_local_prev", "_scan_pid"
+    out_schema = T.StructType(df.schema.fields + [
+        T.StructField(local_col, T.LongType(), True),
+        T.StructField(pid_col, T.IntegerType(), False)])
 
     def scan(batches):
+        pid = TaskContext.get().partitionId()
         carry = _NONE
-        first = None
         for pdf in batches:
             if pdf.empty:
                 continue
-            if first is None:
-                first = [pdf[c].iloc[0] for c in order_cols]
             v = pdf[value_col].to_numpy(dtype="float64", na_value=np.nan)
-            vi = np.where(np.isnan(v), _NONE, pdf[value_col].fillna(0).to_numpy(dtype="int64"))
+            vi = np.where(np.isnan(v), _NONE, np.nan_to_num(v).astype("int64"))
             inclusive = np.maximum.accumulate(np.maximum(vi, carry))
             prev = np.empty_like(inclusive)
             prev[0] = carry
@@ -56,17 +62,17 @@ def exclusive_running_max(df: DataFrame, order_cols: list[str], value_col: str,
             carry = int(inclusive[-1])
             out = pdf.copy()
             out[local_col] = pd.array(np.where(prev == _NONE, None, prev), dtype="Int64")
-            for s, val in zip(seg_cols, first):
-                out[s] = val
+            out[pid_col] = np.int32(pid)
             yield out
 
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    scanned = ranged.mapInPandas(scan, out_schema)
+    ranged = df.repartitionByRange(n, *order_cols)
+    scanned = ranged.sortWithinPartitions(*order_cols).mapInPandas(scan, out_schema)
 
-    seg = scanned.groupBy(*seg_cols).agg(F.max(value_col).alias("_seg_max"))
-    w = Window.orderBy(*seg_cols).rowsBetween(Window.unboundedPreceding, -1)
-    carry = seg.select(*seg_cols, F.max("_seg_max").over(w).alias("_carry"))
-    # at most num_partitions rows: a proven bound for the broadcast
-    joined = scanned.join(F.broadcast(carry), seg_cols, "left")
+    # reads ``scanned`` (not ``ranged``): column pruning cannot cross the
+    # Python operator, so this branch reuses the very same exchange
+    seg = scanned.groupBy(pid_col).agg(F.max(value_col).alias("_seg_max"))
+    w = Window.orderBy(pid_col).rowsBetween(Window.unboundedPreceding, -1)
+    carry = seg.select(pid_col, F.max("_seg_max").over(w).alias("_carry"))
+    joined = scanned.join(F.broadcast(carry), pid_col, "left")
     return (joined.withColumn(out_col, F.greatest(F.col(local_col), F.col("_carry")))
-            .drop(local_col, "_carry", *seg_cols))
+            .drop(local_col, "_carry", pid_col))

@@ -39,18 +39,20 @@ def write_ctas(df: DataFrame, path: str | None = None, table: str | None = None,
 
 
 def rows_to_insert(new: DataFrame, existing: DataFrame, keys: list[str],
-                   order_by: list[str]) -> DataFrame:
+                   order_by: list[str], max_probe_rows: int | None = None) -> DataFrame:
     """K3 (batch): INSERT ... ON CONFLICT (keys) DO NOTHING.
 
     Among new rows the first by ``order_by`` wins per key (D2); a key already
     in ``existing`` wins over any new row (J3). Null keys are dropped, since a
-    NOT NULL unique key rejects them."""
+    NOT NULL unique key rejects them. ``max_probe_rows``: see
+    ``operators.joins.anti_join`` (probe a huge target without shuffling it)."""
     cand = new.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    return anti_join(first_per_key(cand, keys, order_by), existing, keys)
+    return anti_join(first_per_key(cand, keys, order_by), existing, keys, max_probe_rows)
 
 
 def insert_ignore(new: DataFrame, target_path: str, keys: list[str],
-                  order_by: list[str], fmt: str = "parquet") -> DataFrame:
+                  order_by: list[str], fmt: str = "parquet",
+                  max_probe_rows: int | None = 1_000_000) -> DataFrame:
     """K3 against a stored table: append only new keys and return them.
 
     With one writer a retried batch adds nothing the second time (the
@@ -60,7 +62,7 @@ def insert_ignore(new: DataFrame, target_path: str, keys: list[str],
         existing = spark.read.format(fmt).load(target_path)
     except Exception:  # noqa: BLE001 - first write: no target yet
         existing = None
-    add = rows_to_insert(new, existing, keys, order_by) if existing is not None \
+    add = rows_to_insert(new, existing, keys, order_by, max_probe_rows) if existing is not None \
         else first_per_key(new.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)),
                            keys, order_by)
     add = add.select(*new.columns)

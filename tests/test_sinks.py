@@ -83,3 +83,13 @@ def test_dedup_state_option(spark, tmp):
          .option("checkpointLocation", tmp + "/ck").trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert sorted(r.order_uuid for r in spark.table("dedup_state_t").collect()) == ["x", "y"]
+
+
+def test_anti_join_probe_and_shuffle_agree(spark):
+    from lakeops.operators.joins import anti_join
+    new = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 4)], "k string, v int")
+    old = spark.createDataFrame([("a",), ("zz",), (None,)], "k string")
+    want = [(None, 3), ("b", 2), ("c", 4)]
+    assert rows(anti_join(new, old, ["k"]), "k", "v") == sorted(want, key=repr)
+    assert rows(anti_join(new, old, ["k"], max_probe_rows=10), "k", "v") == sorted(want, key=repr)
+    assert rows(anti_join(new, old, ["k"], max_probe_rows=2), "k", "v") == sorted(want, key=repr)

@@ -533,3 +533,11 @@ def q_replica_sync(spark, d):
         if q.exception():
             raise q.exception()
     return replica_stream.current_tickets(spark, base)
+
+
+@register("medallion_run", ORACLE_SQL["layer_counts"])
+def q_medallion_run(spark, d):
+    """M1-M4 with the writes: bronze and silver by full refresh into fixed
+    schemas, gold by create-as-select, counts observed while writing."""
+    run = _run_dir(spark, "medallion")
+    return medallion.run(td.match_events(spark, d), run, as_of=AS_OF)

@@ -73,7 +73,7 @@ def run(source: DataFrame, target: str, as_of=None,
     """Run the three layers into ``target``/{bronze,silver,gold} and return the
     layer-count report. The bronze count is the number of rows read, observed
     while writing (no second scan); silver and gold count their written
-    tables, as the reference does."""
+    tables."""
     spark = source.sparkSession
     base = target.rstrip("/")
     obs = Observation("bronze")

@@ -1,6 +1,6 @@
 """Bench: headline jobs on $BENCH_SF_DIR (default /root/testdata/sf0.1) on
-local[$BENCH_CPUS]; warm median of $BENCH_RUNS runs after one warm-up per
-query. Each run executes the whole plan into Spark's no-op sink (nothing is
+local[$BENCH_CPUS]; every query runs once to warm the JVM, then each is
+timed $BENCH_RUNS times and the median is kept. Each run executes the whole plan into Spark's no-op sink (nothing is
 collected). Prints one JSON line."""
 
 from __future__ import annotations
@@ -35,16 +35,16 @@ def main() -> None:
     names = [n for n in HEADLINE if n in QUERIES]
     if len(sys.argv) > 1:
         names = [n for n in sys.argv[1:] if n in QUERIES]
+    def run(name: str) -> float:
+        t0 = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    for name in names:                       # warm-up pass
+        run(name)
     times: dict[str, float] = {}
     for name in names:
-        samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i:
-                samples.append(dt)
-        times[name] = round(statistics.median(samples), 4)
+        times[name] = round(statistics.median(run(name) for _ in range(runs)), 4)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_query_medians", "value": round(sum(times.values()), 4),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))

@@ -189,3 +189,17 @@ def star(spark: SparkSession, sizes: dict | None = None, seed: int = 42, as_of=N
     i = order_items(spark, z["order_items"], z["orders"], z["products"], seed, t0)
     return {"dim_customers": c, "dim_products": p, "dim_orders": o,
             "fact_order_items": i, "fact_shipments": shipments(i, seed, t0)}
+
+
+def write_star(spark: SparkSession, location: str, sizes: dict | None = None, seed: int = 42,
+               as_of=None) -> dict[str, int]:
+    """Generate and bulk-load (K4) the five tables under ``location/<table>``;
+    returns the row count of each written table (read back from storage)."""
+    from ..sinks.tables import bulk_load
+    tables = star(spark, sizes, seed, as_of)
+    counts = {}
+    for name, df in tables.items():
+        path = f"{location.rstrip('/')}/{name}"
+        bulk_load(df, path)
+        counts[name] = spark.read.parquet(path).count()
+    return counts

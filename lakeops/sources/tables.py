@@ -52,3 +52,26 @@ def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str],
                   .option("lowerBound", lower).option("upperBound", upper)
                   .option("numPartitions", num_partitions or 8))
     return reader.load().select(*columns)
+
+
+STAR_TABLES = ("dim_customers", "dim_products", "dim_orders", "fact_order_items",
+               "fact_shipments")
+
+
+def read_star(spark: SparkSession, location: str | None = None,
+              fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The five star-schema tables, cast to their declared schemas, from
+    ``location/<table>`` (or from the catalog when ``location`` is None).
+    CHAR(n) padding, if the source kept it, is trimmed from ``country``."""
+    from .. import schemas
+    out = {}
+    for name in STAR_TABLES:
+        if location is None:
+            df = spark.table(name)
+        else:
+            df = spark.read.format(fmt).load(f"{location.rstrip('/')}/{name}")
+        df = conform(df, schemas.STAR[name])
+        if name == "dim_customers":
+            df = df.withColumn("country", F.rtrim("country"))
+        out[name] = df
+    return out

@@ -77,11 +77,38 @@ def start_sync(spark: SparkSession, log_dir: str, base: str, checkpoint: str | N
             .queryName(query_name).start())
 
 
-def sync_now(spark: SparkSession, log_path: str, base: str) -> int:
+def sync_now(spark: SparkSession, log_path: str, base: str, explicit_lsn: bool = True) -> int:
     """L9 / start-up sync in batch form: replay the whole log, write a new
-    snapshot (empty when the log is missing) and return the ticket count."""
-    log = read_log(spark, log_path, explicit_lsn=True)
-    state = fold(spark.createDataFrame([], STATE_SCHEMA), log)
+    snapshot (empty when the log is missing) and return the ticket count.
+
+    ``explicit_lsn=False`` reads a log written elsewhere without an lsn
+    field (plain JSON lines, e.g. one growing file): line order comes from
+    file, split and row position. Such a snapshot is rebuilt by each call,
+    so it is not folded into by the stream."""
+    log = read_log(spark, log_path, explicit_lsn=explicit_lsn)
+    cols = ["ticket_id", "lsn", "op", "passenger_name", "created_at", "expires_at"]
+    state = tickets.replay(log.select(*cols), keep_tombstones=True).select(*cols)
     v = snapshot.write_snapshot(state, base)
     snap = spark.read.parquet(snapshot.version_path(base, v))
     return snap.where(F.col("op") == "CREATE").count()
+
+
+def log_signature(spark: SparkSession, log_path: str) -> tuple[int, int] | None:
+    """(modification time, length) of a log path, or None when absent."""
+    fs, p, _ = snapshot._fs(spark, log_path)
+    if not fs.exists(p):
+        return None
+    st = fs.getContentSummary(p)
+    return int(fs.getFileStatus(p).getModificationTime()), int(st.getLength())
+
+
+def sync_if_changed(spark: SparkSession, log_path: str, base: str, last_seen=None,
+                    explicit_lsn: bool = False):
+    """For a single growing log file (which a file stream reads only once):
+    replay it when its (mtime, length) changed since ``last_seen``; a log
+    that disappeared gives an empty snapshot. Returns (count or None when
+    unchanged, signature to pass next time). Call it from any scheduler."""
+    sig = log_signature(spark, log_path)
+    if sig == last_seen and last_seen is not None:
+        return None, sig
+    return sync_now(spark, log_path, base, explicit_lsn=explicit_lsn), sig

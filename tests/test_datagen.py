@@ -46,3 +46,23 @@ def test_sample_exact_matches_brute_force(spark, n):
     h = df.select("k", F.xxhash64("k", F.lit(5)).alias("h")).collect()
     want = sorted(k for _, k in sorted((r.h, r.k) for r in h)[:n])
     assert got == want
+
+
+def test_generated_star_feeds_reports_and_audit(spark, tmp):
+    from lakeops.operators import quality
+    from lakeops.plans import reports
+    from lakeops.sources.tables import read_star
+    z = {"customers": 200, "products": 30, "orders": 1000, "order_items": 3000}
+    counts = datagen.write_star(spark, tmp + "/star", z, seed=1, as_of=AS_OF)
+    assert counts["fact_shipments"] == 1000
+    t = read_star(spark, tmp + "/star")
+    rc = {r.table_name: r.row_count for r in reports.row_counts(
+        {"dim_customers": t["dim_customers"], "fact_order_items": t["fact_order_items"]}).collect()}
+    assert rc == {"dim_customers": 200, "fact_order_items": 3000}
+    assert reports.top_products(t["dim_products"], t["fact_order_items"], 10).count() == 10
+    by_country = reports.orders_by_country(t["dim_orders"], t["dim_customers"]).collect()
+    assert sum(r.total_orders for r in by_country) == 1000
+    s = reports.shipment_stats(t["fact_shipments"]).collect()[0]
+    assert 5 <= float(s.min_cost) <= float(s.avg_cost) <= float(s.max_cost) <= 50
+    bad = [r for r in quality.audit(t).collect() if r.violations]
+    assert bad == []

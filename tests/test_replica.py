@@ -51,3 +51,25 @@ def test_sync_now(spark, tmp):
     put(tmp + "/wal", "0001.log", [rec(1, 0, "CREATE", "a", "Ann"), rec(1, 1, "DELETE", "a"),
                                    rec(1, 2, "CREATE", "b", "Bob")])
     assert replica.sync_now(spark, tmp + "/wal", base) == 1
+
+
+def test_foreign_log_without_lsn_and_change_detection(spark, tmp):
+    import time
+    log = tmp + "/wal.log"
+    plain = [json.dumps({"op": "CREATE", "ticket_id": t, "passenger_name": t.upper(),
+                         "created_at": "2024-01-01T10:00:00+00:00",
+                         "expires_at": "2024-01-01T11:00:00+00:00"}) for t in ("a", "b")]
+    with open(log, "w") as f:
+        f.write("\n".join(plain) + "\n")
+    n, sig = replica.sync_if_changed(spark, log, tmp + "/snap")
+    assert n == 2
+    assert replica.sync_if_changed(spark, log, tmp + "/snap", sig)[0] is None
+    time.sleep(1.1)
+    with open(log, "a") as f:
+        f.write(json.dumps({"op": "DELETE", "ticket_id": "a"}) + "\n")
+    n, sig = replica.sync_if_changed(spark, log, tmp + "/snap", sig)
+    assert n == 1
+    assert [r.ticket_id for r in replica.current_tickets(spark, tmp + "/snap").collect()] == ["b"]
+    os.remove(log)
+    n, _ = replica.sync_if_changed(spark, log, tmp + "/snap", sig)
+    assert n == 0

@@ -44,18 +44,22 @@ def get_spark(master: str | None = None, app_name: str = "lakeops",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it; a local test session without one gets a fresh
-    scratch folder (never used when the setting exists).
+    The cluster sets it; ``DataFrame.checkpoint`` uses it too. Only a local
+    test session without the setting gets a fresh scratch folder.
     """
-    d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    conf = sc.getConf().get("spark.checkpoint.dir", None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(conf)
+        return conf
+    d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="lakeops-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    d = tempfile.mkdtemp(prefix="lakeops-ckpt-")
+    sc.setCheckpointDir(d)
+    return d
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

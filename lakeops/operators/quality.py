@@ -3,8 +3,11 @@
 Every check returns rows ``(table_name, rule, column_name, violations)``.
 NOT NULL and VARCHAR(n) are one pass with ``count_if`` per column; UNIQUE
 is a grouped count (partial aggregate, so a hot key costs one row per task);
-FOREIGN KEY first counts child rows per key value, then anti-joins the
-distinct values against the parent keys, so the join sees one row per value.
+FOREIGN KEY is written as a count per key value anti-joined with the parent
+keys. Catalyst is free to push the anti join below the count (it does when
+the parent side broadcasts: a shuffle-free streaming anti join); as a
+sort-merge anti join a hot key on the child side is split by AQE's skew
+handling.
 """
 
 from __future__ import annotations

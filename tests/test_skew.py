@@ -65,3 +65,42 @@ def test_hot_key_audits(spark):
     parent = spark.range(2, 3000).withColumnRenamed("id", "k")
     fk = quality.foreign_key(df, "t", ["k"], parent, ["k"]).collect()[0].violations
     assert fk == 1001          # every row with k = 1 (1000 hot rows + the row id 1)
+
+
+def test_hot_ticket_join_is_split_by_aqe(spark):
+    """validate's left join with one ticket id holding a third of the
+    requests: with broadcasts off and small skew thresholds, AQE marks the
+    sort-merge join skewed (the hot partition is split) and results stay exact."""
+    import datetime as dt
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        t0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+        st = spark.createDataFrame(
+            [(f"t{i}", f"N{i}", t0, t0 + dt.timedelta(hours=i % 5)) for i in range(200)],
+            "ticket_id string, passenger_name string, created_at timestamp, expires_at timestamp")
+        reqs = [(r, "t0" if r % 3 == 0 else f"t{r % 200}", t0 + dt.timedelta(minutes=r % 400))
+                for r in range(30000)]
+        rq = spark.createDataFrame(reqs, "request_id long, ticket_id string, ts timestamp")
+        out = tickets.validate(st, rq)
+        got = Counter(r.status for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        want = Counter()
+        for _, tid, ts in reqs:
+            i = int(tid[1:])
+            want["valid" if ts <= t0 + dt.timedelta(hours=i % 5) else "expired"] += 1
+        assert got == want
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -13,7 +13,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     only helps small, unsplittable inputs (one file, one row group) use more
     than one core. Checking the partition count plans the scan; it runs no job.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)

@@ -541,3 +541,13 @@ def q_medallion_run(spark, d):
     schemas, gold by create-as-select, counts observed while writing."""
     run = _run_dir(spark, "medallion")
     return medallion.run(td.match_events(spark, d), run, as_of=AS_OF)
+
+
+@register("json_decode", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+""")
+def q_json_decode(spark, d):
+    """P13 + P18: a field of a JSON text column, typed as an integer."""
+    from ..functions.exprs import coerce_int, json_field
+    e = td.table(spark, d, "events")
+    return e.select("event_id", coerce_int(json_field("props", "k")).alias("k"))

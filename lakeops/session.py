@@ -47,7 +47,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster sets it; ``DataFrame.checkpoint`` uses it too. Only a local
     test session without the setting gets a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the SQL conf is visible
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakeops-")
     conf = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if conf:

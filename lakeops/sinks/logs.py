@@ -3,7 +3,7 @@ lines (K7), topic publish (K8)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -58,7 +58,10 @@ def kafka_options(bootstrap: str, topic: str, extra: dict | None = None) -> dict
     return opts
 
 
-def publish(df: DataFrame, bootstrap: str, topic: str, columns: list[str] | None = None) -> None:
-    """K8: publish each row as a JSON value. Needs the Kafka connector."""
-    to_message_value(df, columns).write.format("kafka") \
-        .options(**kafka_options(bootstrap, topic)).save()
+def publish(df: DataFrame, bootstrap: str, topic: str, columns: list[str] | None = None) -> int:
+    """K8: publish each row as a JSON value (no key) and return how many
+    were sent, observed during the write. Needs the Kafka connector."""
+    obs = Observation("published")
+    out = to_message_value(df, columns).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out.write.format("kafka").options(**kafka_options(bootstrap, topic)).save()
+    return int(obs.get["rows"])

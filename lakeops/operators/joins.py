@@ -27,7 +27,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -
 
 
 def anti_join(new: DataFrame, existing: DataFrame, keys: list[str],
-              max_probe_rows: int | None = None) -> DataFrame:
+              max_probe_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing`` (NULL keys never
     match, as in SQL NOT EXISTS on equality).
 
@@ -36,9 +36,12 @@ def anti_join(new: DataFrame, existing: DataFrame, keys: list[str],
     ``max_probe_rows``, when ``new`` has at most that many rows its keys are
     broadcast into a semi-join that *scans* ``existing`` without shuffling
     it; the few keys found are then anti-joined. Above the bound the plain
-    shuffle anti join is used."""
+    shuffle anti join is used. ``small`` passes a bound the caller already
+    knows (e.g. the row count of the batch), skipping the check."""
     ex = existing.select(*keys)
-    if max_probe_rows and fits(new, max_probe_rows):
+    if small is None:
+        small = bool(max_probe_rows) and fits(new, max_probe_rows)
+    if small:
         probe = F.broadcast(new.select(*keys).distinct())
         hits = ex.join(probe, keys, "left_semi")
         return new.join(hits, keys, "left_anti")

@@ -73,10 +73,12 @@ def orders_to_insert(messages: DataFrame, existing: DataFrame | None,
 
 def rows_to_insert_target(accepted: DataFrame, existing: DataFrame | None,
                           order_cols: list[str], as_of=None,
-                          max_probe_rows: int | None = 1_000_000) -> DataFrame:
+                          max_probe_rows: int | None = 1_000_000,
+                          small: bool | None = None) -> DataFrame:
     """K3 on already-decoded good rows (used per micro-batch). A batch of at
     most ``max_probe_rows`` order ids probes the stored target with a
     broadcast semi-join (the target is scanned, never shuffled)."""
     if existing is None:
         existing = accepted.limit(0).select(*KEY)
-    return to_target(rows_to_insert(accepted, existing, KEY, order_cols, max_probe_rows), as_of)
+    return to_target(rows_to_insert(accepted, existing, KEY, order_cols, max_probe_rows, small),
+                     as_of)

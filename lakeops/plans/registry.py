@@ -498,7 +498,7 @@ def q_order_stream(spark, d):
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-    return spark.read.parquet(target)
+    return orders_stream.read_target(spark, target)
 
 
 _ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"

@@ -39,7 +39,8 @@ def write_ctas(df: DataFrame, path: str | None = None, table: str | None = None,
 
 
 def rows_to_insert(new: DataFrame, existing: DataFrame, keys: list[str],
-                   order_by: list[str], max_probe_rows: int | None = None) -> DataFrame:
+                   order_by: list[str], max_probe_rows: int | None = None,
+                   small: bool | None = None) -> DataFrame:
     """K3 (batch): INSERT ... ON CONFLICT (keys) DO NOTHING.
 
     Among new rows the first by ``order_by`` wins per key (D2); a key already
@@ -47,7 +48,7 @@ def rows_to_insert(new: DataFrame, existing: DataFrame, keys: list[str],
     NOT NULL unique key rejects them. ``max_probe_rows``: see
     ``operators.joins.anti_join`` (probe a huge target without shuffling it)."""
     cand = new.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    return anti_join(first_per_key(cand, keys, order_by), existing, keys, max_probe_rows)
+    return anti_join(first_per_key(cand, keys, order_by), existing, keys, max_probe_rows, small)
 
 
 def insert_ignore(new: DataFrame, target_path: str, keys: list[str],

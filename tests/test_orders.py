@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from lakeops.plans import orders
 from lakeops.streaming import orders as stream
 from tests.conftest import rows
@@ -97,3 +99,20 @@ def test_stream_matches_python_loop(spark, tmp):
         run_once(spark, src, target, quar, ckpt)
     got = {r.order_uuid: r.item_name for r in spark.read.parquet(target).collect()}
     assert got == model
+
+
+def test_bucketed_target_prunes_and_flat_option(spark, tmp):
+    src = tmp + "/in"
+    write_batch(src, "f-0001.json", [msg(f"id{i}") for i in range(50)])
+    run_once(spark, src, tmp + "/o", tmp + "/q", tmp + "/ck")
+    t = spark.read.parquet(tmp + "/o")
+    assert stream.BUCKET_COL in t.columns and t.count() == 50
+    assert t.select(stream.BUCKET_COL).distinct().count() > 10
+    probe = t.where(F.col(stream.BUCKET_COL).isin([1, 2])).select("order_uuid")
+    assert "PartitionFilters: [order_bucket" in \
+        probe._jdf.queryExecution().executedPlan().toString()
+    q = stream.start_ingest(stream.file_source(spark, src), tmp + "/flat", tmp + "/q2",
+                            checkpoint=tmp + "/ck2", trigger={"availableNow": True}, buckets=None)
+    q.awaitTermination(120)
+    assert spark.read.parquet(tmp + "/flat").columns == [
+        "order_uuid", "username", "item_name", "quantity", "created_at"]

@@ -73,3 +73,15 @@ def test_foreign_log_without_lsn_and_change_detection(spark, tmp):
     os.remove(log)
     n, _ = replica.sync_if_changed(spark, log, tmp + "/snap", sig)
     assert n == 0
+
+
+def test_replayed_sync_batch_changes_nothing(spark, tmp):
+    base = tmp + "/rep"
+    lines = [rec(1, 0, "CREATE", "a", "Ann"), rec(1, 1, "CREATE", "b", "Bob"),
+             rec(1, 2, "DELETE", "a")]
+    batch = spark.createDataFrame([(x,) for x in lines], "value string")
+    replica._sync_batch(batch, 0, base)
+    first = rows(replica.current_tickets(spark, base))
+    replica._sync_batch(batch, 0, base)          # the same epoch again (retry)
+    assert rows(replica.current_tickets(spark, base)) == first == [
+        ("b", "Bob", "2024-01-01T10:00:00+00:00", "2024-01-01T11:00:00+00:00")]

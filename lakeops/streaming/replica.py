@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
+from ..operators.joins import fits
 from ..plans import tickets
 from ..session import shared_path
 from ..sinks import snapshot
@@ -49,11 +50,28 @@ def lookup(spark: SparkSession, base: str, ticket_ids: DataFrame) -> DataFrame:
     return tickets.lookup(current_tickets(spark, base), ticket_ids)
 
 
-def fold(state: DataFrame, records: DataFrame) -> DataFrame:
-    """New state = last record per ticket over (old state, new records)."""
-    cols = ["ticket_id", "lsn", "op", "passenger_name", "created_at", "expires_at"]
-    return tickets.replay(state.select(*cols).unionByName(records.select(*cols)),
-                          keep_tombstones=True).select(*cols)
+COLS = ["ticket_id", "lsn", "op", "passenger_name", "created_at", "expires_at"]
+MAX_PROBE_IDS = 1_000_000
+
+
+def fold(state: DataFrame, records: DataFrame,
+         max_probe_ids: int | None = MAX_PROBE_IDS) -> DataFrame:
+    """New state = last record per ticket over (old state, new records).
+
+    When the batch names at most ``max_probe_ids`` tickets (bounded count),
+    those ids are broadcast: state rows of other tickets pass through an
+    anti join untouched (no shuffle of the state), and only the touched
+    tickets' rows are re-folded with the new records. Otherwise the whole
+    union is folded."""
+    state, records = state.select(*COLS), records.select(*COLS)
+    ids = records.select("ticket_id").distinct()
+    if max_probe_ids and fits(ids, max_probe_ids):
+        probe = F.broadcast(ids)
+        untouched = state.join(probe, "ticket_id", "left_anti")
+        touched = state.join(probe, "ticket_id", "left_semi")
+        merged = tickets.replay(touched.unionByName(records), keep_tombstones=True)
+        return untouched.unionByName(merged.select(*COLS))
+    return tickets.replay(state.unionByName(records), keep_tombstones=True).select(*COLS)
 
 
 def _sync_batch(batch: DataFrame, epoch_id: int, base: str) -> None:
@@ -86,8 +104,7 @@ def sync_now(spark: SparkSession, log_path: str, base: str, explicit_lsn: bool =
     file, split and row position. Such a snapshot is rebuilt by each call,
     so it is not folded into by the stream."""
     log = read_log(spark, log_path, explicit_lsn=explicit_lsn)
-    cols = ["ticket_id", "lsn", "op", "passenger_name", "created_at", "expires_at"]
-    state = tickets.replay(log.select(*cols), keep_tombstones=True).select(*cols)
+    state = tickets.replay(log.select(*COLS), keep_tombstones=True).select(*COLS)
     v = snapshot.write_snapshot(state, base)
     snap = spark.read.parquet(snapshot.version_path(base, v))
     return snap.where(F.col("op") == "CREATE").count()

@@ -85,3 +85,27 @@ def test_replayed_sync_batch_changes_nothing(spark, tmp):
     replica._sync_batch(batch, 0, base)          # the same epoch again (retry)
     assert rows(replica.current_tickets(spark, base)) == first == [
         ("b", "Bob", "2024-01-01T10:00:00+00:00", "2024-01-01T11:00:00+00:00")]
+
+
+def test_fold_probe_and_full_paths_agree(spark):
+    import random
+    rnd = random.Random(4)
+
+    def recs(batch, n):
+        out = []
+        for i in range(n):
+            tid = f"t{rnd.randint(0, 60)}"
+            op = rnd.choice(["CREATE", "CREATE", "DELETE", "X"])
+            out.append(rec(batch, i, op, tid, f"n{batch}-{i}") if op == "CREATE" else
+                       json.dumps({"op": op, "ticket_id": tid, "lsn": {"batch": batch, "seq": i}}))
+        return spark.createDataFrame([(x,) for x in out], "value string")
+
+    from lakeops import schemas
+    from lakeops.sources.jsonlog import parse_records
+    s_probe = s_full = spark.createDataFrame([], replica.STATE_SCHEMA)
+    for b in range(3):
+        r = parse_records(recs(b, 80), schemas.LOG_RECORD, explicit_lsn=True)
+        s_probe = spark.createDataFrame(replica.fold(s_probe, r).collect(), replica.STATE_SCHEMA)
+        s_full = spark.createDataFrame(replica.fold(s_full, r, max_probe_ids=None).collect(),
+                                       replica.STATE_SCHEMA)
+    assert rows(s_probe) == rows(s_full)

@@ -1,553 +1,4 @@
-"""Registered queries over the supplied test tables, with DuckDB oracles.
+"""Registered queries (kept as an import path; the queries live in
+``lakeops.plans.queries``, one module per area)."""
 
-Each query takes ``(spark, sf_dir)`` and returns a DataFrame built by the
-library's jobs on whole tables. Floating results are rounded on both sides.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..sources import testdata as td
-from . import reports
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE_SQL[name] = sql.strip()
-        return fn
-    return deco
-
-
-# --------------------------------------------------------------------------
-# R1-R5 star-schema reports
-# --------------------------------------------------------------------------
-@register("row_counts", """
-SELECT 'customer' AS table_name, COUNT(*) AS row_count FROM customer
-UNION ALL
-SELECT 'lineitem' AS table_name, COUNT(*) AS row_count FROM lineitem
-""")
-def q_row_counts(spark, d):
-    return reports.row_counts({"customer": td.table(spark, d, "customer"),
-                               "lineitem": td.table(spark, d, "lineitem")})
-
-
-@register("avg_sales", """
-SELECT ROUND(AVG(l_extendedprice), 4) AS average_line_item_sales FROM lineitem
-""")
-def q_avg_sales(spark, d):
-    r = reports.avg_sales(td.fact_order_items(spark, d))
-    return r.select(F.round("average_line_item_sales", 4).alias("average_line_item_sales"))
-
-
-@register("top_products", """
-SELECT p.p_name AS product_name, SUM(l.l_quantity) AS total_quantity_sold
-FROM part p JOIN lineitem l ON p.p_partkey = l.l_partkey
-GROUP BY p.p_name
-ORDER BY total_quantity_sold DESC, product_name
-LIMIT 10
-""")
-def q_top_products(spark, d, n=10):
-    return reports.top_products(td.dim_products(spark, d), td.fact_order_items(spark, d), n)
-
-
-@register("shipment_stats", """
-SELECT MIN(l_tax) AS min_cost, MAX(l_tax) AS max_cost,
-       ROUND(AVG(l_tax), 6) AS avg_cost,
-       ROUND(CAST(SUM(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS DOUBLE) * 100
-             / COUNT(*), 6) AS on_time_rate_percent
-FROM lineitem
-""")
-def q_shipment_stats(spark, d):
-    r = reports.shipment_stats(td.fact_shipments(spark, d))
-    return r.select("min_cost", "max_cost", F.round("avg_cost", 6).alias("avg_cost"),
-                    F.round(F.col("on_time_rate_percent").cast("double"), 6)
-                    .alias("on_time_rate_percent"))
-
-
-@register("orders_by_country", """
-SELECT n.n_name AS country, COUNT(o.o_orderkey) AS total_orders
-FROM orders o
-JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-GROUP BY n.n_name
-ORDER BY total_orders DESC, country NULLS FIRST
-""")
-def q_orders_by_country(spark, d):
-    return reports.orders_by_country(td.dim_orders(spark, d), td.dim_customers(spark, d))
-
-
-# --------------------------------------------------------------------------
-# M1-M4 medallion over events (day = match, user = team, props = player)
-# --------------------------------------------------------------------------
-from . import medallion  # noqa: E402
-
-_SRC_SQL = """
-SELECT CAST(event_id AS VARCHAR) AS event_id,
-       CAST(CAST(ts AS DATE) AS VARCHAR) AS match_id,
-       CAST(user_id AS VARCHAR) AS team,
-       props AS player,
-       event_type,
-       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS event_ts
-FROM events
-"""
-
-_SILVER_SQL = f"""
-SELECT DISTINCT match_id, team, event_type, COALESCE(event_ts, TIMESTAMP '2024-02-01 00:00:00') AS "timestamp"
-FROM ({_SRC_SQL}) src WHERE event_type IS NOT NULL
-"""
-AS_OF = "2024-02-01 00:00:00"
-EVENT_PATTERNS = {"total_clicks": "%click%", "total_errors": "%error%", "total_ups": "%up%"}
-
-
-def _bronze(spark, d):
-    return medallion.bronze(td.match_events(spark, d))
-
-
-def _silver(spark, d):
-    return medallion.silver(_bronze(spark, d), as_of=AS_OF)
-
-
-@register("bronze_events", f"""
-SELECT event_id, match_id, team, player, event_type, event_ts AS "timestamp" FROM ({_SRC_SQL}) s
-""")
-def q_bronze_events(spark, d):
-    return _bronze(spark, d)
-
-
-@register("silver_events", _SILVER_SQL)
-def q_silver_events(spark, d):
-    return _silver(spark, d)
-
-
-@register("gold_stats", f"""
-SELECT team,
-       COUNT(*) FILTER (WHERE event_type ILIKE '%goal%') AS total_goals,
-       COUNT(*) FILTER (WHERE event_type ILIKE '%foul%') AS total_fouls,
-       COUNT(*) FILTER (WHERE event_type ILIKE '%shot%') AS total_shots
-FROM ({_SILVER_SQL}) s GROUP BY team
-""")
-def q_gold_stats(spark, d):
-    return medallion.gold(_silver(spark, d))
-
-
-@register("gold_event_counts", f"""
-SELECT team,
-       COUNT(*) FILTER (WHERE event_type ILIKE '%click%') AS total_clicks,
-       COUNT(*) FILTER (WHERE event_type ILIKE '%error%') AS total_errors,
-       COUNT(*) FILTER (WHERE event_type ILIKE '%up%') AS total_ups
-FROM ({_SILVER_SQL}) s GROUP BY team
-""")
-def q_gold_event_counts(spark, d):
-    return medallion.gold(_silver(spark, d), EVENT_PATTERNS)
-
-
-@register("layer_counts", f"""
-SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM events
-UNION ALL
-SELECT 'silver' AS layer, COUNT(*) AS row_count FROM ({_SILVER_SQL}) s
-UNION ALL
-SELECT 'gold' AS layer, COUNT(*) AS row_count
-FROM (SELECT team FROM ({_SILVER_SQL}) s2 GROUP BY team) g
-""")
-def q_layer_counts(spark, d):
-    b = _bronze(spark, d)
-    s = medallion.silver(b, as_of=AS_OF)
-    return medallion.layer_counts(b, s, medallion.gold(s))
-
-
-# --------------------------------------------------------------------------
-# L1-L7, L10 ticket log over events (signup/purchase = CREATE, error = DELETE,
-# click/view = validation requests, user id = ticket id, 7-day tickets)
-# --------------------------------------------------------------------------
-from . import tickets  # noqa: E402
-
-TICKET_TTL = "7 days"
-STATE_AS_OF = "2024-01-16 00:00:00"   # tickets = replay of the log before this time
-SWEEP_AS_OF = "2024-01-21 12:00:00"
-
-_LOG_SQL = """
-SELECT event_id AS lsn,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN 'CREATE'
-            WHEN event_type = 'error' THEN 'DELETE' ELSE upper(event_type) END AS op,
-       CAST(user_id AS VARCHAR) AS ticket_id,
-       'passenger ' || CAST(user_id AS VARCHAR) AS passenger_name,
-       ts AS created_at, ts + INTERVAL 7 DAY AS expires_at
-FROM events
-"""
-_TICKETS_SQL = f"""
-SELECT ticket_id, passenger_name, created_at, expires_at FROM (
-  SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY lsn DESC) AS rn
-  FROM ({_LOG_SQL}) lg
-  WHERE op IN ('CREATE', 'DELETE') AND length(ticket_id) > 0
-    AND created_at < TIMESTAMP '{STATE_AS_OF}') x
-WHERE rn = 1 AND op = 'CREATE'
-"""
-_REQ_SQL = """
-SELECT event_id AS request_id, CAST(user_id AS VARCHAR) AS ticket_id, ts
-FROM events WHERE event_type IN ('click', 'view')
-"""
-_JOINED_SQL = f"""
-SELECT r.request_id, r.ticket_id, r.ts, t.passenger_name AS tn, t.expires_at AS te,
-       CASE WHEN t.created_at IS NULL OR t.created_at > r.ts THEN 'not_found'
-            WHEN r.ts <= t.expires_at THEN 'valid' ELSE 'expired' END AS status
-FROM ({_REQ_SQL}) r LEFT JOIN ({_TICKETS_SQL}) t ON r.ticket_id = t.ticket_id
-"""
-
-
-def _finish_sql(src: str, status: str = "status") -> str:
-    return f"""
-SELECT request_id, ticket_id, ts, {status} AS status,
-       CASE WHEN {status} = 'valid' THEN tn END AS passenger_name,
-       CASE WHEN {status} = 'valid' THEN te END AS expires_at
-FROM ({src}) v
-"""
-
-
-def _swept_sql(trigger: str) -> str:
-    prev = f"""
-SELECT *, MAX({trigger}) OVER (ORDER BY ts, request_id
-                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
-FROM ({_JOINED_SQL}) j
-"""
-    return _finish_sql(prev, "CASE WHEN status = 'expired' AND prev > te THEN 'not_found' "
-                             "ELSE status END")
-
-
-def _tickets(spark, d):
-    log = td.ticket_log(spark, d, TICKET_TTL)
-    return tickets.replay(log.where(F.col("created_at") < F.lit(STATE_AS_OF).cast("timestamp_ntz")))
-
-
-@register("ticket_replay", _TICKETS_SQL)
-def q_ticket_replay(spark, d):
-    return _tickets(spark, d)
-
-
-@register("expiry_sweep", f"""
-SELECT 'DELETE' AS op, ticket_id FROM ({_TICKETS_SQL}) t
-WHERE expires_at < TIMESTAMP '{SWEEP_AS_OF}'
-""")
-def q_expiry_sweep(spark, d):
-    deletes, _ = tickets.expiry_sweep(_tickets(spark, d), SWEEP_AS_OF)
-    return deletes
-
-
-@register("tickets_after_sweep", f"""
-SELECT * FROM ({_TICKETS_SQL}) t WHERE expires_at >= TIMESTAMP '{SWEEP_AS_OF}'
-""")
-def q_tickets_after_sweep(spark, d):
-    _, remaining = tickets.expiry_sweep(_tickets(spark, d), SWEEP_AS_OF)
-    return remaining
-
-
-@register("validate", _finish_sql(_JOINED_SQL))
-def q_validate(spark, d):
-    return tickets.validate(_tickets(spark, d), td.ticket_requests(spark, d))
-
-
-@register("validate_swept", _swept_sql("CASE WHEN status = 'valid' THEN ts END"))
-def q_validate_swept(spark, d):
-    return tickets.validate_swept(_tickets(spark, d), td.ticket_requests(spark, d), "valid")
-
-
-@register("validate_swept_all", _swept_sql("ts"))
-def q_validate_swept_all(spark, d):
-    return tickets.validate_swept(_tickets(spark, d), td.ticket_requests(spark, d), "all")
-
-
-@register("validation_log", f"""
-SELECT tn AS passenger_name, ticket_id,
-       strftime(ts, '%Y-%m-%d %H:%M:%S')
-       || CASE WHEN strftime(ts, '%f') = '000000' THEN '' ELSE '.' || strftime(ts, '%f') END
-       || '+00:00' AS validated_at
-FROM ({_JOINED_SQL}) j WHERE status = 'valid'
-""")
-def q_validation_log(spark, d):
-    v = tickets.validate(_tickets(spark, d), td.ticket_requests(spark, d))
-    return tickets.parse_validation_lines(tickets.validation_lines(v))
-
-
-@register("ticket_lookup", f"""
-SELECT q.ticket_id, CASE WHEN t.ticket_id IS NULL THEN 'not_found' ELSE 'found' END AS status,
-       t.passenger_name, t.created_at, t.expires_at
-FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticket_id FROM events) q
-LEFT JOIN ({_TICKETS_SQL}) t ON q.ticket_id = t.ticket_id
-""")
-def q_ticket_lookup(spark, d):
-    ids = td.table(spark, d, "events").select(
-        F.col("user_id").cast("string").alias("ticket_id")).distinct()
-    return tickets.lookup(_tickets(spark, d), ids)
-
-
-@register("issue_tickets", """
-SELECT 'CREATE' AS op, sha256(CAST(event_id AS VARCHAR)) AS ticket_id,
-       'passenger ' || CAST(user_id AS VARCHAR) AS passenger_name,
-       ts AS created_at, ts + INTERVAL 1 HOUR AS expires_at
-FROM events WHERE event_type = 'purchase'
-""")
-def q_issue_tickets(spark, d):
-    pays = (td.table(spark, d, "events").where(F.col("event_type") == "purchase")
-            .select("event_id",
-                    F.concat(F.lit("passenger "), F.col("user_id").cast("string"))
-                    .alias("passenger_name"),
-                    F.col("ts").alias("paid_at")))
-    return tickets.issue_tickets(pays, key_cols=["event_id"])
-
-
-# --------------------------------------------------------------------------
-# Order stream (batch form): decode + coercion + quarantine, first wins,
-# insert-or-ignore against an existing target
-# --------------------------------------------------------------------------
-from . import orders  # noqa: E402
-from ..operators.dedup import first_per_key  # noqa: E402
-
-ORDERS_CUT_TARGET = "2024-01-15 00:00:00"   # existing table: events before this
-ORDERS_CUT_NEW = "2024-01-14 00:00:00"      # incoming batch: events from this (one day overlaps)
-INGEST_AS_OF = "2024-02-01 00:00:00"
-
-_MSG_SQL = """
-SELECT event_id AS "offset", ts,
-       'order-' || CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS order_uuid,
-       'user' || CAST(user_id AS VARCHAR) AS username,
-       event_type AS item_name,
-       CASE WHEN event_type = 'error' THEN NULL
-            WHEN event_type = 'signup' THEN CAST(json_extract_string(props, '$.k') AS INTEGER)
-            ELSE CAST(ROUND(value) AS INTEGER) END AS quantity,
-       CASE WHEN event_type = 'error' THEN 'bad quantity' END AS reject_reason
-FROM events
-"""
-
-
-@register("order_decode", f"""
-SELECT "offset", order_uuid, username, item_name, quantity, reject_reason FROM ({_MSG_SQL}) m
-""")
-def q_order_decode(spark, d):
-    return orders.decode(td.order_messages(spark, d), ["offset"]).drop("value")
-
-
-@register("first_wins", """
-SELECT user_id, event_id, ts, event_type, value, props FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) x
-WHERE rn = 1
-""")
-def q_first_wins(spark, d):
-    return first_per_key(td.table(spark, d, "events"), ["user_id"], ["event_id"])
-
-
-@register("insert_ignore", f"""
-WITH m AS ({_MSG_SQL}),
-tgt AS (SELECT order_uuid FROM m WHERE ts < TIMESTAMP '{ORDERS_CUT_TARGET}' AND reject_reason IS NULL),
-nw AS (SELECT * FROM (
-         SELECT *, row_number() OVER (PARTITION BY order_uuid ORDER BY "offset") AS rn
-         FROM m WHERE ts >= TIMESTAMP '{ORDERS_CUT_NEW}' AND reject_reason IS NULL) x
-       WHERE rn = 1)
-SELECT order_uuid, username, item_name, quantity, TIMESTAMP '{INGEST_AS_OF}' AS created_at
-FROM nw WHERE order_uuid NOT IN (SELECT order_uuid FROM tgt)
-""")
-def q_insert_ignore(spark, d):
-    ts = F.col("ts")
-    existing_msgs = td.order_messages(spark, d, ts < F.lit(ORDERS_CUT_TARGET).cast("timestamp_ntz"))
-    existing_ok, _ = orders.split(orders.decode(existing_msgs, ["offset"]))
-    new_msgs = td.order_messages(spark, d, ts >= F.lit(ORDERS_CUT_NEW).cast("timestamp_ntz"))
-    return orders.orders_to_insert(new_msgs, existing_ok.select(*orders.KEY), ["offset"],
-                                   as_of=INGEST_AS_OF)
-
-
-# --------------------------------------------------------------------------
-# Q1-Q4 table audit over the supplied tables
-# --------------------------------------------------------------------------
-from ..operators import quality  # noqa: E402
-
-
-@register("quality_not_null", """
-SELECT 'lineitem' AS table_name, 'not_null' AS rule, c AS column_name, v AS violations FROM (
-  SELECT 'l_orderkey' AS c, COUNT(*) FILTER (WHERE l_orderkey IS NULL) AS v FROM lineitem
-  UNION ALL SELECT 'l_partkey', COUNT(*) FILTER (WHERE l_partkey IS NULL) FROM lineitem
-  UNION ALL SELECT 'l_quantity', COUNT(*) FILTER (WHERE l_quantity IS NULL) FROM lineitem)
-UNION ALL
-SELECT 'orders', 'not_null', c, v FROM (
-  SELECT 'o_orderkey' AS c, COUNT(*) FILTER (WHERE o_orderkey IS NULL) AS v FROM orders
-  UNION ALL SELECT 'o_custkey', COUNT(*) FILTER (WHERE o_custkey IS NULL) FROM orders)
-""")
-def q_quality_not_null(spark, d):
-    return quality.not_null(td.table(spark, d, "lineitem"), "lineitem",
-                            ["l_orderkey", "l_partkey", "l_quantity"]).unionByName(
-        quality.not_null(td.table(spark, d, "orders"), "orders", ["o_orderkey", "o_custkey"]))
-
-
-@register("quality_unique", """
-SELECT 'lineitem' AS table_name, 'unique' AS rule, 'l_orderkey,l_linenumber' AS column_name,
-       CAST(COALESCE(SUM(n), 0) AS BIGINT) AS violations
-FROM (SELECT COUNT(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
-      GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1) a
-UNION ALL
-SELECT 'orders', 'unique', 'o_orderkey', CAST(COALESCE(SUM(n), 0) AS BIGINT)
-FROM (SELECT COUNT(*) AS n FROM orders WHERE o_orderkey IS NOT NULL
-      GROUP BY o_orderkey HAVING COUNT(*) > 1) b
-UNION ALL
-SELECT 'part', 'unique', 'p_name', CAST(COALESCE(SUM(n), 0) AS BIGINT)
-FROM (SELECT COUNT(*) AS n FROM part WHERE p_name IS NOT NULL
-      GROUP BY p_name HAVING COUNT(*) > 1) c
-""")
-def q_quality_unique(spark, d):
-    return (quality.unique(td.table(spark, d, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"])
-            .unionByName(quality.unique(td.table(spark, d, "orders"), "orders", ["o_orderkey"]))
-            .unionByName(quality.unique(td.table(spark, d, "part"), "part", ["p_name"])))
-
-
-_FK_SQL = """
-SELECT '{ct}' AS table_name, 'foreign_key' AS rule, '{cc}' AS column_name,
-       CAST(COUNT(*) AS BIGINT) AS violations
-FROM {ct} c WHERE c.{cc} IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM {pt} p WHERE p.{pc} = c.{cc})
-"""
-_FKS = [("lineitem", "l_orderkey", "orders", "o_orderkey"),
-        ("lineitem", "l_partkey", "part", "p_partkey"),
-        ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
-        ("orders", "o_custkey", "customer", "c_custkey"),
-        ("customer", "c_nationkey", "nation", "n_nationkey")]
-
-
-@register("quality_foreign_key", "\nUNION ALL\n".join(
-    _FK_SQL.format(ct=ct, cc=cc, pt=pt, pc=pc) for ct, cc, pt, pc in _FKS))
-def q_quality_foreign_key(spark, d):
-    parts = [quality.foreign_key(td.table(spark, d, ct), ct, [cc], td.table(spark, d, pt), [pc])
-             for ct, cc, pt, pc in _FKS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-_LEN_LIMITS = {"customer": {"c_name": 18, "c_mktsegment": 9}, "part": {"p_name": 10, "p_type": 8}}
-
-
-@register("quality_length", "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, 'max_length' AS rule, '{c}' AS column_name, "
-    f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS violations FROM {t}"
-    for t, lim in _LEN_LIMITS.items() for c, n in lim.items()))
-def q_quality_length(spark, d):
-    return quality.max_length(td.table(spark, d, "customer"), "customer", _LEN_LIMITS["customer"]) \
-        .unionByName(quality.max_length(td.table(spark, d, "part"), "part", _LEN_LIMITS["part"]))
-
-
-# --------------------------------------------------------------------------
-# Shipments for an exact third of the orders (hash-ranked sample;
-# DuckDB has no equal hash, so this one is checked by row count here and
-# against brute force in tests/)
-# --------------------------------------------------------------------------
-from . import datagen  # noqa: E402
-
-
-@register("shipment_sample")
-def q_shipment_sample(spark, d):
-    items = td.table(spark, d, "orders").select(F.col("o_orderkey").alias("order_item_id"))
-    return datagen.shipments(items, seed=42, as_of="2024-02-01 00:00:00")
-
-
-# --------------------------------------------------------------------------
-# Streaming jobs end to end: the records derived from events arrive as files
-# in two batches (before / from the cut); the Structured Streaming query runs
-# (availableNow) after each arrival; the query returns the resulting table.
-# Each call works in a fresh folder under the session's checkpoint dir.
-# --------------------------------------------------------------------------
-import uuid as _uuid  # noqa: E402
-
-from ..session import shared_path  # noqa: E402
-from ..streaming import orders as orders_stream  # noqa: E402
-from ..streaming import replica as replica_stream  # noqa: E402
-
-STREAM_CUT = "2024-01-15 00:00:00"
-
-
-def _run_dir(spark, name):
-    return shared_path(spark, "lakeops-runs", f"{name}-{_uuid.uuid4().hex}")
-
-
-def _cut(before: bool):
-    c = F.lit(STREAM_CUT).cast("timestamp_ntz")
-    return F.col("ts") < c if before else F.col("ts") >= c
-
-
-@register("order_stream", f"""
-SELECT order_uuid, username, item_name, quantity, TIMESTAMP '{INGEST_AS_OF}' AS created_at
-FROM (SELECT *, row_number() OVER (PARTITION BY order_uuid ORDER BY "offset") AS rn
-      FROM ({_MSG_SQL}) m WHERE reject_reason IS NULL) x
-WHERE rn = 1
-""")
-def q_order_stream(spark, d):
-    run = _run_dir(spark, "order_stream")
-    src, target, quar = f"{run}/in", f"{run}/orders", f"{run}/quarantine"
-    for before in (True, False):
-        # one write per arrival; part files of one write sort in offset order,
-        # and each run of the stream picks up only the new files
-        (td.order_messages(spark, d, _cut(before)).orderBy("offset").select("value")
-         .write.mode("append").text(src))
-        q = orders_stream.start_ingest(
-            orders_stream.file_source(spark, src), target, quar,
-            checkpoint=f"{run}/ckpt", trigger={"availableNow": True}, as_of=INGEST_AS_OF)
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-    return orders_stream.read_target(spark, target)
-
-
-_ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"
-
-
-@register("replica_sync", f"""
-SELECT ticket_id, passenger_name, {_ISO_SQL.format(c="created_at")} AS created_at,
-       {_ISO_SQL.format(c="expires_at")} AS expires_at
-FROM (SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY lsn DESC) AS rn
-      FROM ({_LOG_SQL}) lg WHERE op IN ('CREATE', 'DELETE') AND length(ticket_id) > 0) x
-WHERE rn = 1 AND op = 'CREATE'
-""")
-def q_replica_sync(spark, d):
-    from ..sinks.logs import append_log
-    run = _run_dir(spark, "replica_sync")
-    log_dir, base = f"{run}/wal", f"{run}/replica"
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    for i, before in enumerate((True, False)):
-        recs = (td.ticket_log(spark, d, TICKET_TTL).withColumn("ts", F.col("created_at"))
-                .where(_cut(before))
-                .select(F.struct(F.lit(i).cast("bigint").alias("batch"),
-                                 F.col("lsn").alias("seq")).alias("lsn"),
-                        "op", "ticket_id", "passenger_name",
-                        F.date_format("created_at", iso).alias("created_at"),
-                        F.date_format("expires_at", iso).alias("expires_at")))
-        append_log(recs, log_dir)
-        q = replica_stream.start_sync(spark, log_dir, base,
-                                      checkpoint=f"{run}/ckpt",
-                                      trigger={"availableNow": True},
-                                      query_name=f"replica_sync_{_uuid.uuid4().hex[:8]}")
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-    return replica_stream.current_tickets(spark, base)
-
-
-@register("medallion_run", ORACLE_SQL["layer_counts"])
-def q_medallion_run(spark, d):
-    """M1-M4 with the writes: bronze and silver by full refresh into fixed
-    schemas, gold by create-as-select, counts observed while writing."""
-    run = _run_dir(spark, "medallion")
-    return medallion.run(td.match_events(spark, d), run, as_of=AS_OF)
-
-
-@register("json_decode", """
-SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
-""")
-def q_json_decode(spark, d):
-    """P13 + P18: a field of a JSON text column, typed as an integer."""
-    from ..functions.exprs import coerce_int, json_field
-    e = td.table(spark, d, "events")
-    return e.select("event_id", coerce_int(json_field("props", "k")).alias("k"))
+from .queries import ORACLE_SQL, QUERIES, register  # noqa: F401

@@ -163,3 +163,40 @@ def lookup(tickets: DataFrame, ticket_ids: DataFrame) -> DataFrame:
                     F.when(F.col("_hit"), F.lit("found")).otherwise(F.lit("not_found"))
                     .alias("status"),
                     "passenger_name", "created_at", "expires_at"))
+
+
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+
+
+def as_log_records(records: DataFrame) -> DataFrame:
+    """Log form of CREATE/DELETE records: times as ISO-8601 text with offset
+    (as the log stores them), missing fields as NULL."""
+    cols = dict(records.dtypes)
+
+    def text(c):
+        if c not in cols:
+            return F.lit(None).cast("string").alias(c)
+        if cols[c] in ("timestamp", "timestamp_ntz"):
+            ts = F.col(c) if cols[c] == "timestamp" else F.col(c).cast("timestamp")
+            return F.date_format(ts, ISO_FORMAT).alias(c)
+        return F.col(c).cast("string").alias(c)
+    return records.select(*[text(c) for c in ("op", "ticket_id", "passenger_name",
+                                              "created_at", "expires_at")])
+
+
+def issue_to_log(payments: DataFrame, log_dir: str, batch_id: int, **kw) -> DataFrame:
+    """L1 with K6: append the CREATE records to the log first (one file set
+    per batch, explicit lsn), then return them; the state is their fold."""
+    from ..sinks.logs import append_log
+    recs = issue_tickets(payments, **kw)
+    append_log(as_log_records(recs).orderBy("created_at", "ticket_id"), log_dir, batch_id)
+    return recs
+
+
+def sweep_to_log(tickets: DataFrame, as_of, log_dir: str, batch_id: int) -> DataFrame:
+    """L4 with K6: append a DELETE record for every expired ticket, return
+    the remaining tickets."""
+    from ..sinks.logs import append_log
+    deletes, remaining = expiry_sweep(tickets, as_of)
+    append_log(as_log_records(deletes).orderBy("ticket_id"), log_dir, batch_id)
+    return remaining

@@ -109,3 +109,35 @@ def test_fold_probe_and_full_paths_agree(spark):
         s_full = spark.createDataFrame(replica.fold(s_full, r, max_probe_ids=None).collect(),
                                        replica.STATE_SCHEMA)
     assert rows(s_probe) == rows(s_full)
+
+
+def test_primary_to_replica_end_to_end(spark, tmp):
+    """pay -> CREATE records in the log -> replica stream; sweep -> DELETE
+    records -> replica stream; lookups on the replica."""
+    import datetime as dt
+    from lakeops.plans import tickets
+    from lakeops.sources.jsonlog import read_log
+    utc = dt.timezone.utc
+    log_dir, base = tmp + "/wal", tmp + "/replica"
+    pays = spark.createDataFrame(
+        [("Ann", dt.datetime(2024, 1, 1, 9, 0, tzinfo=utc)),
+         ("Bob", dt.datetime(2024, 1, 1, 11, 0, tzinfo=utc))],
+        "passenger_name string, paid_at timestamp")
+    issued = tickets.issue_to_log(pays, log_dir, batch_id=1)
+
+    def sync():
+        q = replica.start_sync(spark, log_dir, base, checkpoint=tmp + "/ck",
+                               trigger={"availableNow": True})
+        q.awaitTermination(120)
+        assert q.exception() is None
+
+    sync()
+    assert sorted(r.passenger_name for r in replica.current_tickets(spark, base).collect()) == [
+        "Ann", "Bob"]
+    state = tickets.typed(tickets.replay(read_log(spark, log_dir, explicit_lsn=True)))
+    tickets.sweep_to_log(state, "2024-01-01 11:30:00", log_dir, batch_id=2)   # Ann expired 10:00
+    sync()
+    ids = issued.select("ticket_id")
+    got = {r.status for r in replica.lookup(spark, base, ids).collect()}
+    assert got == {"found", "not_found"}
+    assert [r.passenger_name for r in replica.current_tickets(spark, base).collect()] == ["Bob"]

@@ -24,8 +24,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+_READ: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the supplied (read-only) tables. The DataFrame is kept per
+    session and path, so its schema is read once; it stays lazy, and every
+    query still prunes columns and pushes filters into its own scan."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READ.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READ[key] = df
+    return df
 
 
 def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

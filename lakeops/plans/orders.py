@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.exprs import as_of_lit, coerce_int, json_object_shape, json_struct
+from ..operators.joins import anti_join
 from ..sinks.tables import rows_to_insert
 
 KEY = ["order_uuid"]
@@ -48,7 +49,12 @@ def decode(messages: DataFrame, order_cols: list[str] | None = None) -> DataFram
 
 
 def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, quarantined)."""
+    """(accepted, quarantined).
+
+    Catalyst pushes these filters through the decode projection into the
+    scan, where the predicate repeats the JSON parse for every field it
+    reads. Persist ``decoded`` first when both sides are written (as the
+    stream does per micro-batch), or use ``first_accepted`` for inserts."""
     ok = decoded.where(F.col("reject_reason").isNull()).drop("reject_reason", "value")
     bad = decoded.where(F.col("reject_reason").isNotNull())
     return ok, bad
@@ -60,15 +66,40 @@ def to_target(accepted: DataFrame, as_of=None) -> DataFrame:
                            as_of_lit(as_of, ntz=True).alias("created_at"))
 
 
+def first_accepted(decoded: DataFrame, order_cols: list[str]) -> DataFrame:
+    """D2 over decoded messages: per order id the first *accepted* record.
+
+    Rejected records rank after accepted ones, and ids whose winner is
+    rejected (no accepted record at all, or a NULL id) are dropped after the
+    aggregate. Filtering accepted rows first would be pushed down through
+    the decode projection into the scan, where the predicate repeats the
+    JSON parse once per field it reads; a filter on the aggregate's output
+    stays where it is, so each message is parsed once. ``min_by`` is a
+    partial aggregate, so a hot id collapses map-side."""
+    rest = ["username", "item_name", "quantity", "reject_reason", *order_cols]
+    rank = F.struct(F.col("reject_reason").isNotNull().alias("_rejected"),
+                    *[F.col(c) for c in order_cols])
+    firsts = (decoded.groupBy(*KEY)
+              .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_w")))
+    return (firsts.where(F.col("_w.reject_reason").isNull())
+            .select(*KEY, *[F.col(f"_w.{c}").alias(c) for c in rest if c != "reject_reason"]))
+
+
 def orders_to_insert(messages: DataFrame, existing: DataFrame | None,
-                     order_cols: list[str], as_of=None) -> DataFrame:
-    """K3 for one batch of messages: decode, keep good rows, first per
-    order id by ``order_cols``, drop ids already in ``existing``."""
-    ok, _ = split(decode(messages, order_cols))
+                     order_cols: list[str], as_of=None,
+                     max_probe_rows: int | None = None) -> DataFrame:
+    """K3 for one batch of messages: decode, first accepted record per order
+    id by ``order_cols``, drop ids already in ``existing``."""
+    firsts = first_accepted(decode(messages, order_cols), order_cols)
     if existing is None:
-        existing = ok.limit(0).select(*KEY)
-    picked = rows_to_insert(ok, existing, KEY, order_cols)
-    return to_target(picked, as_of)
+        return to_target(firsts, as_of)
+    return to_target(anti_join(firsts, existing.select(*KEY), KEY, max_probe_rows), as_of)
+
+
+def accepted_keys(messages: DataFrame, order_cols: list[str]) -> DataFrame:
+    """The distinct order ids that have at least one accepted record (what a
+    stored target holds after ingesting ``messages``)."""
+    return first_accepted(decode(messages, order_cols), order_cols).select(*KEY)
 
 
 def rows_to_insert_target(accepted: DataFrame, existing: DataFrame | None,

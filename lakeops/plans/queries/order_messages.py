@@ -62,10 +62,9 @@ FROM nw WHERE order_uuid NOT IN (SELECT order_uuid FROM tgt)
 def q_insert_ignore(spark, d):
     ts = F.col("ts")
     existing_msgs = td.order_messages(spark, d, ts < F.lit(ORDERS_CUT_TARGET).cast("timestamp_ntz"))
-    existing_ok, _ = orders.split(orders.decode(existing_msgs, ["offset"]))
+    existing = orders.accepted_keys(existing_msgs, ["offset"])       # the stored table's ids
     new_msgs = td.order_messages(spark, d, ts >= F.lit(ORDERS_CUT_NEW).cast("timestamp_ntz"))
-    return orders.orders_to_insert(new_msgs, existing_ok.select(*orders.KEY), ["offset"],
-                                   as_of=INGEST_AS_OF)
+    return orders.orders_to_insert(new_msgs, existing, ["offset"], as_of=INGEST_AS_OF)
 
 
 @register("json_decode", """

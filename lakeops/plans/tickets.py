@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import (as_of_lit, epoch_micros, is_expired, parse_iso, plus_interval,
                                stable_id)
-from ..operators.dedup import last_per_key
 from ..operators.scan import exclusive_running_max
 from ..sinks.logs import validation_line
 
@@ -48,16 +47,25 @@ def typed(log: DataFrame) -> DataFrame:
 def replay(log: DataFrame, keep_tombstones: bool = False) -> DataFrame:
     """L2: log -> current tickets.
 
-    Only CREATE and DELETE count (other ops are ignored before the fold, so
-    they cannot hide an earlier CREATE); records without a ticket id are
-    dropped. Per ticket the record with the highest lsn wins: CREATE after
-    DELETE revives, DELETE of an unknown id leaves nothing. With
-    ``keep_tombstones`` the winning DELETE rows are kept (op column), for
-    incremental folding (L8)."""
-    ops = (log.where(F.col("op").isin(*OPS))
-           .where(F.length(F.col("ticket_id")) > 0)
-           .select("ticket_id", "lsn", "op", "passenger_name", "created_at", "expires_at"))
-    last = last_per_key(ops, ["ticket_id"], ["lsn"])
+    Only CREATE and DELETE count (other ops never hide an earlier CREATE);
+    records without a ticket id are dropped. Per ticket the counting record
+    with the highest lsn wins: CREATE after DELETE revives, DELETE of an
+    unknown id leaves nothing. With ``keep_tombstones`` the winning DELETE
+    rows are kept (op column), for incremental folding (L8).
+
+    Counting records rank above the others inside the ``max_by`` and the
+    winner is checked after the aggregate, instead of filtering the input:
+    on a decoded log such an input filter is pushed into the scan and
+    repeats the JSON parse per field. The check reads the winner's own copy
+    of the id, so it is not pushed below the aggregate either."""
+    counts = (F.col("op").isin(*OPS) & (F.length(F.col("ticket_id")) > 0))
+    rank = F.struct(F.coalesce(counts, F.lit(False)).alias("_counts"), F.col("lsn"))
+    payload = F.struct(F.col("lsn"), F.col("op"), F.col("ticket_id").alias("_tid"),
+                       F.col("passenger_name"), F.col("created_at"), F.col("expires_at"))
+    last = (log.groupBy("ticket_id").agg(F.max_by(payload, rank).alias("_w"))
+            .where(F.col("_w.op").isin(*OPS) & (F.length(F.col("_w._tid")) > 0))
+            .select("ticket_id", *[F.col(f"_w.{c}").alias(c) for c in
+                                   ("lsn", "op", "passenger_name", "created_at", "expires_at")]))
     if keep_tombstones:
         return last
     return last.where(F.col("op") == "CREATE").select(*STATE_COLS)

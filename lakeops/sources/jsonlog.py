@@ -51,9 +51,11 @@ def parse_records(lines: DataFrame, schema: T.StructType = schemas.LOG_RECORD,
     full = (T.StructType(schema.fields + [T.StructField("lsn", LSN_EXPLICIT)])
             if explicit_lsn else schema)
     ok = lines.where(F.length(F.trim("value")) > 0).where(json_object_shape("value"))
+    # a line shaped like an object always decodes to a struct (malformed
+    # ones to all-NULL fields, which no op filter accepts), so no NULL test
+    # is needed; such a test would be pushed into the scan as a second parse
     rec = ok.select(json_struct("value", full).alias("r"),
                     *([] if explicit_lsn else ["lsn"]))
-    rec = rec.where(F.col("r").isNotNull())
     cols = [F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
     if explicit_lsn:
         return rec.select(F.col("r.lsn").alias("lsn"), *cols)

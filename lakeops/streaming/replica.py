@@ -76,11 +76,15 @@ def fold(state: DataFrame, records: DataFrame,
 
 def _sync_batch(batch: DataFrame, epoch_id: int, base: str) -> None:
     spark = batch.sparkSession
-    records = parse_records(batch, schemas.LOG_RECORD, explicit_lsn=True)
-    last = snapshot.latest_version(spark, base)
-    prev = read_state(spark, base)
-    snapshot.write_snapshot(fold(prev, records), base,
-                            version=0 if last is None else last + 1)
+    # parsed once: the records feed the id bound, the id broadcast and the fold
+    records = parse_records(batch, schemas.LOG_RECORD, explicit_lsn=True).persist()
+    try:
+        last = snapshot.latest_version(spark, base)
+        prev = read_state(spark, base)
+        snapshot.write_snapshot(fold(prev, records), base,
+                                version=0 if last is None else last + 1)
+    finally:
+        records.unpersist()
 
 
 def start_sync(spark: SparkSession, log_dir: str, base: str, checkpoint: str | None = None,

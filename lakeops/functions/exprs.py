@@ -82,9 +82,15 @@ def json_field(c, field: str) -> Column:
 
 def json_object_shape(c) -> Column:
     """True when the text looks like one JSON object: rejects arrays, bare
-    scalars and trailing text after the closing brace (``{..} x``). Two
-    objects back to back (``{..}{..}``) still pass: a known gap."""
-    return F.coalesce(col_(c).rlike(r"^\s*\{.*\}\s*$"), F.lit(False))
+    scalars, trailing text after the closing brace (``{..} x``) and two
+    objects back to back (``{..}{..}``). ``from_json`` alone would accept the
+    last two by decoding the first object. In valid JSON a ``}`` is never
+    directly followed by ``{`` outside string literals, so string literals
+    are blanked first and that pair is rejected."""
+    c = col_(c)
+    no_strings = F.regexp_replace(c, r'"(?:[^"\\]|\\.)*"', '""')
+    return F.coalesce(c.rlike(r"^\s*\{.*\}\s*$") & ~no_strings.rlike(r"\}\s*\{"),
+                      F.lit(False))
 
 
 def stable_id(*cols) -> Column:

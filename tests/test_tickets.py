@@ -45,6 +45,7 @@ def test_replay_edge_lines(spark, tmp):
         create("a"), delete("a"), create("a", "Ann2"),            # revived
         delete("ghost"),                                          # unknown id: nothing
         "", "not json", "[1]", create("x") + " trailing",          # skipped
+        create("y") + delete("b"),                                # two objects: skipped
         create("b", "Bob | Jr"), json.dumps({"op": "UPGRADE", "ticket_id": "b"}),  # ignored
         json.dumps({"op": "CREATE", "passenger_name": "no id"}),
         json.dumps({"op": "CREATE", "ticket_id": "", "passenger_name": "empty id"}),
@@ -58,7 +59,8 @@ def test_replay_edge_lines(spark, tmp):
     assert got == {"a": "Ann2", "b": "Bob | Jr", "c": "Ann"}
     assert st.where("ticket_id = 'c'").collect()[0].expires_at is None
     bad = [r.value for r in bad_records(read_lines(spark, tmp + "/log")).collect()]
-    assert sorted(bad) == sorted(["not json", "[1]", create("x") + " trailing"])
+    assert sorted(bad) == sorted(["not json", "[1]", create("x") + " trailing",
+                                  create("y") + delete("b")])
 
 
 def test_missing_log_is_empty(spark, tmp):

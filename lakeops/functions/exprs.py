@@ -99,11 +99,20 @@ def stable_id(*cols) -> Column:
     return F.sha2(F.concat_ws("\u0001", *[col_(c).cast("string") for c in cols]), 256)
 
 
-def coerce_int(c) -> Column:
+def coerce_int(c, quoted: Column | None = None) -> Column:
     """A JSON value coerced to INTEGER as on insert into an INTEGER
-    column: 2.5 -> 3 (half away from zero), "7" -> 7, "abc" -> NULL.
-    Caller treats NULL-from-non-NULL as a rejected row."""
-    return F.round(col_(c).try_cast("decimal(38,6)")).try_cast("int")
+    column. A JSON number is rounded half away from zero (2.5 -> 3); a JSON
+    string must be integer text ("7", " +7 " -> 7; "2.5", "abc" -> NULL);
+    true/false and out-of-range values -> NULL. ``quoted`` tells whether the
+    value was a JSON string (``from_json`` returns the same text for ``7``
+    and ``"7"``); without it every value is treated as a number. The caller
+    treats NULL from a non-NULL input as a rejected row."""
+    c = col_(c)
+    as_number = F.round(c.try_cast("decimal(38,6)")).try_cast("int")
+    if quoted is None:
+        return as_number
+    as_text = F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(c).try_cast("int"))
+    return F.when(quoted, as_text).otherwise(as_number)
 
 
 def epoch_micros(c, ntz: bool) -> Column:

@@ -6,7 +6,8 @@ A message is ``{"order_id", "user", "item", "quantity"}`` (JSON text or
 bytes). Rows the target table would reject are quarantined with a reason
 instead of stopping the job: not a JSON object, missing/NULL order_id, text
 longer than the declared VARCHAR, or a quantity that is not an integer
-value (2.5 rounds to 3 as on insert into INTEGER; "abc" is rejected).
+value (a number 2.5 rounds to 3 as on insert into INTEGER; text must be an
+integer, so "7" is 7 and "2.5" or "abc" are rejected).
 """
 
 from __future__ import annotations
@@ -31,7 +32,10 @@ def decode(messages: DataFrame, order_cols: list[str] | None = None) -> DataFram
     m = json_struct(text, schemas.ORDER_MESSAGE)
     df = messages.select(*keep, text.alias("value"), m.alias("m"))
     q_in = F.col("m.quantity")
-    qty = coerce_int(q_in)
+    # a quoted quantity is integer text; a bare one is a number (messages are
+    # flat objects, so the key pattern can only match the top-level field)
+    quoted = F.col("value").rlike(r'"quantity"\s*:\s*"')
+    qty = coerce_int(q_in, quoted)
     reason = (F.when(F.col("value").isNull(), F.lit("null message"))
               .when(~json_object_shape("value") | F.col("m").isNull(), F.lit("not a JSON object"))
               .when(F.col("m.order_id").isNull(), F.lit("missing order_id"))

@@ -18,6 +18,8 @@ def test_decode_edges(spark):
         (3, msg("d", qty=None)), (4, msg("e", user="u" * 101)), (5, "not json"),
         (6, None), (7, json.dumps({"user": "x", "item": "y", "quantity": 1})),
         (8, msg(None)), (9, msg("f", qty=True)),
+        (10, msg("g", qty="2.5")), (11, msg("h", qty=" +8 ")), (12, msg("i", qty=-2.5)),
+        (13, msg("j", qty=3_000_000_000)), (14, msg("k", qty=1e2)),
     ]
     m = spark.createDataFrame(data, "offset long, value string")
     got = {r.offset: (r.order_uuid, r.quantity, r.reject_reason)
@@ -32,6 +34,11 @@ def test_decode_edges(spark):
     assert got[7][2] == "missing order_id"
     assert got[8][2] == "missing order_id"
     assert got[9][2] == "bad quantity"
+    assert got[10][2] == "bad quantity"          # integer text required
+    assert got[11] == ("h", 8, None)
+    assert got[12] == ("i", -3, None)             # half away from zero
+    assert got[13][2] == "bad quantity"          # out of INTEGER range
+    assert got[14] == ("k", 100, None)
 
 
 def test_first_wins_and_existing_wins(spark):

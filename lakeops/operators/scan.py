@@ -7,8 +7,9 @@ one task. This scan instead
 
 1. range-partitions on the (unique) order key, so partitions are balanced
    even when one timestamp holds a third of the rows,
-2. takes the running max inside each sorted partition (vectorised numpy in
-   ``mapInPandas``; one pass in the same stage as the shuffle read),
+2. takes the running max inside each sorted partition (numpy over Arrow
+   batches in ``mapInArrow``: no pandas conversion, int64 kept exact; one
+   pass in the same stage as the shuffle read),
 3. takes each partition's max (a partial aggregate over the scan output,
    keyed by partition index), carries it forward over the
    ``num_partitions`` segments, and
@@ -17,7 +18,7 @@ one task. This scan instead
 
 Both readers of the scan output sit on the same range exchange, which Spark
 reuses (``ReusedExchange``): the upstream and the shuffle run once, only the
-cheap numpy pass runs twice. Partition indexes agree between the readers
+cheap Arrow/numpy pass runs twice. Partition indexes agree between the readers
 because an exchange with an explicit partition count is never coalesced or
 split by AQE.
 """
@@ -25,7 +26,8 @@ split by AQE.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,8 +40,7 @@ def exclusive_running_max(df: DataFrame, order_cols: list[str], value_col: str,
                           out_col: str, num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = max(``value_col``) over rows ordered strictly before
     this one by ``order_cols`` (which must be unique). ``value_col`` is a
-    nullable long (exact up to 2^53 in the Arrow hand-off, e.g. epoch
-    microseconds); NULL values are skipped; no earlier value gives NULL."""
+    nullable long; NULL values are skipped; no earlier value gives NULL."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     local_col, pid_col = "_local_prev", "_scan_pid"
@@ -50,23 +51,21 @@ def exclusive_running_max(df: DataFrame, order_cols: list[str], value_col: str,
     def scan(batches):
         pid = TaskContext.get().partitionId()
         carry = _NONE
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            v = pdf[value_col].to_numpy(dtype="float64", na_value=np.nan)
-            vi = np.where(np.isnan(v), _NONE, np.nan_to_num(v).astype("int64"))
-            inclusive = np.maximum.accumulate(np.maximum(vi, carry))
+            v = pc.fill_null(rb.column(value_col).cast(pa.int64()), _NONE)
+            inclusive = np.maximum.accumulate(np.maximum(v.to_numpy(), carry))
             prev = np.empty_like(inclusive)
             prev[0] = carry
             prev[1:] = inclusive[:-1]
             carry = int(inclusive[-1])
-            out = pdf.copy()
-            out[local_col] = pd.array(np.where(prev == _NONE, None, prev), dtype="Int64")
-            out[pid_col] = np.int32(pid)
-            yield out
+            yield (rb.append_column(local_col, pa.array(prev, mask=prev == _NONE))
+                   .append_column(pa.field(pid_col, pa.int32(), nullable=False),
+                                  pa.array(np.full(rb.num_rows, pid, dtype=np.int32))))
 
     ranged = df.repartitionByRange(n, *order_cols)
-    scanned = ranged.sortWithinPartitions(*order_cols).mapInPandas(scan, out_schema)
+    scanned = ranged.sortWithinPartitions(*order_cols).mapInArrow(scan, out_schema)
 
     # reads ``scanned`` (not ``ranged``): column pruning cannot cross the
     # Python operator, so this branch reuses the very same exchange

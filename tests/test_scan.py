@@ -20,3 +20,10 @@ def test_exclusive_running_max_vs_loop(spark):
                .select("id", "p").collect()}
         assert got == want
     assert exclusive_running_max(df.limit(0), ["t", "id"], "v", "p").count() == 0
+
+
+def test_exact_beyond_two_to_the_53(spark):
+    big = 2 ** 62
+    df = spark.createDataFrame([(1, big + 1), (2, None), (3, big + 3), (4, 5)], "t long, v long")
+    got = {r.t: r.p for r in exclusive_running_max(df, ["t"], "v", "p", 2).collect()}
+    assert got == {1: None, 2: big + 1, 3: big + 1, 4: big + 3}

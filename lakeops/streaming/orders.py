@@ -164,3 +164,18 @@ def dedup_state(source: DataFrame, watermark_col: str | None = None,
     if watermark_col and delay:
         return ok.withWatermark(watermark_col, delay).dropDuplicatesWithinWatermark(orders.KEY)
     return ok.dropDuplicates(orders.KEY)
+
+
+def compact_target(spark: SparkSession, target: str, out: str) -> int:
+    """Rewrite a bucketed target into ``out`` with one file per bucket (the
+    small files of many micro-batches merged). Spark cannot overwrite a path
+    it reads, so the copy goes elsewhere; point readers (and the next stream
+    run, with the same checkpoint) at ``out`` once it is written. Ids are
+    unique, so buckets are balanced. Returns the row count, checked against
+    the source."""
+    src = spark.read.parquet(target)
+    src.repartition(BUCKET_COL).write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(out)
+    n_src, n_out = src.count(), spark.read.parquet(out).count()
+    if n_src != n_out:
+        raise RuntimeError(f"compaction lost rows: {n_src} -> {n_out}")
+    return n_out

@@ -123,3 +123,17 @@ def test_bucketed_target_prunes_and_flat_option(spark, tmp):
     q.awaitTermination(120)
     assert spark.read.parquet(tmp + "/flat").columns == [
         "order_uuid", "username", "item_name", "quantity", "created_at"]
+
+
+def test_compact_target(spark, tmp):
+    import glob as _glob
+    src = tmp + "/in"
+    for b in range(3):
+        write_batch(src, f"f-{b:04d}.json", [msg(f"id{b}-{i}") for i in range(40)])
+        run_once(spark, src, tmp + "/o", tmp + "/q", tmp + "/ck")
+    before = len(_glob.glob(tmp + "/o/order_bucket=*/*.parquet"))
+    n = stream.compact_target(spark, tmp + "/o", tmp + "/o2")
+    after = len(_glob.glob(tmp + "/o2/order_bucket=*/*.parquet"))
+    assert n == 120 and after < before
+    assert rows(stream.read_target(spark, tmp + "/o2"), "order_uuid") == \
+        rows(stream.read_target(spark, tmp + "/o"), "order_uuid")

@@ -40,7 +40,11 @@ def exclusive_running_max(df: DataFrame, order_cols: list[str], value_col: str,
                           out_col: str, num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = max(``value_col``) over rows ordered strictly before
     this one by ``order_cols`` (which must be unique). ``value_col`` is a
-    nullable long; NULL values are skipped; no earlier value gives NULL."""
+    nullable long; NULL values are skipped; no earlier value gives NULL.
+
+    ``num_partitions`` defaults to ``spark.sql.shuffle.partitions``. AQE
+    leaves an explicitly numbered exchange alone (no coalescing or
+    splitting), so on a cluster pass about input bytes / 128 MB."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     local_col, pid_col = "_local_prev", "_scan_pid"

@@ -112,7 +112,9 @@ def validate(tickets: DataFrame, requests: DataFrame) -> DataFrame:
     """One row per request (request_id, ticket_id, ts): status
     ``not_found`` (no ticket, or the request precedes its creation),
     ``expired`` (ts > expires_at) or ``valid``; name and expiry only when
-    valid. A left join: a hot ticket id is split by AQE's skew handling."""
+    valid. A ticket without an expiry (possible only in a replica's log) is
+    reported ``expired``. A left join: a hot ticket id is split by AQE's
+    skew handling."""
     return _finish(_base_status(_join_tickets(requests, tickets)))
 
 

@@ -137,3 +137,21 @@ def test_compact_target(spark, tmp):
     assert n == 120 and after < before
     assert rows(stream.read_target(spark, tmp + "/o2"), "order_uuid") == \
         rows(stream.read_target(spark, tmp + "/o"), "order_uuid")
+
+
+def test_kafka_shaped_batch(spark, tmp):
+    """A micro-batch shaped like the Kafka source (binary value, partition,
+    offset): first wins by (partition, offset), binary values decoded."""
+    import datetime as dt
+    recs = [(None, msg("a", item="p0-o5").encode(), "orders", 0, 5, dt.datetime(2024, 1, 1)),
+            (None, msg("a", item="p0-o2").encode(), "orders", 0, 2, dt.datetime(2024, 1, 1)),
+            (None, msg("b").encode(), "orders", 1, 0, dt.datetime(2024, 1, 1)),
+            (None, b"not json", "orders", 1, 1, dt.datetime(2024, 1, 1)),
+            (None, None, "orders", 1, 2, dt.datetime(2024, 1, 1))]
+    batch = spark.createDataFrame(recs, "key binary, value binary, topic string, partition int, "
+                                        "offset long, timestamp timestamp")
+    stream.process_batch(batch, 0, tmp + "/o", tmp + "/q", as_of="2024-01-02 00:00:00")
+    got = rows(stream.read_target(spark, tmp + "/o"), "order_uuid", "item_name")
+    assert got == [("a", "p0-o2"), ("b", "Pineapple")]
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(tmp + "/q").collect())
+    assert reasons == ["not a JSON object", "null message"]

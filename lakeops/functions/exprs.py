@@ -23,8 +23,7 @@ def as_of_lit(as_of, ntz: bool = False) -> Column:
     """A fixed point in time as a literal (taken as an argument so reruns
     repeat; one value for the whole statement, like NOW())."""
     if as_of is None:
-        c = F.current_timestamp()
-        return F.to_timestamp_ntz(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")) if ntz else c
+        return F.localtimestamp() if ntz else F.current_timestamp()
     if isinstance(as_of, str):
         return F.lit(as_of).cast("timestamp_ntz" if ntz else "timestamp")
     if isinstance(as_of, _dt.datetime):

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import flag_to_int
 from ..operators.topk import top_k
 
 
@@ -54,7 +55,7 @@ def top_products(products: DataFrame, items: DataFrame, n: int = 10) -> DataFram
 def on_time_rate(flag: str = "on_time_delivery"):
     """CAST(SUM(CASE WHEN flag THEN 1 ELSE 0 END) AS NUMERIC) * 100 / COUNT(*).
     NULL flags count in the denominator; empty input gives NULL."""
-    hits = F.sum(F.when(F.col(flag), 1).otherwise(0)).cast("decimal(20,0)")
+    hits = F.sum(flag_to_int(flag)).cast("decimal(20,0)")
     return (hits * F.lit(100)) / F.count(F.lit(1))
 
 

@@ -30,7 +30,11 @@ def _boundary(counts: dict[int, int], need: int) -> tuple[int | None, int]:
     return None, before
 
 
-def sample_exact(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
+MAX_EDGE_ROWS = 5_000_000
+
+
+def sample_exact(df: DataFrame, n: int, keys: list[str], seed: int = 42,
+                 max_edge_rows: int = MAX_EDGE_ROWS) -> DataFrame:
     """O3: a uniform sample of exactly ``n`` rows (``ORDER BY random() LIMIT n``).
 
     Rows are ranked by a seeded 64-bit hash of their key (ties broken by the
@@ -40,6 +44,11 @@ def sample_exact(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> Data
     Every row below the boundary bucket is kept by a plain filter; only the
     boundary bucket (about rows / 2^32 rows) goes through a small top-k.
     Histograms are bounded by 2^16 rows whatever the table size.
+
+    ``keys`` must identify rows: rows with equal keys share a hash, so a key
+    repeated by a large share of the table would all land in the boundary
+    bucket. If that bucket holds more than ``max_edge_rows`` rows the call
+    fails with an explanation rather than sending them through one task.
     """
     if n < 0:
         raise ValueError("sample size must be >= 0")
@@ -58,6 +67,10 @@ def sample_exact(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> Data
           .groupBy(mid.alias("b")).count().collect()}
     b2, before2 = _boundary(c2, n - before1)
     take = n - before1 - before2
+    if c2[b2] > max_edge_rows:
+        raise ValueError(
+            f"{c2[b2]} rows share one hash bucket at the sample boundary: the sample "
+            f"keys {keys} repeat heavily; pass columns that identify rows")
     full = hashed.where((hi < b1) | ((hi == b1) & (mid < b2)))
     edge = (hashed.where((hi == b1) & (mid == b2))
             .orderBy(F.col("_sample_h"), *[F.col(k) for k in keys]).limit(take))

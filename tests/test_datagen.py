@@ -66,3 +66,16 @@ def test_generated_star_feeds_reports_and_audit(spark, tmp):
     assert 5 <= float(s.min_cost) <= float(s.avg_cost) <= float(s.max_cost) <= 50
     bad = [r for r in quality.audit(t).collect() if r.violations]
     assert bad == []
+
+
+def test_sample_exact_refuses_repeated_keys(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    h = dict((r.k, r.h) for r in df.select("k", F.xxhash64("k", F.lit(1)).alias("h"))
+             .distinct().collect())
+    below = sum(1 for r in df.collect() if h[r.k] < h[7])
+    n = below + 500                                  # boundary inside the repeated key
+    with pytest.raises(ValueError):
+        sample_exact(df, n, ["k"], seed=1, max_edge_rows=100).count()
+    assert sample_exact(df.withColumn("rid", F.monotonically_increasing_id()), n,
+                        ["k", "rid"], seed=1, max_edge_rows=100).count() == n

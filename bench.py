@@ -69,7 +69,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = env_int("BENCH_CPUS", 8)
-    runs = env_int("BENCH_RUNS", 3)
+    runs = env_int("BENCH_RUNS", 5)
     spark = get_spark(f"local[{cpus}]", app_name="lakeops-bench",
                       shuffle_partitions=max(cpus, 4),
                       extra_conf={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})

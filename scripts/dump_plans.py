@@ -21,7 +21,7 @@ KINDS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange Ro
          "Exchange SinglePartition", "BroadcastExchange", "ReusedExchange",
          "BroadcastHashJoin", "SortMergeJoin", "BroadcastNestedLoopJoin",
          "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Window",
-         "TakeOrderedAndProject", "MapInPandas"]
+         "TakeOrderedAndProject", "MapInArrow"]
 
 
 def shorten(line: str, width: int = 170) -> str:

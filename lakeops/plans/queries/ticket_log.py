@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...sources import testdata as td
+from ...sources.jsonlog import bad_records, parse_records
 from .. import tickets
 from .base import register
 
@@ -145,3 +146,40 @@ def q_issue_tickets(spark, d):
                     .alias("passenger_name"),
                     F.col("ts").alias("paid_at")))
     return tickets.issue_tickets(pays, key_cols=["event_id"])
+
+
+# --------------------------------------------------------------------------
+# L3 bad-line handling over whole tables: every event becomes a log line; a
+# view becomes an object with trailing text, a click a blank line, the rest
+# JSON records. Parsing keeps the records and rejects the trailing-text lines
+# (blank lines are neither).
+# --------------------------------------------------------------------------
+def _log_lines(spark, d):
+    e = td.table(spark, d, "events")
+    op = (F.when(F.col("event_type").isin(*td.CREATE_TYPES), F.lit("CREATE"))
+          .when(F.col("event_type").isin(*td.DELETE_TYPES), F.lit("DELETE"))
+          .otherwise(F.upper("event_type")))
+    rec = F.to_json(F.struct(op.alias("op"), F.col("user_id").cast("string").alias("ticket_id")))
+    value = (F.when(F.col("event_type") == "view", F.concat(rec, F.lit(" trailing")))
+             .when(F.col("event_type") == "click", F.lit("   "))
+             .otherwise(rec))
+    return e.select(value.alias("value"), F.col("event_id").alias("lsn"))
+
+
+_OP_SQL = """CASE WHEN event_type IN ('signup', 'purchase') THEN 'CREATE'
+            WHEN event_type = 'error' THEN 'DELETE' ELSE upper(event_type) END"""
+
+
+@register("log_parse", f"""
+SELECT event_id AS lsn, {_OP_SQL} AS op, CAST(user_id AS VARCHAR) AS ticket_id
+FROM events WHERE event_type NOT IN ('view', 'click')
+""")
+def q_log_parse(spark, d):
+    return parse_records(_log_lines(spark, d)).select("lsn", "op", "ticket_id")
+
+
+@register("log_bad_lines", """
+SELECT event_id AS lsn FROM events WHERE event_type = 'view'
+""")
+def q_log_bad_lines(spark, d):
+    return bad_records(_log_lines(spark, d)).select("lsn")

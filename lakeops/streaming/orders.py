@@ -160,7 +160,8 @@ def dedup_state(source: DataFrame, watermark_col: str | None = None,
     """Option B: native keyed-state dedup of decoded good rows. With a
     watermark, ``dropDuplicatesWithinWatermark`` bounds state but only
     drops duplicates that arrive within the delay (weaker than W1)."""
-    ok, _ = orders.split(orders.decode(source))
+    keep = [watermark_col] if watermark_col else []
+    ok, _ = orders.split(orders.decode(source, keep))
     if watermark_col and delay:
         return ok.withWatermark(watermark_col, delay).dropDuplicatesWithinWatermark(orders.KEY)
     return ok.dropDuplicates(orders.KEY)

@@ -93,3 +93,19 @@ def test_anti_join_probe_and_shuffle_agree(spark):
     assert rows(anti_join(new, old, ["k"]), "k", "v") == sorted(want, key=repr)
     assert rows(anti_join(new, old, ["k"], max_probe_rows=10), "k", "v") == sorted(want, key=repr)
     assert rows(anti_join(new, old, ["k"], max_probe_rows=2), "k", "v") == sorted(want, key=repr)
+
+
+def test_dedup_state_with_watermark(spark, tmp):
+    import os
+    src = tmp + "/in"
+    os.makedirs(src)
+    with open(src + "/a.json", "w") as f:
+        f.write("\n".join(json.dumps({"order_id": k, "user": "u", "item": "i", "quantity": 1})
+                          for k in ["x", "x", "y", "y", "z"]) + "\n")
+    raw = spark.readStream.format("text").load(src).select(
+        "value", F.col("_metadata.file_modification_time").alias("event_time"))
+    s = stream.dedup_state(raw, watermark_col="event_time", delay="1 hour")
+    q = (s.writeStream.format("memory").queryName("dedup_wm_t")
+         .option("checkpointLocation", tmp + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert sorted(r.order_uuid for r in spark.table("dedup_wm_t").collect()) == ["x", "y", "z"]

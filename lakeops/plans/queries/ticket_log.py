@@ -72,8 +72,22 @@ def _tickets(spark, d):
     return tickets.replay(log.where(F.col("created_at") < F.lit(STATE_AS_OF).cast("timestamp_ntz")))
 
 
-@register("ticket_replay", _TICKETS_SQL)
+@register("ticket_replay", f"""
+SELECT ticket_id, passenger_name, created_at, expires_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY lsn DESC) AS rn
+  FROM ({_LOG_SQL}) lg
+  WHERE op IN ('CREATE', 'DELETE') AND length(ticket_id) > 0) x
+WHERE rn = 1 AND op = 'CREATE'
+""")
 def q_ticket_replay(spark, d):
+    """L2 over the whole log (the validation queries below use the state as
+    of mid-month, so that requests later in the month can expire)."""
+    return tickets.replay(td.ticket_log(spark, d, TICKET_TTL))
+
+
+@register("ticket_state_mid_month", _TICKETS_SQL)
+def q_ticket_state_mid_month(spark, d):
+    """L2 on the log records before STATE_AS_OF: the state validated below."""
     return _tickets(spark, d)
 
 

@@ -1,0 +1,55 @@
+"""Property tests (hypothesis): replay against a Python fold; the JSON
+object-shape test against Python's JSON parser."""
+
+import json
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from lakeops.functions.exprs import json_object_shape
+from lakeops.plans import tickets
+
+SETTINGS = settings(max_examples=12, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+ops = st.sampled_from(["CREATE", "DELETE", "NOOP", None])
+ids = st.sampled_from(["a", "b", "c", "", None])
+logs = st.lists(st.tuples(ops, ids), min_size=0, max_size=40)
+
+
+@SETTINGS
+@given(log=logs, parts=st.integers(min_value=1, max_value=5))
+def test_replay_matches_python_fold(spark, log, parts):
+    rows = [(i, op, tid, f"n{i}", None, None) for i, (op, tid) in enumerate(log)]
+    df = spark.createDataFrame(rows, "lsn long, op string, ticket_id string, passenger_name string, "
+                                     "created_at timestamp, expires_at timestamp").repartition(parts)
+    state = {}
+    for i, op, tid, name, _, _ in rows:
+        if not tid:
+            continue
+        if op == "CREATE":
+            state[tid] = name
+        elif op == "DELETE":
+            state.pop(tid, None)
+    got = {r.ticket_id: r.passenger_name for r in tickets.replay(df).collect()}
+    assert got == state
+
+
+text = st.text(alphabet=st.sampled_from(list('ab{}[]":,\\ ')), max_size=8)
+values = st.recursive(st.none() | st.booleans() | st.integers(-5, 5) | text,
+                      lambda inner: st.lists(inner, max_size=3)
+                      | st.dictionaries(text, inner, max_size=3), max_leaves=6)
+objects = st.dictionaries(text, values, max_size=4)
+
+
+@SETTINGS
+@given(objs=st.lists(objects, min_size=1, max_size=6))
+def test_shape_accepts_objects_and_rejects_pairs(spark, objs):
+    singles = [json.dumps(o) for o in objs]
+    pairs = [json.dumps(a) + sep + json.dumps(b) for a, b, sep in
+             zip(objs, objs[1:] + objs[:1], [" ", "", "\t"] * 3)]
+    data = [(s, True) for s in singles] + [(p, False) for p in pairs]
+    df = spark.createDataFrame(data, "v string, want boolean")
+    got = [(r.v, r.ok, r.want) for r in df.select("v", "want",
+                                                  json_object_shape("v").alias("ok")).collect()]
+    assert all(ok == want for _, ok, want in got), [g for g in got if g[1] != g[2]]

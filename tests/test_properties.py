@@ -53,3 +53,31 @@ def test_shape_accepts_objects_and_rejects_pairs(spark, objs):
     got = [(r.v, r.ok, r.want) for r in df.select("v", "want",
                                                   json_object_shape("v").alias("ok")).collect()]
     assert all(ok == want for _, ok, want in got), [g for g in got if g[1] != g[2]]
+
+
+kinds = st.sampled_from(["ok", "ok", "bad_qty", "not_json", "no_id"])
+messages = st.lists(st.tuples(st.sampled_from(["o1", "o2", "o3"]), kinds,
+                              st.integers(0, 9)), max_size=30)
+
+
+@SETTINGS
+@given(msgs=messages, existing=st.sets(st.sampled_from(["o1", "o2", "o3"]), max_size=2))
+def test_insert_matches_row_by_row(spark, msgs, existing):
+    from lakeops.plans import orders
+    rows, model = [], {}
+    for off, (oid, kind, q) in enumerate(msgs):
+        if kind == "not_json":
+            v = "oops"
+        elif kind == "no_id":
+            v = json.dumps({"user": "u", "item": f"i{off}", "quantity": q})
+        else:
+            v = json.dumps({"order_id": oid, "user": "u", "item": f"i{off}",
+                            "quantity": "x" if kind == "bad_qty" else q})
+        rows.append((off, v))
+        if kind == "ok" and oid not in existing:
+            model.setdefault(oid, f"i{off}")
+    df = spark.createDataFrame(rows, "offset long, value string")
+    ex = spark.createDataFrame([(k,) for k in existing], "order_uuid string")
+    got = {r.order_uuid: r.item_name
+           for r in orders.orders_to_insert(df, ex, ["offset"], as_of="2024-01-01").collect()}
+    assert got == model

@@ -31,7 +31,6 @@ def main() -> None:
     spark = get_spark("local[8]", shuffle_partitions=8, extra_conf={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": ev,
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
-    marks = []
     for name in names:
         for r in range(runs):
             spark.sparkContext.setJobDescription(f"{name}#{r}")
@@ -59,7 +58,6 @@ def main() -> None:
         if desc.endswith(last):
             name, tasks, ms = stages[sid]
             print(f"{desc:24s} stage {sid:4d} tasks={tasks:3d} {ms:6d} ms  {name[:70]}")
-    del marks
 
 
 if __name__ == "__main__":

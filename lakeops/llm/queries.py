@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import sharding, warc
+from . import sharding, simhash, topk_search, toxicity, warc
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -16,3 +16,26 @@ def op1(spark, sf_dir):
 @register("op5_sharding")
 def op5(spark, sf_dir):
     return sharding.sharded_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op6_topk", """
+    WITH flat AS (SELECT vec_id, floor(64 * unnest(embedding)::DOUBLE)::BIGINT AS x,
+                         generate_subscripts(embedding, 1) AS i FROM embeddings),
+         scored AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+                    FROM flat q JOIN flat c ON q.i = c.i AND q.vec_id <> c.vec_id
+                    WHERE q.vec_id % 20 = 0 GROUP BY ALL),
+         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id
+                                                 ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""")
+def op6(spark, sf_dir):
+    return topk_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@register("op9_simhash")
+def op9(spark, sf_dir):
+    return simhash.simhash_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import sharding, simhash, topk_search, toxicity, warc
+from . import packing, sharding, simhash, topk_search, toxicity, warc
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -31,6 +31,18 @@ def op6(spark, sf_dir):
     return topk_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def tokenizer_path() -> str:
+    """The public byte-level BPE file; installed beside the library, on every
+    machine."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op8_packing")
+def op8(spark, sf_dir):
+    return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @register("op9_simhash")
 def op9(spark, sf_dir):
     return simhash.simhash_documents(table(spark, sf_dir, "documents"))

@@ -35,6 +35,7 @@ from .base import written
 BUCKETS = 1 << 20
 SAMPLE = 20_000
 TERMS = 2048
+LEAST_G = 10.0      # G of a term that tells something (chance: about 1 in 600 terms)
 FACTORS = 8
 PREFIXES = (5, 6, 7, 8)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -124,17 +125,18 @@ def flat(lists) -> tuple[np.ndarray, np.ndarray]:
             np.fromiter((t for x in lists for t in x), dtype=np.int64, count=sum(lengths)))
 
 
-def telling(counts: pd.DataFrame, n: int, toxic: int, most: int) -> np.ndarray:
-    """The ``most`` buckets whose presence tells most about the label: largest
-    G statistic of the 2 x 2 table; ties to the smaller bucket."""
+def telling(counts: pd.DataFrame, n: int, toxic: int, most: int, least: float = LEAST_G) -> np.ndarray:
+    """The ``most`` buckets whose presence tells most about the label, of those
+    whose G statistic (of the 2 x 2 table) is ``least`` or more; ties to the
+    smaller bucket."""
     a, ab = counts["toxic"].to_numpy(float), counts["rows"].to_numpy(float)
 
     def part(x, expected):
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-12) / np.maximum(expected, 1e-12)), 0)
 
-    g = sum(part(x, r * c / n) for x, r, c in (
+    g = 2 * sum(part(x, r * c / n) for x, r, c in (
         (a, ab, toxic), (ab - a, ab, n - toxic), (toxic - a, n - ab, toxic), (n - toxic - ab + a, n - ab, n - toxic)))
-    order = np.lexsort((counts["bucket"].to_numpy(), -g))[:most]
+    order = np.lexsort((counts["bucket"].to_numpy(), -g))[:min(most, int((g >= least).sum()))]
     return np.sort(counts["bucket"].to_numpy()[order])
 
 

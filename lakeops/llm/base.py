@@ -53,10 +53,10 @@ def numbered(df: DataFrame, group: str, bucket: str, order: list[str], out: str)
     running sum is over one row for each (group, bucket)."""
     before = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = (df.groupBy(group, bucket).agg(F.count(F.lit(1)).alias("_n"))
-              .select(F.col(group).alias("_g"), F.col(bucket).alias("_b"),
+              .select(F.col(group).alias("_own_group"), F.col(bucket).alias("_own_part"),
                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
     within = Window.partitionBy(group, bucket).orderBy(*order)
     return (df.withColumn("_i", F.row_number().over(within).cast("long") - 1)
-            .join(starts, F.col(group).eqNullSafe(F.col("_g")) & F.col(bucket).eqNullSafe(F.col("_b")))
+            .join(starts, F.col(group).eqNullSafe(F.col("_own_group")) & F.col(bucket).eqNullSafe(F.col("_own_part")))
             .withColumn(out, F.col("_start") + F.col("_i"))
-            .drop("_g", "_b", "_start", "_i"))
+            .drop("_own_group", "_own_part", "_start", "_i"))

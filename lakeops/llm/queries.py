@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import packing, sharding, simhash, topk_search, toxicity, warc
+from . import mixing, packing, sharding, simhash, topk_search, toxicity, warc
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -13,6 +13,64 @@ def op1(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def _level(table_, parents, cap="cap"):
+    """One level of the budget tree in SQL: the node's own budget."""
+    by = f"PARTITION BY {parents}" if parents else ""
+    return f"""
+      SELECT * EXCLUDE (budget, before, above, filled, held, open_weight),
+             CASE WHEN filled THEN cap
+                  ELSE ((weight * (budget - held)) // open_weight)::BIGINT END AS budget
+      FROM (SELECT *, sum(CASE WHEN filled THEN cap ELSE 0 END) OVER ({by}) AS held,
+                   sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({by}) AS open_weight
+            FROM (SELECT *, cap::HUGEINT * above <= weight::HUGEINT * (budget - before) AS filled
+                  FROM (SELECT *, coalesce(sum(cap) OVER ({by} ORDER BY cap / weight, cap
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                               coalesce(sum(weight) OVER ({by} ORDER BY cap / weight, cap
+                                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS above
+                        FROM ({table_}))))"""
+
+
+def _weight(level):
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mixing.WEIGHTS.get(level, {}).items())
+    return f"CASE {level} {cases} ELSE 1 END" if cases else "1"
+
+
+MIXING_SQL = f"""
+WITH rows_ AS (
+  SELECT doc_id,
+         coalesce('domain' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4), 'none') AS domain,
+         coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS tokens
+  FROM documents),
+leaves AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens,
+                  (sum(tokens) * {mixing.MAX_EPOCHS})::BIGINT AS cap FROM rows_ GROUP BY ALL),
+root AS (SELECT least(sum(tokens) * {mixing.TARGET[0]} // {mixing.TARGET[1]}, sum(cap))::BIGINT AS budget
+         FROM leaves),
+d AS ({_level(f"SELECT domain, sum(cap)::BIGINT AS cap, {_weight('domain')} AS weight, any_value(budget) AS budget FROM leaves, root GROUP BY domain", "")}),
+l AS ({_level(f"SELECT domain, lang, sum(leaves.cap)::BIGINT AS cap, {_weight('lang')} AS weight, any_value(d.budget) AS budget FROM leaves JOIN d USING (domain) GROUP BY domain, lang", "domain")}),
+s AS ({_level(f"SELECT domain, lang, source, leaves.cap, leaves.tokens, {_weight('source')} AS weight, l.budget FROM leaves JOIN l USING (domain, lang)", "domain, lang")}),
+plan AS (SELECT domain, lang, source,
+                CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole_epochs,
+                CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest FROM s),
+keyed AS (SELECT rows_.*, whole_epochs, rest,
+                 md5('{mixing.SEED}:' || whole_epochs || ':' || coalesce(doc_id::VARCHAR, 'null')) AS key
+          FROM rows_ JOIN plan USING (domain, lang, source)),
+placed AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key
+                      RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE TIES), tokens) - tokens AS before
+           FROM keyed)
+SELECT doc_id, domain, lang, source, epoch::BIGINT AS epoch, tokens, tokens AS taken
+FROM placed, range(whole_epochs) t(epoch)
+UNION ALL
+SELECT doc_id, domain, lang, source, whole_epochs::BIGINT AS epoch, tokens,
+       least(tokens, rest - before)::BIGINT AS taken
+FROM placed WHERE before < rest"""
+
+
+@register("op4_mixing", MIXING_SQL)
+def op4(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 @register("op5_sharding")
 def op5(spark, sf_dir):
     return sharding.sharded_documents(table(spark, sf_dir, "documents"))

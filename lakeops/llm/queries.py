@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import mixing, packing, sharding, simhash, topk_search, toxicity, warc
+from . import mixing, packing, quality, sharding, simhash, topk_search, toxicity, warc
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -89,6 +89,11 @@ def op6(spark, sf_dir):
     return topk_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@register("op7_quality")
+def op7(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     """The public byte-level BPE file; installed beside the library, on every
     machine."""

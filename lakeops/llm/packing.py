@@ -43,6 +43,7 @@ STEPS = 4096            # most steps of the multiplicative weights
 PRICED = 96             # lengths that one step prices
 SHARE = 1.0             # part of what its scarcest length lacks that a step's configuration is used for
 RATE = 0.3              # how fast a length's weight follows its coverage
+LONG = 0.3              # how much more
 SLACK = 0               # room that a configuration may leave to be rounded down, not dropped
 BUCKETS = 256           # parts of one length's pieces that are numbered apart
 PART_CHARS = 1 << 16
@@ -170,7 +171,8 @@ def solve(lengths: list[int], counts: list[int], capacity: int) -> list[tuple[di
     volume = float((length * count).sum()) / capacity
     rng, n = np.random.default_rng(11), len(length)
     weight, left, done, used, deal = np.ones(n), count.copy(), 0.0, {}, np.zeros(0, dtype=int)
-    rate = RATE
+    rate, part = RATE, length / capacity
+    worth = part + LONG * part * part       # long pieces are worth more than their size: they fit least
     for _ in range(STEPS):
         open_ = np.nonzero(left >= 1)[0]
         if not len(open_) or done >= volume:
@@ -181,7 +183,7 @@ def solve(lengths: list[int], counts: list[int], capacity: int) -> list[tuple[di
         own = np.sort(own[left[own] >= 1])
         if not len(own):
             continue
-        config = priced(length[own].tolist(), (weight * length / capacity)[own], left[own], capacity)
+        config = priced(length[own].tolist(), (weight * worth)[own], left[own], capacity)
         config = {int(own[i]): k for i, k in config.items()}
         amount = max(1.0, SHARE * min(left[i] / k for i, k in config.items()))
         key = tuple(sorted(config.items()))

@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import mixing, packing, quality, sharding, simhash, topk_search, toxicity, warc
+from . import extraction, mixing, packing, quality, sharding, simhash, topk_search, toxicity, warc
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -66,6 +66,11 @@ SELECT doc_id, domain, lang, source, whole_epochs::BIGINT AS epoch, tokens,
 FROM placed WHERE before < rest"""
 
 
+@register("op2_extraction")
+def op2(spark, sf_dir):
+    return extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 @register("op4_mixing", MIXING_SQL)
 def op4(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))

@@ -173,4 +173,5 @@ def mixed(docs: DataFrame, weights=WEIGHTS, target=TARGET, max_epochs: int = MAX
     """The chosen documents themselves, whole, once per chosen epoch, with the
     columns of ``docs``. No text is shuffled."""
     plan = mixing_plan(counted(docs), weights, target, max_epochs, seed)
-    return taken(with_leaf(docs), plan, seed).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    return taken(with_leaf(docs.select(row, "doc_id", "lang", "source")), plan, seed).select("_row.*")

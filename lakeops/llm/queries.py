@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import extraction, mixing, packing, quality, sharding, simhash, topk_search, toxicity, warc
+from . import extraction, mixing, packing, quality, sharding, simhash, suffix, topk_search, toxicity, warc
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -71,6 +71,11 @@ def op2(spark, sf_dir):
     return extraction.extracted(table(spark, sf_dir, "pages"))
 
 
+@register("op3_suffix_dedup")
+def op3(spark, sf_dir):
+    return suffix.deduplicated(table(spark, sf_dir, "documents"))
+
+
 @register("op4_mixing", MIXING_SQL)
 def op4(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))

@@ -31,9 +31,11 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .base import written
 from .components import stars
@@ -192,18 +194,48 @@ def links(points: DataFrame, max_bits: int, n: int) -> DataFrame:
             .mapInPandas(run, "u long, v long"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: str = "text",
-                    key: str = "doc_id") -> DataFrame:
-    """(key, fp, component_id), a row for each document: the smallest key
-    reachable over links of at most ``max_bits`` differing bits."""
-    fps = written(fingerprints(docs, shingle, text, key), "fingerprints")
+def grouped(fps: DataFrame, max_bits: int, key: str) -> DataFrame:
+    """``fps`` (key, fp; written) plus ``root``, a fingerprint that names the
+    component, and ``component_id``: the smallest key reachable over links of at
+    most ``max_bits`` differing bits."""
     points = written(fps.groupBy("fp").agg(F.min(key).alias("least")), "points")
     found = stars(links(points.select("fp"), max_bits, points.count()))
     rooted = (points.join(found.select(F.col("v").alias("fp"), "root"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     named = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    label = written(rooted.join(named, "root").select("fp", "component_id"), "labels")
-    return fps.join(label, "fp").select(key, "fp", "component_id")
+    label = written(rooted.join(named, "root").select("fp", "root", "component_id"), "labels")
+    return fps.join(label, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: str = "text",
+                    key: str = "doc_id") -> DataFrame:
+    """(key, fp, component_id), a row for each document."""
+    fps = written(fingerprints(docs, shingle, text, key), "fingerprints")
+    return grouped(fps, max_bits, key).select(key, "fp", "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: str = "text",
+                    key: str = "doc_id") -> DataFrame:
+    """One row of ``docs``, unchanged, of each component: the one with the
+    smallest key, of equal keys the one of smallest fingerprint, of rows equal in
+    both any one that hashes lowest."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("row").field(text_at)
+            fp = np.array([fingerprint(t.as_py(), shingle) for t in texts], dtype=np.uint64)
+            yield batch.append_column("fp", pa.array(fp.view(np.int64)))
+
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text_at, wrapped = docs.columns.index(text), docs.select(row.alias("row"))
+    rows = written(wrapped.mapInArrow(run, T.StructType([*wrapped.schema.fields, T.StructField("fp", T.LongType())])), "documents-fingerprinted")
+    own = F.col(f"row.`{key}`")
+    first = (grouped(rows.select(own.cast("long").alias("key"), "fp"), max_bits, "key").groupBy("root")
+             .agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "fp")).alias("first"))
+             .select(F.coalesce(F.col("first.key").cast("string"), F.lit("null")).alias("name"), "first.fp"))
+    one = Window.partitionBy("name", "fp").orderBy(F.xxhash64("row"))
+    return (rows.withColumn("name", F.coalesce(own.cast("long").cast("string"), F.lit("null")))
+            .join(first, ["name", "fp"]).withColumn("place", F.row_number().over(one)).where("place = 1")
+            .select("row.*"))
 
 
 def simhash_documents(docs: DataFrame) -> DataFrame:

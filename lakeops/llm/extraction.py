@@ -6,7 +6,7 @@ elements whose class, id or role names such a part are boilerplate), its link
 density, its length and the share of stop words among its words: good, bad, or
 ambiguous. Pass two gives an ambiguous block the label of its nearest decided
 neighbours in its region: both alike, that label; different, the nearer one
-(equally near: good). A region is the article (or ``main``) a block stands in; on a
+(equally near: good). Boilerplate elements inside an article are no neighbours. A region is the article (or ``main``) a block stands in; on a
 page that has one with text, what stands outside of it is boilerplate. Blocks in
 an article are never bad for lack of stop words, only ambiguous, and a region
 without decided blocks is good if it isn't mostly links.
@@ -94,7 +94,7 @@ def blocks_of(page: str) -> list[Block]:
     block = Block(False, 0)
 
     def add(text):
-        if text:
+        if text and (block.boiler or not (stack and stack[-1][1])):     # inline boilerplate is left out
             text = html.unescape(text) if "&" in text else text
             block.chars.append(text)
             if links:
@@ -150,8 +150,6 @@ def blocks_of(page: str) -> list[Block]:
                     known.add(tag)
             if block_tag:
                 cut()
-            elif stack and stack[-1][1] and not block.boiler:
-                cut()       # an inline boilerplate element is a block of its own
         token = _TOKEN.search(page, at)
     add(page[at:])
     cut()
@@ -205,7 +203,8 @@ def main_text(page: str | None) -> str:
     found = [(b, t) for b, t in found if t]
     if any(b.region and not b.boiler for b, _ in found):
         found = [(b, t) for b, t in found if b.region]
-    labels = resolve([label(b, t) for b, t in found], [b.region for b, _ in found],
+    # boilerplate inside an article says nothing about the text around it
+    labels = resolve([label(b, t) for b, t in found], [-1 if b.boiler and b.region else b.region for b, _ in found],
                      [b.linked > MAX_LINKS * len(t) for b, t in found])
     return "\n".join(t for (_, t), good in zip(found, labels) if good)
 

@@ -1,0 +1,46 @@
+"""Small tables with the awkward rows every operator has a defined result for."""
+
+from __future__ import annotations
+
+import random
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, extra int"
+
+
+def prose(seed: int, words: int) -> str:
+    rng = random.Random(seed)
+    parts = ["the", "of", "and", "ing", "tion", "er", "an", "re", "on", "at", "is", "en", "ed", "to", "it"]
+    out = []
+    for _ in range(words):
+        out.append("".join(rng.choice(parts) for _ in range(rng.randint(1, 3))))
+        if rng.random() < 0.08:
+            out[-1] += "." if rng.random() < 0.7 else ".\n"
+    return " ".join(out)
+
+
+def rows(extra: int = 0):
+    """(doc_id, text, lang, source, n_chars, extra)"""
+    a, b = prose(1, 400), prose(2, 300)
+    texts = [
+        (1, a), (2, a), (3, a.replace("the", "thy", 1)), (4, b), (5, b + " " + a[300:900]), (5, prose(3, 90)),
+        (5, prose(3, 90)), (6, None), (7, ""), (8, "   \n\t "), (None, a), (None, prose(4, 120)), (9, "one"),
+        (10, "é" * 60 + a[:200]), (11, "ü" + "é" * 80), (12, "\x00" * 70), (13, "a" * 300), (14, "a" * 200 + prose(5, 60)),
+        (15, prose(6, 3000)), (16, "x y z " * 80), (17, "\n".join(["same line here of the town"] * 6 + [prose(7, 70)])),
+        (18, "#$% && *** " * 30 + prose(8, 60)), (20, "Insult 😀 " + prose(9, 60)), (2 ** 40, prose(10, 80)), (-3, prose(11, 80)),
+    ]
+    texts += [(100 + i, prose(100 + i, 60 + i % 50)) for i in range(extra)]
+    langs, sources = ["en", "de", None, "fr"], ["src1", "src2", None, "x", "src7"]
+    return [(i, t, langs[k % 4] if k % 7 else "en", sources[k % 5] if k % 3 else "src1",
+             None if t is None else len(t), k if k % 2 else None) for k, (i, t) in enumerate(texts)]
+
+
+def docs(spark, extra: int = 0):
+    return spark.createDataFrame(rows(extra), DOCS)
+
+
+def empty_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def tuples(df, *cols):
+    return sorted((tuple(r[c] for c in (cols or df.columns)) for r in df.collect()), key=repr)

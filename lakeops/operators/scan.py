@@ -1,81 +1,84 @@
-"""Global prefix scan: for every row, the maximum of a value over all rows
-strictly before it in a total order.
+"""Ordered scans that no single task has to make: a running maximum over a
+total order, and the last record of a key before each row.
 
 Spark has no distributed running aggregate: a window without PARTITION BY
-runs in one task, and partitioning by a coarse bucket puts a hot bucket in
-one task. This scan instead
+runs in one task, and a window by key puts a hot key in one task. Both scans
+cut the rows into segments of their total order first. ``segmented`` range-
+partitions on the order key, which must be unique, so segments stay balanced
+even if one instant or one key holds a third of all rows, and writes the rows with
+their segment's number into the shared folder. Everything after that reads those
+files: segment numbers can't disagree between readers, whatever the planner
+reuses, coalesces or runs again.
 
-1. range-partitions on the (unique) order key, so partitions are balanced
-   even when one timestamp holds a third of the rows,
-2. takes the running max inside each sorted partition (numpy over Arrow
-   batches in ``mapInArrow``: no pandas conversion, int64 kept exact; one
-   pass in the same stage as the shuffle read),
-3. takes each partition's max (a partial aggregate over the scan output,
-   keyed by partition index), carries it forward over the
-   ``num_partitions`` segments, and
-4. joins the carry back by partition index (broadcast; at most
-   ``num_partitions`` rows, a proven bound).
-
-Both readers of the scan output sit on the same range exchange, which Spark
-reuses (``ReusedExchange``): the upstream and the shuffle run once, only the
-cheap Arrow/numpy pass runs twice. Partition indexes agree between the readers
-because an exchange with an explicit partition count is never coalesced or
-split by AQE.
+Each segment is then scanned on its own, its total goes forward over the
+segments (one row per segment, or per key and segment), and the two meet by a
+join on the segment.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_NONE = np.iinfo(np.int64).min
+from ..session import shared_path
 
+SEGMENT = "_segment"
+SEGMENT_BYTES = 128 << 20
+_BEFORE = (Window.unboundedPreceding, -1)
 
-def exclusive_running_max(df: DataFrame, order_cols: list[str], value_col: str,
-                          out_col: str, num_partitions: int | None = None) -> DataFrame:
-    """Add ``out_col`` = max(``value_col``) over rows ordered strictly before
-    this one by ``order_cols`` (which must be unique). ``value_col`` is a
-    nullable long; NULL values are skipped; no earlier value gives NULL.
 
-    ``num_partitions`` defaults to ``spark.sql.shuffle.partitions``. AQE
-    leaves an explicitly numbered exchange alone (no coalescing or
-    splitting), so on a cluster pass about input bytes / 128 MB."""
+def segments_for(df: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> int:
+    """Segments of about ``segment_bytes`` by the optimizer's size estimate, and
+    at least ``spark.sql.shuffle.partitions``."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, min(-(-size // segment_bytes), 100_000))
+
+
+def segmented(df: DataFrame, order_cols: list[str], segments: int | None = None) -> DataFrame:
+    """``df`` with its segment's number, written once and read back. Segments
+    are ranges of ``order_cols``, numbered in that order."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    local_col, pid_col = "_local_prev", "_scan_pid"
-    out_schema = T.StructType(df.schema.fields + [
-        T.StructField(local_col, T.LongType(), True),
-        T.StructField(pid_col, T.IntegerType(), False)])
+    n = segments or segments_for(df)
+    out = df.repartitionByRange(n, *order_cols).withColumn(SEGMENT, F.spark_partition_id())
+    path = shared_path(spark, "lakeops-segments", uuid.uuid4().hex)
+    out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
 
-    def scan(batches):
-        pid = TaskContext.get().partitionId()
-        carry = _NONE
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            v = pc.fill_null(rb.column(value_col).cast(pa.int64()), _NONE)
-            inclusive = np.maximum.accumulate(np.maximum(v.to_numpy(), carry))
-            prev = np.empty_like(inclusive)
-            prev[0] = carry
-            prev[1:] = inclusive[:-1]
-            carry = int(inclusive[-1])
-            yield (rb.append_column(local_col, pa.array(prev, mask=prev == _NONE))
-                   .append_column(pa.field(pid_col, pa.int32(), nullable=False),
-                                  pa.array(np.full(rb.num_rows, pid, dtype=np.int32))))
+def exclusive_running_max(df: DataFrame, order_cols: list[str], value_col: str,
+                          out_col: str, segments: int | None = None) -> DataFrame:
+    """Add ``out_col`` = max(``value_col``) over rows ordered strictly before
+    this one by ``order_cols`` (which must be unique). NULL values are
+    skipped; no earlier value gives NULL."""
+    rows = segmented(df, order_cols, segments)
+    own = Window.partitionBy(SEGMENT).orderBy(*order_cols).rowsBetween(*_BEFORE)
+    totals = rows.groupBy(SEGMENT).agg(F.max(value_col).alias("_total"))
+    # one row per segment
+    ahead = totals.select(SEGMENT, F.max("_total").over(
+        Window.orderBy(SEGMENT).rowsBetween(*_BEFORE)).alias("_ahead"))
+    return (rows.withColumn("_own", F.max(value_col).over(own)).join(ahead, SEGMENT)
+            .withColumn(out_col, F.greatest("_own", "_ahead"))
+            .drop("_own", "_ahead", SEGMENT))
 
-    ranged = df.repartitionByRange(n, *order_cols)
-    scanned = ranged.sortWithinPartitions(*order_cols).mapInArrow(scan, out_schema)
 
-    # reads ``scanned`` (not ``ranged``): column pruning cannot cross the
-    # Python operator, so this branch reuses the very same exchange
-    seg = scanned.groupBy(pid_col).agg(F.max(value_col).alias("_seg_max"))
-    w = Window.orderBy(pid_col).rowsBetween(Window.unboundedPreceding, -1)
-    carry = seg.select(pid_col, F.max("_seg_max").over(w).alias("_carry"))
-    joined = scanned.join(F.broadcast(carry), pid_col, "left")
-    return (joined.withColumn(out_col, F.greatest(F.col(local_col), F.col("_carry")))
-            .drop(local_col, "_carry", pid_col))
+def last_before(df: DataFrame, key: str, order_cols: list[str], record: Column,
+                out_col: str, segments: int | None = None) -> DataFrame:
+    """Add ``out_col`` = the last non-NULL ``record`` of the same key among
+    the rows ordered strictly before this one (NULL if there is none).
+    ``order_cols`` must be unique within a key."""
+    rows = segmented(df.withColumn("_record", record), [key, *order_cols], segments)
+    own = Window.partitionBy(SEGMENT, key).orderBy(*order_cols).rowsBetween(*_BEFORE)
+    at = F.struct(*[F.col(c) for c in order_cols])
+    # one row per key and segment: a key's rows fill few segments unless it is hot
+    totals = rows.groupBy(key, SEGMENT).agg(
+        F.max_by("_record", F.when(F.col("_record").isNotNull(), at)).alias("_total"))
+    ahead = totals.select(F.col(key).alias("_ahead_key"), SEGMENT, F.last("_total", ignorenulls=True).over(
+        Window.partitionBy(key).orderBy(SEGMENT).rowsBetween(*_BEFORE)).alias("_ahead"))
+    ahead = ahead.where(F.col("_ahead").isNotNull()).withColumnRenamed(SEGMENT, "_ahead_segment")
+    return (rows.withColumn("_own", F.last("_record", ignorenulls=True).over(own))
+            .join(ahead, F.col(key).eqNullSafe(F.col("_ahead_key")) & (F.col(SEGMENT) == F.col("_ahead_segment")), "left")
+            .withColumn(out_col, F.coalesce("_own", "_ahead"))
+            .drop("_own", "_ahead", "_ahead_key", "_ahead_segment", "_record", SEGMENT))

@@ -87,7 +87,7 @@ def test_log_order_holds_across_many_splits(spark, tmp):
 def test_explicit_lsn_roundtrip(spark, tmp):
     pays = spark.createDataFrame([("Ann", T0), ("Bob", T0 + dt.timedelta(minutes=5))],
                                  "passenger_name string, paid_at timestamp")
-    recs = tickets.issue_tickets(pays)
+    recs = tickets.issue_tickets(pays, ["passenger_name", "paid_at"])
     out = recs.select("op", "ticket_id", "passenger_name",
                       F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("created_at"),
                       F.date_format("expires_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("expires_at"))
@@ -167,7 +167,7 @@ def test_validate_swept_matches_loop(spark, mode, seed):
     want = brute_swept(state, reqs, mode)
     for parts in (1, 7):
         got = {r.request_id: r.status for r in
-               tickets.validate_swept(st, rq, mode, num_partitions=parts).collect()}
+               tickets.validate_swept(st, rq, mode, segments=parts).collect()}
         assert got == want
 
 
@@ -190,3 +190,70 @@ def test_lookup(spark):
     st = ticket_state(spark, [("a", "Ann", T0, T0)])
     ids = spark.createDataFrame([("a",), ("b",)], "ticket_id string")
     assert rows(tickets.lookup(st, ids), "ticket_id", "status") == [("a", "found"), ("b", "not_found")]
+
+
+def test_two_equal_payments_are_two_tickets(spark):
+    at = dt.datetime(2024, 1, 1, tzinfo=UTC)
+    pays = spark.createDataFrame([(1, "Ann", at), (2, "Ann", at)], "id long, passenger_name string, paid_at timestamp")
+    assert tickets.issue_tickets(pays, ["id"]).select("ticket_id").distinct().count() == 2
+    with pytest.raises(ValueError):
+        tickets.issue_tickets(pays, [])
+    keys = spark.createDataFrame([("a", None, "b"), ("a", "b", None), (None, "a", "b"), ("ab", None, None)],
+                                 "x string, y string, z string")
+    ids = keys.withColumn("passenger_name", F.lit("n")).withColumn("paid_at", F.lit(at))
+    assert tickets.issue_tickets(ids, ["x", "y", "z"]).select("ticket_id").distinct().count() == 4
+
+
+def brute_at_request(log, requests, mode=None):
+    """The service's loop: one timeline of log records and requests, with the
+    sweeps after each request if there is a mode."""
+    state, swept, out = {}, set(), {}
+    timeline = sorted([(t, i, 0, x) for i, t, *x in log] + [(t, i, 1, x) for i, t, *x in requests],
+                      key=lambda e: (e[0], e[1], e[2]))
+    for t, i, kind, x in timeline:
+        if not kind:
+            op, tid, expires = x
+            if op == "CREATE":
+                state[tid] = expires
+            elif op == "DELETE":
+                state.pop(tid, None)
+            continue
+        (tid,) = x
+        out[i] = "not_found" if tid not in state else "valid" if t <= state[tid] else "expired"
+        if mode and (mode == "all" or out[i] == "valid"):
+            state = {k: e for k, e in state.items() if e >= t}
+    return out
+
+
+@pytest.mark.parametrize("mode", [None, "valid", "all"])
+def test_requests_see_the_log_up_to_their_time(spark, mode):
+    rnd = random.Random(6)
+    base = dt.datetime(2024, 1, 1, tzinfo=UTC)
+    at = lambda: base + dt.timedelta(minutes=rnd.choice([300, rnd.randint(0, 900)]))
+    log, requests = [], []
+    for i in range(900):
+        tid = rnd.choice(["hot", f"t{rnd.randint(0, 30)}"])
+        t = at()
+        if rnd.random() < 0.4:
+            op = rnd.choice(["CREATE", "CREATE", "DELETE", "CLICK"])
+            log.append((i, t, op, tid, t + dt.timedelta(minutes=rnd.randint(1, 90))))
+        else:
+            requests.append((i, t, tid))
+    lg = spark.createDataFrame([(i, op, tid, "n", t, e) for i, t, op, tid, e in log],
+                               "lsn long, op string, ticket_id string, passenger_name string, "
+                               "created_at timestamp, expires_at timestamp")
+    rq = spark.createDataFrame([(i, tid, t) for i, t, tid in requests], "request_id long, ticket_id string, ts timestamp")
+    for segments in (1, 5):
+        got = tickets.validate_log(lg, rq, segments=segments) if mode is None else \
+            tickets.validate_log_swept(lg, rq, mode, segments=segments)
+        assert {r.request_id: r.status for r in got.collect()} == brute_at_request(log, requests, mode)
+
+
+def test_state_as_of_a_time(spark):
+    at = [dt.datetime(2024, 1, d, tzinfo=UTC) for d in (1, 2, 3)]
+    lg = spark.createDataFrame([(1, "CREATE", "a", "n", at[0], at[1]), (2, "DELETE", "a", None, at[1], None),
+                                (3, "CREATE", "b", "n", at[2], at[2])],
+                               "lsn long, op string, ticket_id string, passenger_name string, "
+                               "created_at timestamp, expires_at timestamp")
+    ids = lambda t: {r.ticket_id for r in tickets.replay_as_of(lg, F.lit(t)).collect()}
+    assert ids(at[0]) == {"a"} and ids(at[1]) == set() and ids(at[2]) == {"b"}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_of_lit", "null_default", "ilike", "flag_to_int", "is_expired",
     "plus_interval", "parse_iso", "format_iso", "json_struct", "json_field",
-    "json_object_shape", "stable_id", "coerce_int", "col_", "epoch_micros",
+    "json_object_shape", "json_string_field", "key_text", "stable_id", "coerce_int", "col_", "epoch_micros",
 ]
 
 
@@ -87,15 +87,34 @@ def json_object_shape(c) -> Column:
     directly followed by ``{`` outside string literals, so string literals
     are blanked first and that pair is rejected."""
     c = col_(c)
-    no_strings = F.regexp_replace(c, r'"(?:[^"\\]|\\.)*"', '""')
-    return F.coalesce(c.rlike(r"^\s*\{.*\}\s*$") & ~no_strings.rlike(r"\}\s*\{"),
+    # possessive: the pattern neither backtracks nor recurses on long strings
+    no_strings = F.regexp_replace(c, r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"', '""')
+    return F.coalesce(c.rlike(r"(?s)\A\s*+\{.*\}\s*\z") & ~no_strings.rlike(r"\}\s*+\{"),
                       F.lit(False))
 
 
+def json_string_field(c, field: str) -> Column:
+    """True when the top-level ``field`` of a JSON object is a JSON string.
+    The value's type is asked of the parsed document, and only where the text
+    holds such a field with a quoted value at any depth."""
+    c = col_(c)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(c), f"$.{field}", "variant"))
+    quoted = c.rlike(rf'"{field}"\s*+:\s*+"')
+    return F.coalesce(F.when(quoted, kind == "STRING"), F.lit(False))
+
+
+def key_text(*cols) -> Column:
+    """Key columns as one text that differs wherever the keys differ: every
+    value with its length, NULL as ``n``."""
+    texts = [col_(c).cast("string") for c in cols]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n"))
+                      for t in texts])
+
+
 def stable_id(*cols) -> Column:
     """A deterministic id from key columns (stable on task retry, unlike
-    uuid())."""
-    return F.sha2(F.concat_ws("\u0001", *[col_(c).cast("string") for c in cols]), 256)
+    uuid()); NULLs and the columns' borders count."""
+    return F.sha2(key_text(*cols), 256)
 
 
 def coerce_int(c, quoted: Column | None = None) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.exprs import as_of_lit, coerce_int, json_object_shape, json_struct
+from ..functions.exprs import as_of_lit, coerce_int, json_object_shape, json_string_field, json_struct
 from ..operators.joins import anti_join
 from ..sinks.tables import rows_to_insert
 
@@ -32,10 +32,8 @@ def decode(messages: DataFrame, order_cols: list[str] | None = None) -> DataFram
     m = json_struct(text, schemas.ORDER_MESSAGE)
     df = messages.select(*keep, text.alias("value"), m.alias("m"))
     q_in = F.col("m.quantity")
-    # a quoted quantity is integer text; a bare one is a number (messages are
-    # flat objects, so the key pattern can only match the top-level field)
-    quoted = F.col("value").rlike(r'"quantity"\s*:\s*"')
-    qty = coerce_int(q_in, quoted)
+    # a quoted quantity is integer text; a bare one is a number
+    qty = coerce_int(q_in, json_string_field("value", "quantity"))
     reason = (F.when(F.col("value").isNull(), F.lit("null message"))
               .when(~json_object_shape("value") | F.col("m").isNull(), F.lit("not a JSON object"))
               .when(F.col("m.order_id").isNull(), F.lit("missing order_id"))
@@ -91,13 +89,13 @@ def first_accepted(decoded: DataFrame, order_cols: list[str]) -> DataFrame:
 
 def orders_to_insert(messages: DataFrame, existing: DataFrame | None,
                      order_cols: list[str], as_of=None,
-                     max_probe_rows: int | None = None) -> DataFrame:
+                     small: bool = False) -> DataFrame:
     """K3 for one batch of messages: decode, first accepted record per order
     id by ``order_cols``, drop ids already in ``existing``."""
     firsts = first_accepted(decode(messages, order_cols), order_cols)
     if existing is None:
         return to_target(firsts, as_of)
-    return to_target(anti_join(firsts, existing.select(*KEY), KEY, max_probe_rows), as_of)
+    return to_target(anti_join(firsts, existing.select(*KEY), KEY, small), as_of)
 
 
 def accepted_keys(messages: DataFrame, order_cols: list[str]) -> DataFrame:
@@ -107,13 +105,10 @@ def accepted_keys(messages: DataFrame, order_cols: list[str]) -> DataFrame:
 
 
 def rows_to_insert_target(accepted: DataFrame, existing: DataFrame | None,
-                          order_cols: list[str], as_of=None,
-                          max_probe_rows: int | None = 1_000_000,
-                          small: bool | None = None) -> DataFrame:
-    """K3 on already-decoded good rows (used per micro-batch). A batch of at
-    most ``max_probe_rows`` order ids probes the stored target with a
-    broadcast semi-join (the target is scanned, never shuffled)."""
+                          order_cols: list[str], as_of=None, small: bool = False) -> DataFrame:
+    """K3 on already-decoded good rows (used per micro-batch). A batch whose ids
+    are known to be ``small`` probes the stored target with a broadcast
+    semi-join (the target is scanned, never shuffled)."""
     if existing is None:
         existing = accepted.limit(0).select(*KEY)
-    return to_target(rows_to_insert(accepted, existing, KEY, order_cols, max_probe_rows, small),
-                     as_of)
+    return to_target(rows_to_insert(accepted, existing, KEY, order_cols, small), as_of)

@@ -7,7 +7,7 @@ Log order is line order. Spark has no line number, so each record gets an
   * foreign logs get ``lsn = (file path, split start, row id in split)``:
     files must have names that sort in write order. Within a split rows keep
     file order; splits of one file sort by start offset.
-A missing path gives an empty frame.
+A missing path gives an empty frame; a path that cannot be read is an error.
 """
 
 from __future__ import annotations
@@ -17,23 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.exprs import json_object_shape, json_struct
+from ..functions.exprs import json_object_shape
+from .paths import path_exists
 
 LSN_EXPLICIT = T.StructType([T.StructField("batch", T.LongType()),
                              T.StructField("seq", T.LongType())])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - path absent
-        return False
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines with a derived lsn (file, split start, row id)."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], "value string, lsn struct<file:string,"
                                          "start:bigint,row:bigint>")
     raw = spark.read.text(path)
@@ -44,28 +37,37 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                  F.monotonically_increasing_id().alias("row")).alias("lsn"))
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def _decoded(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Every non-blank line with its decoded record ``r``: NULL unless the line
+    is one well-formed JSON object. The record passes a generator, which filters
+    on it are not pushed through, so each line is parsed once."""
+    options = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _CORRUPT}
+    record = F.from_json("value", T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())]), options)
+    some = lines.where(F.col("value").rlike(r"\S"))
+    out = some.select("*", F.explode(F.array(F.struct(json_object_shape("value").alias("shape"),
+                                                      record.alias("r")))).alias("_d"))
+    good = F.col("_d.shape") & F.col("_d.r").isNotNull() & F.col(f"_d.r.{_CORRUPT}").isNull()
+    return out.select(*lines.columns, F.when(good, F.col("_d.r")).alias("r"))
+
+
 def parse_records(lines: DataFrame, schema: T.StructType = schemas.LOG_RECORD,
                   explicit_lsn: bool = False) -> DataFrame:
-    """Decode JSON lines. Blank lines, non-JSON, arrays, scalars and objects
-    with trailing text are dropped (``bad_records`` returns them)."""
-    full = (T.StructType(schema.fields + [T.StructField("lsn", LSN_EXPLICIT)])
+    """The records of the lines that are one well-formed JSON object; every
+    other non-blank line is in ``bad_records``."""
+    full = (T.StructType([*schema.fields, T.StructField("lsn", LSN_EXPLICIT)])
             if explicit_lsn else schema)
-    ok = lines.where(F.length(F.trim("value")) > 0).where(json_object_shape("value"))
-    # a line shaped like an object always decodes to a struct (malformed
-    # ones to all-NULL fields, which no op filter accepts), so no NULL test
-    # is needed; such a test would be pushed into the scan as a second parse
-    rec = ok.select(json_struct("value", full).alias("r"),
-                    *([] if explicit_lsn else ["lsn"]))
-    cols = [F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
-    if explicit_lsn:
-        return rec.select(F.col("r.lsn").alias("lsn"), *cols)
-    return rec.select("lsn", *cols)
+    rec = _decoded(lines, full).where(F.col("r").isNotNull())
+    lsn = F.col("r.lsn").alias("lsn") if explicit_lsn else F.col("lsn")
+    return rec.select(lsn, *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
-def bad_records(lines: DataFrame) -> DataFrame:
-    """Non-blank lines that are not one JSON object (quarantine / audit)."""
-    return (lines.where(F.length(F.trim("value")) > 0)
-            .where(~json_object_shape("value")))
+def bad_records(lines: DataFrame, schema: T.StructType = schemas.LOG_RECORD) -> DataFrame:
+    """Non-blank lines that are no well-formed JSON object of this schema
+    (quarantine / audit): arrays, scalars, trailing text, broken objects."""
+    return _decoded(lines, schema).where(F.col("r").isNull()).drop("r")
 
 
 def read_log(spark: SparkSession, path: str, explicit_lsn: bool = False,
@@ -73,7 +75,7 @@ def read_log(spark: SparkSession, path: str, explicit_lsn: bool = False,
     """The log as records (lsn, op, ticket_id, passenger_name,
     created_at, expires_at); times stay ISO text as written."""
     if explicit_lsn:
-        if not _exists(spark, path):
+        if not path_exists(spark, path):
             fields = ", ".join(f"{f.name} string" for f in schema.fields)
             return spark.createDataFrame([], f"lsn struct<batch:bigint,seq:bigint>, {fields}")
         return parse_records(spark.read.text(path), schema, explicit_lsn=True)
@@ -82,6 +84,6 @@ def read_log(spark: SparkSession, path: str, explicit_lsn: bool = False,
 
 def read_text_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """The validation log's lines; a missing file is an empty frame."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], "value string")
     return spark.read.text(path)

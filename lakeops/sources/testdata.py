@@ -17,8 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.partitioning import spread
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -43,8 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation has 25 rows at every scale factor: a fixed, proven bound
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(F.col("c_custkey").alias("customer_id"),
                     F.col("c_name").alias("customer_name"),
                     F.col("n_name").alias("country")))
@@ -91,6 +88,20 @@ def match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("date").cast("timestamp_ntz").alias("event_ts"))
 
 
+def match_events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as match events of the types that the gold metrics count, with
+    NULL types (signups), times (every seventh) and teams (every eleventh)."""
+    e = table(spark, sf_dir, "events")
+    kind = (F.when(F.col("event_type") == "click", "Goal").when(F.col("event_type") == "view", "SHOT on goal")
+            .when(F.col("event_type") == "purchase", "foul").when(F.col("event_type") == "error", "offside"))
+    return e.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("ts").cast("date").cast("string").alias("match_id"),
+        F.when(F.col("user_id") % 11 != 0, F.col("user_id").cast("string")).alias("team"),
+        F.col("props").alias("player"), kind.alias("event_type"),
+        F.when(F.col("event_id") % 7 != 0, F.col("ts").cast("date").cast("timestamp_ntz")).alias("event_ts"))
+
+
 # Fixed mapping of event types onto ticket-log operations for the driver data.
 CREATE_TYPES = ("signup", "purchase")
 DELETE_TYPES = ("error",)
@@ -123,7 +134,7 @@ def ticket_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_messages(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
-    """events as an order topic: offset = event_id, one order id per user
+    """events as an order topic: offset = event_id (also the message's seq), one order id per user
     and day (so ids repeat), item = event type. The quantity token varies
     with the event type to exercise typed coercion: a JSON number (value)
     for most events, a numeric string for signups, a non-numeric string
@@ -131,13 +142,13 @@ def order_messages(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
     e = table(spark, sf_dir, "events")
     if where is not None:
         e = e.where(where)
-    e = spread(e)
     k = F.get_json_object("props", "$.k")
     qty = (F.when(F.col("event_type") == "error", F.concat(F.lit('"'), k, F.lit('x"')))
            .when(F.col("event_type") == "signup", F.concat(F.lit('"'), k, F.lit('"')))
            .otherwise(F.col("value").cast("string")))
-    value = F.format_string('{"order_id": "%s", "user": "%s", "item": "%s", "quantity": %s}',
-                            order_id_col(), F.concat(F.lit("user"), F.col("user_id").cast("string")),
+    value = F.format_string('{"seq": %s, "order_id": "%s", "user": "%s", "item": "%s", "quantity": %s}',
+                            F.col("event_id").cast("string"), order_id_col(),
+                            F.concat(F.lit("user"), F.col("user_id").cast("string")),
                             F.col("event_type"), qty)
     return e.select(F.col("event_id").alias("offset"), value.alias("value"))
 

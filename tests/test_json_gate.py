@@ -1,0 +1,62 @@
+"""What counts as one JSON object: long, nested, multi-line and broken texts."""
+
+import json
+
+import pytest
+
+from lakeops.plans import orders
+from lakeops.sources.jsonlog import bad_records, parse_records
+
+BIG = "x" * 1_000_000
+
+
+def is_object(text):
+    """The log's fields are texts, so any well-formed object will do."""
+    try:
+        return isinstance(json.loads(text), dict)
+    except ValueError:
+        return False
+
+
+LINES = [
+    '{"op":"CREATE","ticket_id":"a"}', '{oops}', '{"op":"CREATE" "ticket_id":"b"}', '{"op":"CREATE","ticket_id":"c"',
+    "[]", "3", "null", "   ", "\t", "", '{"op":"CREATE","ticket_id":"d"} tail', '{"op":"x"}{"op":"y"}', "{}",
+    '{"op":"CREATE","ticket_id":"}{"}', '{"op":"CREATE","ticket_id":"e","more":{"op":"z"}}', "{'op':'CREATE'}",
+    json.dumps({"op": "CREATE", "ticket_id": "f", "passenger_name": BIG}),
+    json.dumps({"op": "CREATE", "ticket_id": "g", "passenger_name": '"' * 300_000}),
+    json.dumps({"op": "CREATE", "ticket_id": "h", "passenger_name": "}{" * 1000 + "\\"}),
+]
+
+
+def test_every_line_is_a_record_or_a_bad_line(spark):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(LINES)], "lsn long, value string")
+    good = {r.lsn for r in parse_records(df).select("lsn").collect()}
+    bad = {r.lsn for r in bad_records(df).select("lsn").collect()}
+    some = {i for i, x in enumerate(LINES) if x.strip()}
+    assert good | bad == some and not good & bad
+    assert good == {i for i in some if is_object(LINES[i])}
+
+
+@pytest.mark.parametrize("text, quantity, reason", [
+    ('{"order_id":"a",\n "quantity": 2.5\n}', 3, None),
+    ('{"order_id":"a","nested":{"quantity":"7"},"quantity":2.5}', 3, None),
+    ('{"order_id":"a","nested":{"quantity":2.5},"quantity":"7"}', 7, None),
+    ('{"order_id":"a","quantity":"2.5"}', None, "bad quantity"),
+    ('{"order_id":"a","item":"\\"quantity\\":\\"7","quantity":2.5}', 3, None),
+    ('{"order_id":"a","quantity":true}', None, "bad quantity"),
+    ('{"order_id":"a"}', None, None),
+    ('{"order_id":"a" "quantity":1}', None, "missing order_id"),
+    ('{oops}', None, "missing order_id"),
+    ('["a"]', None, "not a JSON object"),
+])
+def test_messages(spark, text, quantity, reason):
+    (r,) = orders.decode(spark.createDataFrame([(text,)], "value string")).collect()
+    assert (r.quantity, r.reject_reason) == (quantity, reason)
+
+
+def test_long_messages_are_isolated(spark):
+    msgs = [json.dumps({"order_id": "a", "user": BIG, "quantity": 1}),
+            json.dumps({"order_id": "b", "item": "\\\"" * 150_000, "quantity": 1}),
+            json.dumps({"order_id": "c", "user": "u", "item": "i", "quantity": 1})]
+    out = orders.decode(spark.createDataFrame([(m,) for m in msgs], "value string")).collect()
+    assert [r.reject_reason for r in out] == ["user too long", "item too long", None]

@@ -1,9 +1,9 @@
 """Join helpers.
 
-Broadcasting is only ever decided behind a size check: either Catalyst's own
-(``autoBroadcastJoinThreshold`` on file statistics, re-checked by AQE with
-runtime sizes) or ``fits``'s bounded row count. Beyond the bound the join
-stays a shuffle (sort-merge) join.
+Broadcasting is only ever decided behind a size check in bytes: either Catalyst's
+own (``autoBroadcastJoinThreshold`` on file statistics, re-checked by AQE with
+runtime sizes) or ``key_bytes`` of a batch that the caller holds persisted.
+Beyond the bound the join stays a shuffle (sort-merge) join.
 """
 
 from __future__ import annotations
@@ -11,38 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_PROBE_BYTES = 64 << 20
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows (a limit job stops early), so the check stays
-    cheap when the frame turns out to be large."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def key_bytes(df: DataFrame, keys: list[str]) -> int:
+    """Bytes of all keys of ``df``, with 32 for each row: one partial
+    aggregate. Persist ``df`` first where it is costly to make."""
+    each = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(32))
+    return df.agg(F.sum(each.cast("long"))).first()[0] or 0
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side has at most ``max_rows`` rows."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def anti_join(new: DataFrame, existing: DataFrame, keys: list[str],
-              max_probe_rows: int | None = None, small: bool | None = None) -> DataFrame:
+def anti_join(new: DataFrame, existing: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing`` (NULL keys never
     match, as in SQL NOT EXISTS on equality).
 
     A left anti join can only broadcast its right side, so a huge
-    ``existing`` (all history) would be shuffled for every small batch. With
-    ``max_probe_rows``, when ``new`` has at most that many rows its keys are
-    broadcast into a semi-join that *scans* ``existing`` without shuffling
-    it; the few keys found are then anti-joined. Above the bound the plain
-    shuffle anti join is used. ``small`` passes a bound the caller already
-    knows (e.g. the row count of the batch), skipping the check."""
+    ``existing`` (all history) would be shuffled for every small batch. A caller
+    that knows the keys of ``new`` to be ``small`` (``key_bytes`` up to
+    MAX_PROBE_BYTES) has them broadcast into a semi-join that *scans*
+    ``existing`` without shuffling it; the few keys found are then anti-joined."""
     ex = existing.select(*keys)
-    if small is None:
-        small = bool(max_probe_rows) and fits(new, max_probe_rows)
     if small:
         probe = F.broadcast(new.select(*keys).distinct())
-        hits = ex.join(probe, keys, "left_semi")
-        return new.join(hits, keys, "left_anti")
+        return new.join(ex.join(probe, keys, "left_semi"), keys, "left_anti")
     return new.join(ex, keys, "left_anti")

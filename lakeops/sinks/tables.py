@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..operators.dedup import first_per_key
-from ..operators.joins import anti_join
+from ..operators.joins import MAX_PROBE_BYTES, anti_join, key_bytes
+from ..sources.paths import path_exists
 from ..sources.tables import conform
 
 
@@ -39,33 +40,32 @@ def write_ctas(df: DataFrame, path: str | None = None, table: str | None = None,
 
 
 def rows_to_insert(new: DataFrame, existing: DataFrame, keys: list[str],
-                   order_by: list[str], max_probe_rows: int | None = None,
-                   small: bool | None = None) -> DataFrame:
+                   order_by: list[str], small: bool = False) -> DataFrame:
     """K3 (batch): INSERT ... ON CONFLICT (keys) DO NOTHING.
 
     Among new rows the first by ``order_by`` wins per key (D2); a key already
     in ``existing`` wins over any new row (J3). Null keys are dropped, since a
-    NOT NULL unique key rejects them. ``max_probe_rows``: see
-    ``operators.joins.anti_join`` (probe a huge target without shuffling it)."""
+    NOT NULL unique key rejects them. ``small``: see ``operators.joins.anti_join``
+    (probe a huge target without shuffling it)."""
     cand = new.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    return anti_join(first_per_key(cand, keys, order_by), existing, keys, max_probe_rows, small)
+    return anti_join(first_per_key(cand, keys, order_by), existing, keys, small)
 
 
 def insert_ignore(new: DataFrame, target_path: str, keys: list[str],
                   order_by: list[str], fmt: str = "parquet",
-                  max_probe_rows: int | None = 1_000_000) -> DataFrame:
+                  max_probe_bytes: int = MAX_PROBE_BYTES) -> DataFrame:
     """K3 against a stored table: append only new keys and return them.
 
+    Only a missing path counts as an empty target; a read that fails is raised.
     With one writer a retried batch adds nothing the second time (the
     anti-join sees the first attempt's rows)."""
     spark = new.sparkSession
-    try:
-        existing = spark.read.format(fmt).load(target_path)
-    except Exception:  # noqa: BLE001 - first write: no target yet
-        existing = None
-    add = rows_to_insert(new, existing, keys, order_by, max_probe_rows) if existing is not None \
-        else first_per_key(new.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)),
-                           keys, order_by)
+    if path_exists(spark, target_path):
+        existing = spark.read.schema(new.schema).format(fmt).load(target_path)
+        small = key_bytes(new, keys) <= max_probe_bytes
+        add = rows_to_insert(new, existing, keys, order_by, small)
+    else:
+        add = first_per_key(new.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)), keys, order_by)
     add = add.select(*new.columns)
     add.write.mode("append").format(fmt).save(target_path)
     return add

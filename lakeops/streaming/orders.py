@@ -30,15 +30,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
+from ..operators.joins import MAX_PROBE_BYTES
 from ..plans import orders
 from ..session import shared_path
 from ..sinks.logs import kafka_options
+from ..sources.paths import path_exists
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
                  group_id: str | None = None) -> DataFrame:
-    """S3: the topic from the earliest offset (needs the Kafka connector)."""
-    extra = {"subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
+    """S3: the topic from the earliest offset (needs the Kafka connector). Lost
+    offsets stop the query: the default of ``failOnDataLoss``."""
+    extra = {"subscribe": topic, "startingOffsets": "earliest"}
     if group_id:
         extra["kafka.group.id"] = group_id
     opts = kafka_options(bootstrap, topic, extra)
@@ -47,28 +50,33 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A directory of JSON-lines files as a message stream (``value``, and
-    ``_file``, the source file, used for first-wins order)."""
+    """A directory of JSON-lines files as a message stream (``value``, and where
+    it stood, used for first-wins order)."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path).select("value", F.col("_metadata.file_path").alias("_file"),
+    return r.load(path).select("value", F.col("_metadata.file_modification_time").alias("_time"),
+                               F.col("_metadata.file_path").alias("_file"),
                                F.col("_metadata.file_block_start").alias("_start"))
 
 
 def _with_order(batch: DataFrame) -> tuple[DataFrame, list[str]]:
     if "offset" in batch.columns and "partition" in batch.columns:
         return batch, ["partition", "offset"]
-    # file source: file name, then row position (row ids grow with the
-    # split order inside a batch); names must sort in arrival order
-    # (split order is by size, so the split start is part of the key)
-    file_col = F.col("_file") if "_file" in batch.columns else F.lit("")
-    start_col = F.col("_start") if "_start" in batch.columns else F.lit(0).cast("bigint")
-    ordered = batch.select("value", file_col.alias("_file"), start_col.alias("_start"),
-                           F.monotonically_increasing_id().alias("_row"))
-    return ordered, ["_file", "_start", "_row"]
-
-
+    # file source: the message's own sequence number, if it carries one (a
+    # writer of several files per arrival needs it: their times follow the
+    # tasks); else file time, file, and row position (row ids grow with the
+    # split order inside a batch, which is by size, so the split's start counts)
+    none = {"_time": F.lit(None).cast("timestamp"), "_file": F.lit(""), "_start": F.lit(0).cast("bigint")}
+    place = [(F.col(c) if c in batch.columns else none[c]).alias(c) for c in none]
+    seq = F.get_json_object("value", f"$.{SEQUENCE}").try_cast("bigint")
+    ordered = batch.withColumn("value", F.col("value").cast("string")).select(
+        "value", F.coalesce(seq, F.lit(2 ** 63 - 1)).alias("_seq"), *place,
+        F.monotonically_increasing_id().alias("_row"))
+    return ordered, ["_seq", *none, "_row"]
+
+
+SEQUENCE = "seq"            # top-level field of a message that orders arrivals
 BUCKET_COL = "order_bucket"
 DEFAULT_BUCKETS = 64
 
@@ -77,19 +85,18 @@ def bucket_of(col: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
 
 
-MAX_PROBE_ROWS = 1_000_000
 _STORED = T.StructType(schemas.ORDERS_TARGET.fields + [T.StructField(BUCKET_COL, T.IntegerType())])
 
 
 def _stored_keys(spark: SparkSession, target: str, touched: list[int]) -> DataFrame | None:
     """Keys stored in the touched buckets only: a glob over those folders and
-    a declared schema, so neither the other folders nor file footers are read."""
+    a declared schema, so neither the other folders nor file footers are read.
+    None if no such folder exists; a read that fails is raised."""
     glob = f"{target.rstrip('/')}/{BUCKET_COL}={{{','.join(str(b) for b in sorted(touched))}}}"
-    try:
-        return (spark.read.schema(_STORED).option("basePath", target).parquet(glob)
-                .select(*orders.KEY))
-    except Exception:  # noqa: BLE001 - none of these buckets exists yet
+    if not path_exists(spark, glob):
         return None
+    return (spark.read.schema(_STORED).option("basePath", target).parquet(glob)
+            .select(*orders.KEY))
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
@@ -111,24 +118,22 @@ def process_batch(batch: DataFrame, epoch_id: int, target: str, quarantine: str,
         ok = ok.where(F.col("order_uuid").isNotNull())
         # one small job over the persisted batch: touched buckets and size
         per_bucket = (ok.groupBy(bucket_of("order_uuid", buckets or 1).alias("b"))
-                      .count().collect())                           # at most `buckets` rows
+                      .agg(F.sum(F.octet_length("order_uuid") + 32).alias("bytes"))
+                      .collect())                                   # at most `buckets` rows
         if not per_bucket:
             return
-        small = sum(r["count"] for r in per_bucket) <= MAX_PROBE_ROWS
+        small = sum(r["bytes"] for r in per_bucket) <= MAX_PROBE_BYTES
         if buckets:
             existing = _stored_keys(spark, target, [r["b"] for r in per_bucket])
         else:
-            try:
-                existing = spark.read.parquet(target).select(*orders.KEY)
-            except Exception:  # noqa: BLE001 - first batch: no target yet
-                existing = None
-        add = orders.rows_to_insert_target(ok, existing, order_cols, as_of,
-                                           MAX_PROBE_ROWS, small)
+            existing = (spark.read.schema(schemas.ORDERS_TARGET).parquet(target).select(*orders.KEY)
+                        if path_exists(spark, target) else None)
+        add = orders.rows_to_insert_target(ok, existing, order_cols, as_of, small)
         if buckets:
-            # one task per bucket: one file per touched bucket per batch (ids
-            # are unique after first-wins, so buckets are balanced)
+            # rebalanced by bucket: AQE merges the small buckets of a small batch
+            # into few tasks and splits those of a backfill into many
             add = add.withColumn(BUCKET_COL, bucket_of("order_uuid", buckets))
-            (add.repartition(BUCKET_COL)
+            (add.hint("rebalance", BUCKET_COL)
              .write.mode("append").partitionBy(BUCKET_COL).parquet(target))
         else:
             add.write.mode("append").parquet(target)

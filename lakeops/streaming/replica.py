@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.joins import fits
+from ..operators.joins import MAX_PROBE_BYTES, key_bytes
 from ..plans import tickets
 from ..session import shared_path
 from ..sinks import snapshot
@@ -51,21 +51,20 @@ def lookup(spark: SparkSession, base: str, ticket_ids: DataFrame) -> DataFrame:
 
 
 COLS = ["ticket_id", "lsn", "op", "passenger_name", "created_at", "expires_at"]
-MAX_PROBE_IDS = 1_000_000
 
 
 def fold(state: DataFrame, records: DataFrame,
-         max_probe_ids: int | None = MAX_PROBE_IDS) -> DataFrame:
+         max_probe_bytes: int = MAX_PROBE_BYTES) -> DataFrame:
     """New state = last record per ticket over (old state, new records).
 
-    When the batch names at most ``max_probe_ids`` tickets (bounded count),
-    those ids are broadcast: state rows of other tickets pass through an
+    When the ids of the batch (persisted by the caller) take at most
+    ``max_probe_bytes``, they are broadcast: state rows of other tickets pass through an
     anti join untouched (no shuffle of the state), and only the touched
     tickets' rows are re-folded with the new records. Otherwise the whole
     union is folded."""
     state, records = state.select(*COLS), records.select(*COLS)
     ids = records.select("ticket_id").distinct()
-    if max_probe_ids and fits(ids, max_probe_ids):
+    if key_bytes(records, ["ticket_id"]) <= max_probe_bytes:
         probe = F.broadcast(ids)
         untouched = state.join(probe, "ticket_id", "left_anti")
         touched = state.join(probe, "ticket_id", "left_semi")

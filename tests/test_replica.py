@@ -1,4 +1,5 @@
 import json
+import pytest
 import os
 
 from lakeops.sinks import snapshot
@@ -106,7 +107,7 @@ def test_fold_probe_and_full_paths_agree(spark):
     for b in range(3):
         r = parse_records(recs(b, 80), schemas.LOG_RECORD, explicit_lsn=True)
         s_probe = spark.createDataFrame(replica.fold(s_probe, r).collect(), replica.STATE_SCHEMA)
-        s_full = spark.createDataFrame(replica.fold(s_full, r, max_probe_ids=None).collect(),
+        s_full = spark.createDataFrame(replica.fold(s_full, r, max_probe_bytes=-1).collect(),
                                        replica.STATE_SCHEMA)
     assert rows(s_probe) == rows(s_full)
 
@@ -123,7 +124,7 @@ def test_primary_to_replica_end_to_end(spark, tmp):
         [("Ann", dt.datetime(2024, 1, 1, 9, 0, tzinfo=utc)),
          ("Bob", dt.datetime(2024, 1, 1, 11, 0, tzinfo=utc))],
         "passenger_name string, paid_at timestamp")
-    issued = tickets.issue_to_log(pays, log_dir, batch_id=1)
+    issued = tickets.issue_to_log(pays, log_dir, 1, ["passenger_name", "paid_at"])
 
     def sync():
         q = replica.start_sync(spark, log_dir, base, checkpoint=tmp + "/ck",
@@ -141,3 +142,18 @@ def test_primary_to_replica_end_to_end(spark, tmp):
     got = {r.status for r in replica.lookup(spark, base, ids).collect()}
     assert got == {"found", "not_found"}
     assert [r.passenger_name for r in replica.current_tickets(spark, base).collect()] == ["Bob"]
+
+
+def test_a_failing_read_keeps_the_snapshot(spark, tmp):
+    """Only a missing log is an empty log."""
+    os.makedirs(tmp + "/wal")
+    with open(tmp + "/wal/a.log", "w") as f:
+        f.write(rec(1, 1, "CREATE", "t1", "Ann") + "\n")
+    base = tmp + "/replica"
+    assert replica.sync_now(spark, tmp + "/wal", base) == 1
+    with open(tmp + "/wal/b.log.gz", "wb") as f:
+        f.write(b"\x1f\x8bnot gzip at all")
+    with pytest.raises(Exception):
+        replica.sync_now(spark, tmp + "/wal", base)
+    assert replica.current_tickets(spark, base).count() == 1
+    assert replica.sync_now(spark, tmp + "/gone", tmp + "/other") == 0

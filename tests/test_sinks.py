@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import json
 
@@ -91,8 +92,41 @@ def test_anti_join_probe_and_shuffle_agree(spark):
     old = spark.createDataFrame([("a",), ("zz",), (None,)], "k string")
     want = [(None, 3), ("b", 2), ("c", 4)]
     assert rows(anti_join(new, old, ["k"]), "k", "v") == sorted(want, key=repr)
-    assert rows(anti_join(new, old, ["k"], max_probe_rows=10), "k", "v") == sorted(want, key=repr)
-    assert rows(anti_join(new, old, ["k"], max_probe_rows=2), "k", "v") == sorted(want, key=repr)
+    assert rows(anti_join(new, old, ["k"], small=True), "k", "v") == sorted(want, key=repr)
+
+
+def test_a_failing_read_is_no_empty_target(spark, tmp):
+    """A target that can't be read stops the insert and stays as it was."""
+    import os
+
+    from lakeops.sinks.tables import insert_ignore
+    new = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    target = tmp + "/t"
+    insert_ignore(new, target, ["k"], ["v"])
+    with open(target + "/part-broken.parquet", "wb") as f:
+        f.write(b"PAR1 not a parquet file PAR1")
+    with pytest.raises(Exception):
+        insert_ignore(new, target, ["k"], ["v"])
+    os.replace(target + "/part-broken.parquet", tmp + "/broken")
+    assert spark.read.parquet(target).count() == 2
+    insert_ignore(new, target, ["k"], ["v"])
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_a_failing_read_stops_the_order_stream(spark, tmp):
+    from lakeops.streaming import orders as stream
+    line = '{"order_id": "x", "user": "u", "item": "i", "quantity": 1}'
+    batch = spark.createDataFrame([(line,)], "value string")
+    for buckets in (8, None):
+        target = f"{tmp}/t{buckets}"
+        stream.process_batch(batch, 0, target, tmp + "/q", buckets=buckets)
+        at = next(str(p.parent) for p in __import__("pathlib").Path(target).rglob("*.parquet"))
+        with open(at + "/part-broken.parquet", "wb") as f:
+            f.write(b"PAR1 not a parquet file PAR1")
+        with pytest.raises(Exception):
+            stream.process_batch(batch, 1, target, tmp + "/q", buckets=buckets)
+        good = [str(p) for p in __import__("pathlib").Path(target).rglob("*.parquet") if "broken" not in p.name]
+        assert spark.read.parquet(*good).count() == 1
 
 
 def test_dedup_state_with_watermark(spark, tmp):

@@ -22,11 +22,13 @@ OUT = ["table_name", "rule", "column_name", "violations"]
 
 def _rows(df: DataFrame, table: str, rule: str, counts: dict) -> DataFrame:
     agg = df.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts.values())])
-    parts = [agg.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-                        F.lit(name).alias("column_name"),
-                        F.col(f"_{i}").cast("bigint").alias("violations"))
-             for i, name in enumerate(counts)]
-    return reduce(DataFrame.unionByName, parts)
+    # one row of counts becomes a row per rule: a union of selections would be
+    # pruned into a scan per column
+    rows = F.array(*[F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
+                              F.lit(name).alias("column_name"),
+                              F.col(f"_{i}").cast("bigint").alias("violations"))
+                     for i, name in enumerate(counts)])
+    return agg.select(F.inline(rows))
 
 
 def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:

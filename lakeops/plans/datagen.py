@@ -34,13 +34,10 @@ DEFAULT_SIZES = {"customers": 10_000, "products": 500, "orders": 500_000,
 
 EMAIL_CAPACITY = len(FIRST_NAMES) * len(LAST_NAMES) * EMAIL_NUMBERS * len(EMAIL_DOMAINS)
 
-_TWO63 = float(2 ** 63)
-
-
 def _u(seed: int, tag: str, id_col: str = "id") -> Column:
-    """Uniform [0, 1) draw from a seeded hash of the row id and a tag."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed), F.lit(tag)).cast("double")
-    return (h + F.lit(_TWO63)) / F.lit(2 * _TWO63)
+    """Uniform [0, 1) draw: 52 bits of the MD5 of seed, tag and row id."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|{tag}|"), F.col(id_col).cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def _int_between(seed, tag, lo, hi, id_col="id") -> Column:
@@ -84,18 +81,19 @@ def _coprime_step(n: int, seed: int) -> int:
 def customers(spark: SparkSession, n: int, seed: int = 42, as_of=None,
               num_partitions: int | None = None) -> DataFrame:
     """dim_customers 1..n with unique emails."""
-    if n > EMAIL_CAPACITY:
-        raise ValueError(f"at most {EMAIL_CAPACITY} distinct emails; asked for {n}")
     t0 = _as_of(as_of)
-    step = _coprime_step(EMAIL_CAPACITY, seed)
+    # numbers after the last name go beyond 99 only where n needs more emails
+    numbers = max(EMAIL_NUMBERS, -(-n // (EMAIL_CAPACITY // EMAIL_NUMBERS)))
+    capacity = EMAIL_CAPACITY // EMAIL_NUMBERS * numbers
+    step = _coprime_step(capacity, seed)
     df = spark.range(1, n + 1, numPartitions=num_partitions)
-    p = F.pmod((F.col("id") - 1) * F.lit(step) + F.lit(seed), F.lit(EMAIL_CAPACITY))
+    p = F.pmod((F.col("id") - 1) * F.lit(step) + F.lit(seed), F.lit(capacity))
     nf, nl = len(FIRST_NAMES), len(LAST_NAMES)
     fn = F.element_at(F.array(*map(F.lit, FIRST_NAMES)), (F.pmod(p, nf) + 1).cast("int"))
     ln = F.element_at(F.array(*map(F.lit, LAST_NAMES)), (F.pmod(F.floor(p / nf), nl) + 1).cast("int"))
-    num = (F.pmod(F.floor(p / (nf * nl)), EMAIL_NUMBERS) + 1).cast("int")
+    num = (F.pmod(F.floor(p / (nf * nl)), numbers) + 1).cast("int")
     dom = F.element_at(F.array(*map(F.lit, EMAIL_DOMAINS)),
-                       (F.floor(p / (nf * nl * EMAIL_NUMBERS)) + 1).cast("int"))
+                       (F.floor(p / (nf * nl * numbers)) + 1).cast("int"))
     phone = F.format_string("(%d) %d-%d", _int_between(seed, "ph1", 100, 999),
                             _int_between(seed, "ph2", 100, 999),
                             _int_between(seed, "ph3", 1000, 9999))

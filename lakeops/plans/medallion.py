@@ -68,6 +68,11 @@ def layer_counts(b: DataFrame, s: DataFrame, g: DataFrame) -> DataFrame:
     return cnt(b, "bronze").unionByName(cnt(s, "silver")).unionByName(cnt(g, "gold"))
 
 
+def read_layer(spark: SparkSession, target: str, layer: str) -> DataFrame:
+    """A layer as ``run`` stored it."""
+    return spark.read.parquet(f"{target.rstrip('/')}/{layer}")
+
+
 def run(source: DataFrame, target: str, as_of=None,
         patterns: dict[str, str] | None = None) -> DataFrame:
     """Run the three layers into ``target``/{bronze,silver,gold} and return the

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ...operators import quality
 from ...sources import testdata as td
 from .base import register
@@ -82,3 +84,28 @@ _LEN_LIMITS = {"customer": {"c_name": 18, "c_mktsegment": 9}, "part": {"p_name":
 def q_quality_length(spark, d):
     return quality.max_length(td.table(spark, d, "customer"), "customer", _LEN_LIMITS["customer"]) \
         .unionByName(quality.max_length(td.table(spark, d, "part"), "part", _LEN_LIMITS["part"]))
+
+
+# --------------------------------------------------------------------------
+# The same rules where the answers are not zero: NULLs made by nullif, and
+# orders that no line refers to
+# --------------------------------------------------------------------------
+
+
+@register("quality_not_null_derived", """
+SELECT 'lineitem' AS table_name, 'not_null' AS rule, c AS column_name, v AS violations FROM (
+  SELECT 'l_orderkey' AS c, COUNT(*) FILTER (WHERE l_orderkey IS NULL) AS v FROM lineitem
+  UNION ALL SELECT 'l_quantity', COUNT(*) FILTER (WHERE nullif(l_quantity, 7) IS NULL) FROM lineitem
+  UNION ALL SELECT 'l_returnflag', COUNT(*) FILTER (WHERE nullif(l_returnflag, 'R') IS NULL) FROM lineitem)
+""")
+def q_quality_not_null_derived(spark, d):
+    items = td.table(spark, d, "lineitem").select(
+        "l_orderkey", F.nullif("l_quantity", F.lit(7)).alias("l_quantity"),
+        F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"))
+    return quality.not_null(items, "lineitem", ["l_orderkey", "l_quantity", "l_returnflag"])
+
+
+@register("quality_orders_without_lines", _FK_SQL.format(ct="orders", cc="o_orderkey", pt="lineitem", pc="l_orderkey"))
+def q_quality_orders_without_lines(spark, d):
+    return quality.foreign_key(td.table(spark, d, "orders"), "orders", ["o_orderkey"],
+                               td.table(spark, d, "lineitem"), ["l_orderkey"])

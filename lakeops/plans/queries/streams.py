@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ...sinks.logs import append_log
+from ...sinks.tables import bulk_load
 from ...sources import testdata as td
 from ...streaming import orders as orders_stream
 from ...streaming import replica as replica_stream
@@ -14,7 +15,7 @@ from .. import medallion
 from .base import ORACLE_SQL, register, run_dir as _run_dir
 from .match_events import AS_OF
 from .order_messages import _MSG_SQL, INGEST_AS_OF
-from .ticket_log import _LOG_SQL, TICKET_TTL
+from .ticket_log import _LOG_SQL, _TICKETS_SQL, TICKET_TTL
 
 
 # --------------------------------------------------------------------------
@@ -43,19 +44,65 @@ def q_order_stream(spark, d):
     run = _run_dir(spark, "order_stream")
     src, target, quar = f"{run}/in", f"{run}/orders", f"{run}/quarantine"
     for before in (True, False):
-        # one write per arrival; part files of one write sort in offset order,
-        # and each run of the stream picks up only the new files
-        (td.order_messages(spark, d, _cut(before)).orderBy("offset").select("value")
+        # one write per arrival; each run of the stream picks up only the new files
+        (td.order_messages(spark, d, _cut(before)).select("value")
          .write.mode("append").text(src))
-        q = orders_stream.start_ingest(
+        _drain(orders_stream.start_ingest(
             orders_stream.file_source(spark, src), target, quar,
-            checkpoint=f"{run}/ckpt", trigger={"availableNow": True}, as_of=INGEST_AS_OF)
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
+            checkpoint=f"{run}/ckpt", trigger={"availableNow": True}, as_of=INGEST_AS_OF))
     return orders_stream.read_target(spark, target)
 
 
+_FIRST_SQL = ORACLE_SQL["order_stream"]
+
+
+@register("order_stream_one_batch", _FIRST_SQL)
+def q_order_stream_one_batch(spark, d):
+    """W1 with both arrivals, the later one written first, in one micro-batch:
+    the messages' sequence decides, not the order of files."""
+    run = _run_dir(spark, "order_stream_one_batch")
+    src, target = f"{run}/in", f"{run}/orders"
+    for before in (False, True):
+        td.order_messages(spark, d, _cut(before)).select("value").write.mode("append").text(src)
+    _drain(orders_stream.start_ingest(
+        orders_stream.file_source(spark, src), target, f"{run}/quarantine", checkpoint=f"{run}/ckpt",
+        trigger={"availableNow": True}, as_of=INGEST_AS_OF))
+    return orders_stream.read_target(spark, target)
+
+
+@register("order_quarantine", f"""
+SELECT "offset" AS seq, reject_reason FROM ({_MSG_SQL}) m WHERE reject_reason IS NOT NULL
+""")
+def q_order_quarantine(spark, d):
+    """The rejected messages that the stream has put aside."""
+    run = _run_dir(spark, "order_quarantine")
+    td.order_messages(spark, d).select("value").write.text(f"{run}/in")
+    _drain(orders_stream.start_ingest(
+        orders_stream.file_source(spark, f"{run}/in"), f"{run}/orders", f"{run}/quarantine",
+        checkpoint=f"{run}/ckpt", trigger={"availableNow": True}, as_of=INGEST_AS_OF))
+    bad = spark.read.parquet(f"{run}/quarantine")
+    return bad.select(F.get_json_object("value", "$.seq").cast("bigint").alias("seq"), "reject_reason")
+
+
+@register("bulk_load", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+""")
+def q_bulk_load(spark, d):
+    """K4: rows appended in two loads, as Parquet, and read back."""
+    path = f"{_run_dir(spark, 'bulk_load')}/orders"
+    rows = td.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    odd = F.col("o_orderkey") % 2 == 1
+    bulk_load(rows.where(odd), path)
+    bulk_load(rows.where(~odd), path)
+    return spark.read.parquet(path)
+
+
+def _drain(q):
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
 _ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"
 
 
@@ -79,16 +126,29 @@ def q_replica_sync(spark, d):
                         F.date_format("created_at", iso).alias("created_at"),
                         F.date_format("expires_at", iso).alias("expires_at")))
         append_log(recs, log_dir)
-        q = replica_stream.start_sync(spark, log_dir, base,
-                                      checkpoint=f"{run}/ckpt",
-                                      trigger={"availableNow": True},
-                                      query_name=f"replica_sync_{uuid.uuid4().hex[:8]}")
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
+        _drain(replica_stream.start_sync(spark, log_dir, base,
+                                         checkpoint=f"{run}/ckpt",
+                                         trigger={"availableNow": True},
+                                         query_name=f"replica_sync_{uuid.uuid4().hex[:8]}"))
     return replica_stream.current_tickets(spark, base)
 
 
+@register("replica_sync_now", f"""
+SELECT count(*) AS tickets, (SELECT count(*) FROM ({_LOG_SQL}) lg WHERE op IN ('CREATE', 'DELETE')) AS records
+FROM ({_TICKETS_SQL}) t
+""")
+def q_replica_sync_now(spark, d):
+    """The whole log replayed in one go, and the count that the
+    call returns."""
+    run = _run_dir(spark, "replica_sync_now")
+    recs = (td.ticket_log(spark, d, TICKET_TTL).where(F.col("op").isin("CREATE", "DELETE"))
+            .select(F.struct(F.lit(0).cast("bigint").alias("batch"), F.col("lsn").alias("seq")).alias("lsn"),
+                    "op", "ticket_id", "passenger_name"))
+    append_log(recs, f"{run}/wal")
+    n = replica_stream.sync_now(spark, f"{run}/wal", f"{run}/replica")
+    return recs.agg(F.lit(n).cast("bigint").alias("tickets"), F.count(F.lit(1)).alias("records"))
+
+
 @register("medallion_run", ORACLE_SQL["layer_counts"])
 def q_medallion_run(spark, d):
     """M1-M4 with the writes: bronze and silver by full refresh into fixed

@@ -71,12 +71,6 @@ LOG_RECORD = T.StructType([
     _f("op", S), _f("ticket_id", S), _f("passenger_name", S),
     _f("created_at", S), _f("expires_at", S)])
 
-TICKETS = T.StructType([
-    _f("ticket_id", S), _f("passenger_name", S), _f("created_at", TS),
-    _f("expires_at", TS)])
-
-REQUESTS = T.StructType([_f("request_id", L), _f("ticket_id", S), _f("ts", TS)])
-
 # --- constraints (declared in the star-schema and target DDL) -------------
 # The declared constraints of the source DDL.
 NOT_NULL = {

@@ -7,6 +7,7 @@ in settings that are unset, so a cluster's own choices always win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,13 +45,11 @@ def get_spark(master: str | None = None, app_name: str = "lakeops",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it; ``DataFrame.checkpoint`` uses it too. Only a local
-    test session without the setting gets a fresh scratch folder.
+    The cluster sets it; ``DataFrame.checkpoint`` uses it too. Only a session on a
+    local master without the setting gets a fresh scratch folder; elsewhere that
+    is an error.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote session: only the SQL conf is visible
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakeops-")
+    sc = spark.sparkContext
     conf = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if conf:
@@ -60,6 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if d:
         return d
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder "
+                           "that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="lakeops-ckpt-")
     sc.setCheckpointDir(d)
     return d
@@ -76,12 +78,6 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *[p.strip("/") for p in parts]])
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -1,6 +1,10 @@
+import hashlib
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
+from lakeops.operators import topk
 from lakeops.operators.topk import sample_exact
 from lakeops.plans import datagen
 
@@ -34,17 +38,21 @@ def test_partitioning_does_not_change_rows(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_email_capacity(spark):
-    with pytest.raises(ValueError):
-        datagen.customers(spark, datagen.EMAIL_CAPACITY + 1)
+def test_emails_stay_unique_beyond_the_fixed_numbers(spark):
+    n = datagen.EMAIL_CAPACITY + 500
+    df = datagen.customers(spark, n, seed=3, as_of=AS_OF)
+    assert df.select("email").distinct().count() == n
+
+
+def rank(k, seed):
+    return int(hashlib.sha256(f"{len(str(k))}:{k}|{seed}".encode()).hexdigest()[:15], 16)
 
 
 @pytest.mark.parametrize("n", [0, 1, 333, 999, 1000, 5000])
 def test_sample_exact_matches_brute_force(spark, n):
     df = spark.range(1000).withColumnRenamed("id", "k")
     got = sorted(r.k for r in sample_exact(df, n, ["k"], seed=5).collect())
-    h = df.select("k", F.xxhash64("k", F.lit(5)).alias("h")).collect()
-    want = sorted(k for _, k in sorted((r.h, r.k) for r in h)[:n])
+    want = sorted(sorted(range(1000), key=lambda k: rank(k, 5))[:n])
     assert got == want
 
 
@@ -68,14 +76,17 @@ def test_generated_star_feeds_reports_and_audit(spark, tmp):
     assert bad == []
 
 
-def test_sample_exact_refuses_repeated_keys(spark):
-    df = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
-    h = dict((r.k, r.h) for r in df.select("k", F.xxhash64("k", F.lit(1)).alias("h"))
-             .distinct().collect())
-    below = sum(1 for r in df.collect() if h[r.k] < h[7])
-    n = below + 500                                  # boundary inside the repeated key
-    with pytest.raises(ValueError):
-        sample_exact(df, n, ["k"], seed=1, max_edge_rows=100).count()
-    assert sample_exact(df.withColumn("rid", F.monotonically_increasing_id()), n,
-                        ["k", "rid"], seed=1, max_edge_rows=100).count() == n
+@pytest.mark.parametrize("n", [0, 1, 700, 1500, 2999, 3000, 4000])
+@pytest.mark.parametrize("edge_rows", [1 << 16, 1])
+def test_sample_of_repeated_keys_is_exact(spark, monkeypatch, n, edge_rows):
+    """A third of the rows share one key: the sample still has n rows, all
+    keys of smaller rank whole, however large a bucket may be sorted."""
+    monkeypatch.setattr(topk, "_EDGE_ROWS", edge_rows)
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    got = Counter(r.k for r in sample_exact(df, n, ["k"], seed=1).collect())
+    every = Counter(r.k for r in df.collect())
+    assert sum(got.values()) == min(n, 3000)
+    left = min(n, 3000)
+    for k in sorted(every, key=lambda k: (rank(k, 1), k)):
+        assert got[k] == min(left, every[k])
+        left -= got[k]

@@ -1,3 +1,5 @@
+import pytest
+
 from lakeops.session import checkpoint_dir, shared_path
 
 
@@ -10,15 +12,25 @@ def test_shared_folder_follows_the_session_setting(spark):
     assert spark.sparkContext.getCheckpointDir()
 
 
-def test_cut_lineage_uses_a_reliable_checkpoint(spark):
-    from pyspark.sql import functions as F
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
 
-    from lakeops.session import cut_lineage
-    df = spark.range(100).withColumn("x", F.col("id") * 2).groupBy((F.col("id") % 7).alias("k")).count()
-    cut = cut_lineage(df)
-    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
-    plan = cut._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan and "Aggregate" not in plan
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
 
 
 def test_snapshot_versions_and_pruning(spark, tmp):

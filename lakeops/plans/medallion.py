@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.exprs import as_of_lit, ilike, null_default
 from ..operators.dedup import distinct_rows
-from ..sinks.tables import write_ctas, write_full_refresh
+from ..sinks.tables import read_refreshed, refresh_atomic
 from ..sources.tables import conform
 
 # Gold metric names and their case-insensitive patterns.
@@ -70,25 +70,25 @@ def layer_counts(b: DataFrame, s: DataFrame, g: DataFrame) -> DataFrame:
 
 def read_layer(spark: SparkSession, target: str, layer: str) -> DataFrame:
     """A layer as ``run`` stored it."""
-    return spark.read.parquet(f"{target.rstrip('/')}/{layer}")
+    return read_refreshed(spark, f"{target.rstrip('/')}/{layer}")
 
 
 def run(source: DataFrame, target: str, as_of=None,
         patterns: dict[str, str] | None = None) -> DataFrame:
     """Run the three layers into ``target``/{bronze,silver,gold} and return the
-    layer-count report. The bronze count is the number of rows read, observed
+    layer-count report. Each layer is replaced at once (``refresh_atomic``), so
+    ``read_layer`` never meets an empty or half-written one. The bronze count is the number of rows read, observed
     while writing (no second scan); silver and gold count their written
     tables."""
     spark = source.sparkSession
     base = target.rstrip("/")
     obs = Observation("bronze")
     b = bronze(source).observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_full_refresh(b, path=f"{base}/bronze", schema=schemas.BRONZE)
+    refresh_atomic(b, f"{base}/bronze", schemas.BRONZE)
     b_rows = obs.get["rows"]
-    b_stored = spark.read.parquet(f"{base}/bronze")
-    write_full_refresh(silver(b_stored, as_of), path=f"{base}/silver", schema=schemas.SILVER)
-    s_stored = spark.read.parquet(f"{base}/silver")
+    refresh_atomic(silver(read_layer(spark, base, "bronze"), as_of), f"{base}/silver", schemas.SILVER)
+    s_stored = read_layer(spark, base, "silver")
     s_rows = s_stored.count()
-    write_ctas(gold(s_stored, patterns), path=f"{base}/gold")
-    g_rows = spark.read.parquet(f"{base}/gold").count()
+    refresh_atomic(gold(s_stored, patterns), f"{base}/gold")
+    g_rows = read_layer(spark, base, "gold").count()
     return layer_counts_frame(spark, b_rows, s_rows, g_rows)

@@ -3,13 +3,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.dedup import first_per_key
 from ..operators.joins import MAX_PROBE_BYTES, anti_join, key_bytes
 from ..sources.paths import path_exists
 from ..sources.tables import conform
+from . import snapshot
 
 
 def _writer(df: DataFrame, mode: str, fmt: str = "parquet", partition_by=None):
@@ -24,7 +25,8 @@ def write_full_refresh(df: DataFrame, path: str | None = None, table: str | None
     """K1: replace the contents, keeping a fixed target schema. Idempotent.
 
     Writing to a catalog table replaces it in one commit on table formats that
-    support it; a plain path overwrite is not atomic for concurrent readers."""
+    support it; a plain path overwrite is not atomic for concurrent readers
+    (``refresh_atomic`` is)."""
     out = conform(df, schema) if schema is not None else df
     w = _writer(out, "overwrite", fmt)
     if table:
@@ -33,6 +35,22 @@ def write_full_refresh(df: DataFrame, path: str | None = None, table: str | None
         w.save(path)
 
 
+def refresh_atomic(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
+    """K1 and K2 by path for readers that may come at any time: the new contents
+    are a new snapshot version (``sinks.snapshot``), and ``read_refreshed`` gives
+    the last whole one. With a schema the rows are conformed to it (K1);
+    without, it follows the query (K2)."""
+    snapshot.write_snapshot(conform(df, schema) if schema is not None else df, path)
+
+
+def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
+    """The contents that ``refresh_atomic`` last stored whole."""
+    version = snapshot.latest_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"nothing has been stored at {path}")
+    return spark.read.parquet(snapshot.version_path(path, version))
+
+
 def write_ctas(df: DataFrame, path: str | None = None, table: str | None = None,
                fmt: str = "parquet") -> None:
     """K2: drop + create-table-as-select; the schema follows the query."""

@@ -3,16 +3,18 @@
 The log is a directory of finished JSON-lines files written by
 ``sinks.logs.append_log`` (explicit lsn). A file stream turns each new file
 into a micro-batch; ``foreachBatch`` folds the new records into the previous
-state and writes the result as a new snapshot version (K5). Cost follows
-the new records plus the state, not the whole log history.
+state and publishes a new snapshot (K5). The state is kept in buckets of the
+ticket id's hash, and a batch reads and rewrites only the buckets it touches
+(``sinks.bucketed``): cost follows the new records and their buckets, not the
+whole state or log.
 
 The stored state keeps DELETE tombstones (the winning record per ticket,
 whatever its op), so a late or replayed file cannot revive a deleted ticket
 with an older CREATE. Readers see only CREATE rows (``current_tickets``).
-Each batch writes version ``latest committed + 1``. Folding is idempotent
+Each batch writes version ``latest published + 1``. Folding is idempotent
 (the last record per ticket by lsn), so a retried batch writes a version
-with the same content; an attempt that died before its commit leaves an
-uncommitted folder that the next attempt overwrites. One writer per base.
+with the same content; an attempt that died before it was published leaves a
+folder that the next attempt overwrites. One writer per base.
 """
 
 from __future__ import annotations
@@ -25,18 +27,18 @@ from .. import schemas
 from ..operators.joins import MAX_PROBE_BYTES, key_bytes
 from ..plans import tickets
 from ..session import shared_path
-from ..sinks import snapshot
+from ..sinks import bucketed, snapshot
 from ..sources.jsonlog import parse_records, read_log
 
+BUCKETS = 64                # of a new state; a stored one keeps its number
+
 STATE_SCHEMA = ("ticket_id string, lsn struct<batch:bigint,seq:bigint>, op string, "
                 "passenger_name string, created_at string, expires_at string")
 
 
-def read_state(spark: SparkSession, base: str, below: int | None = None) -> DataFrame:
-    v = snapshot.latest_version(spark, base, below)
-    if v is None:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.parquet(snapshot.version_path(base, v))
+def read_state(spark: SparkSession, base: str) -> DataFrame:
+    _, _, entries = bucketed.current(spark, base, BUCKETS)
+    return bucketed.read(spark, base, STATE_SCHEMA, entries)
 
 
 def current_tickets(spark: SparkSession, base: str) -> DataFrame:
@@ -75,13 +77,16 @@ def fold(state: DataFrame, records: DataFrame,
 
 def _sync_batch(batch: DataFrame, epoch_id: int, base: str) -> None:
     spark = batch.sparkSession
-    # parsed once: the records feed the id bound, the id broadcast and the fold
-    records = parse_records(batch, schemas.LOG_RECORD, explicit_lsn=True).persist()
+    # parsed once: the records feed the buckets, the id bound and the fold
+    records = (parse_records(batch, schemas.LOG_RECORD, explicit_lsn=True)
+               .where(F.length("ticket_id") > 0).persist())
     try:
-        last = snapshot.latest_version(spark, base)
-        prev = read_state(spark, base)
-        snapshot.write_snapshot(fold(prev, records), base,
-                                version=0 if last is None else last + 1)
+        version, buckets, entries = bucketed.current(spark, base, BUCKETS)
+        touched = [r.b for r in records.select(bucketed.bucket_of("ticket_id", buckets).alias("b"))
+                   .distinct().collect()]                           # at most `buckets` rows
+        if touched:
+            prev = bucketed.read(spark, base, STATE_SCHEMA, entries, set(touched))
+            bucketed.write(fold(prev, records), base, "ticket_id", version + 1, buckets, entries, touched)
     finally:
         records.unpersist()
 
@@ -108,9 +113,9 @@ def sync_now(spark: SparkSession, log_path: str, base: str, explicit_lsn: bool =
     so it is not folded into by the stream."""
     log = read_log(spark, log_path, explicit_lsn=explicit_lsn)
     state = tickets.replay(log.select(*COLS), keep_tombstones=True).select(*COLS)
-    v = snapshot.write_snapshot(state, base)
-    snap = spark.read.parquet(snapshot.version_path(base, v))
-    return snap.where(F.col("op") == "CREATE").count()
+    version, buckets, _ = bucketed.current(spark, base, BUCKETS)
+    bucketed.write(state, base, "ticket_id", version + 1, buckets, {}, list(range(buckets)))
+    return current_tickets(spark, base).count()
 
 
 def log_signature(spark: SparkSession, log_path: str) -> tuple[int, int] | None:

@@ -47,4 +47,14 @@ def test_empty_source_and_run(spark, tmp):
     # idempotent rerun (full refresh)
     r = medallion.run(source(spark, EDGE), tmp + "/full", AS_OF)
     assert dict(rows(r)) == {"bronze": 10, "silver": 7, "gold": 3}
-    assert spark.read.parquet(tmp + "/full/silver").schema == schemas.SILVER
+    assert medallion.read_layer(spark, tmp + "/full", "silver").schema == schemas.SILVER
+
+
+def test_a_reader_during_a_refresh_sees_a_whole_layer(spark, tmp):
+    medallion.run(source(spark, EDGE), tmp + "/m", AS_OF)
+    held = medallion.read_layer(spark, tmp + "/m", "bronze")
+    medallion.run(source(spark, EDGE[:3]), tmp + "/m", AS_OF)
+    assert held.count() == 10 and medallion.read_layer(spark, tmp + "/m", "bronze").count() == 3
+    # an attempt that has not been committed is never read
+    source(spark, EDGE).write.parquet(tmp + "/m/bronze/v=00000000000000000009/_temporary/0")
+    assert medallion.read_layer(spark, tmp + "/m", "bronze").count() == 3

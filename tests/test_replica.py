@@ -2,7 +2,7 @@ import json
 import pytest
 import os
 
-from lakeops.sinks import snapshot
+from lakeops.sinks import bucketed
 from lakeops.streaming import replica
 from tests.conftest import rows
 
@@ -43,7 +43,7 @@ def test_sync_stream_folds_with_tombstones(spark, tmp):
     ids = spark.createDataFrame([("b",), ("zz",)], "ticket_id string")
     assert rows(replica.lookup(spark, base, ids), "ticket_id", "status") == [
         ("b", "found"), ("zz", "not_found")]
-    assert len(snapshot.committed_versions(spark, base)) <= 2
+    assert len(bucketed.versions(spark, base)) <= 2
 
 
 def test_sync_now(spark, tmp):
@@ -157,3 +157,28 @@ def test_a_failing_read_keeps_the_snapshot(spark, tmp):
         replica.sync_now(spark, tmp + "/wal", base)
     assert replica.current_tickets(spark, base).count() == 1
     assert replica.sync_now(spark, tmp + "/gone", tmp + "/other") == 0
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp):
+    from lakeops.plans import tickets  # noqa: F401
+    log_dir, base = tmp + "/wal", tmp + "/replica"
+    os.makedirs(log_dir)
+
+    def sync(name, lines):
+        with open(f"{log_dir}/{name}.log", "w") as f:
+            f.write("\n".join(lines) + "\n")
+        q = replica.start_sync(spark, log_dir, base, checkpoint=tmp + "/ck", trigger={"availableNow": True})
+        q.awaitTermination(120)
+        assert q.exception() is None
+
+    sync("a", [rec(1, i, "CREATE", f"t{i}", "x") for i in range(300)])
+    v0, buckets, before = bucketed.current(spark, base, 1)
+    assert buckets == replica.BUCKETS and len(before) > buckets // 2
+    held = replica.current_tickets(spark, base)         # a reader that began before the next batch
+    sync("b", [json.dumps({"op": "DELETE", "ticket_id": "t7", "lsn": {"batch": 2, "seq": 1}})])
+    v1, _, after = bucketed.current(spark, base, 1)
+    assert v1 == v0 + 1 and [b for b in after if after[b] != before[b]] == [b for b in after if after[b] == v1]
+    assert sum(v == v1 for v in after.values()) == 1
+    assert held.count() == 300 and replica.current_tickets(spark, base).count() == 299
+    sync("c", ["{oops}"])                               # nothing to fold: no new snapshot
+    assert bucketed.current(spark, base, 1)[0] == v1

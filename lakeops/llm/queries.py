@@ -8,7 +8,20 @@ from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
 
-@register("op1_warc")
+# SHA-1 hex to bare base32: every five hex digits are four letters
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+largest AS (SELECT body, max(page_id) AS page FROM p GROUP BY body)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(sha1(body), (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT,
+         1)), '') AS payload_digest,
+       CASE WHEN page_id < page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < page THEN page END AS refers_to
+FROM p JOIN largest USING (body)"""
+
+
+@register("op1_warc", WARC_SQL)
 def op1(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages"))
 
@@ -71,7 +84,28 @@ def op2(spark, sf_dir):
     return extraction.extracted(table(spark, sf_dir, "pages"))
 
 
-@register("op3_suffix_dedup")
+# Every string of 50 bytes as 100 hex digits; a byte goes if a marked string
+# starts at most 49 bytes before it
+SUFFIX_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - {suffix.LENGTH - 1}, 0))) AS p FROM d),
+strings AS (SELECT doc_id, p, hash(substr(h, (2 * p + 1)::INT, {2 * suffix.LENGTH})) AS a,
+                   md5_number_lower(substr(h, (2 * p + 1)::INT, {2 * suffix.LENGTH})) AS b FROM starts),
+marked AS (SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY a, b) AS first FROM strings)
+           WHERE first < doc_id),
+bytes AS (SELECT doc_id, unnest(range(len(h) // 2)) AS q, unnest(regexp_extract_all(h, '..')) AS x FROM d),
+judged AS (SELECT doc_id, q, x, coalesce(q - max(p) OVER (PARTITION BY doc_id ORDER BY q
+                                 ROWS BETWEEN {suffix.LENGTH - 1} PRECEDING AND CURRENT ROW) < {suffix.LENGTH}, FALSE) AS gone
+           FROM (SELECT bytes.*, marked.p FROM bytes LEFT JOIN marked
+                 ON bytes.doc_id = marked.doc_id AND bytes.q = marked.p)),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY q), FALSE) AS opens FROM judged)
+SELECT d.doc_id, coalesce(count(q), 0)::BIGINT AS n_bytes, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
+       count(*) FILTER (WHERE opens)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(string_agg(x, '' ORDER BY q) FILTER (WHERE NOT gone), ''))) AS kept_sha256
+FROM d LEFT JOIN edges ON d.doc_id = edges.doc_id GROUP BY d.doc_id"""
+
+
+@register("op3_suffix_dedup", SUFFIX_SQL)
 def op3(spark, sf_dir):
     return suffix.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -81,7 +115,30 @@ def op4(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
-@register("op5_sharding")
+# CRC-32 byte by byte with the table of its polynomial; rendezvous by the
+# smallest -ln(u), u from 52 bits of an MD5
+_STEP = "CASE WHEN {c} & 1 = 1 THEN xor(3988292384, {c} >> 1) ELSE {c} >> 1 END"
+SHARDING_SQL = f"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, {_STEP.format(c="c")} FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE k = 8),
+d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS key, encode(coalesce(text, '')) AS b FROM documents),
+sized AS (SELECT doc_id, key, octet_length(b)::BIGINT + 1 AS size,
+                 xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(
+                   regexp_extract_all(hex(b), '..'), lambda x: ('0x' || x)::BIGINT),
+                   lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]))) AS text_crc32
+          FROM d, crc),
+drawn AS (SELECT doc_id, key, s, -ln((('0x' || substr(md5('s0:' || s || ':' || key), 1, 13))::BIGINT::DOUBLE + 0.5)
+                                     / 4503599627370496) AS score FROM (SELECT DISTINCT doc_id, key FROM d), range(17) t(s)),
+placed AS (SELECT key, arg_min(s, (score, s)) FILTER (WHERE s < 16)::INT AS shard,
+                  arg_min(s, (score, s))::INT AS grown_shard FROM drawn GROUP BY key)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id, size, text_crc32) - 1 AS slot, grown_shard
+FROM sized JOIN placed USING (key)"""
+
+
+@register("op5_sharding", SHARDING_SQL)
 def op5(spark, sf_dir):
     return sharding.sharded_documents(table(spark, sf_dir, "documents"))
 

@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from lakeops.plans import datagen, reports  # noqa: E402
 from lakeops.plans.registry import QUERIES  # noqa: E402
 from lakeops.session import env_int, get_spark, shared_path  # noqa: E402
+from lakeops.sources.paths import path_exists  # noqa: E402
 from lakeops.sources.tables import STAR_TABLES, read_star  # noqa: E402
 
 
@@ -38,14 +39,9 @@ def star_reports(t):
 
 def reference_scale(spark, runs: int) -> dict:
     loc = shared_path(spark, "bench-star-seed42")
-    try:
-        t = read_star(spark, loc)
-        ok = all(t[n].limit(1).count() == 1 for n in STAR_TABLES)
-    except Exception:  # noqa: BLE001 - not generated yet
-        ok = False
-    if not ok:
+    if not all(path_exists(spark, f"{loc}/{n}/_SUCCESS") for n in STAR_TABLES):
         datagen.write_star(spark, loc, seed=42, as_of="2025-01-01 00:00:00")
-        t = read_star(spark, loc)
+    t = read_star(spark, loc)
     out = {}
     for name, q in star_reports(t).items():
         q().collect()                                     # warm-up
@@ -62,14 +58,16 @@ HEADLINE = [
     "silver_events", "gold_stats", "layer_counts",                                     # M2-M4
     "ticket_replay", "validate", "validate_swept",                                     # L2, L5, L6
     "insert_ignore", "order_decode",                                                   # W1 batch, P18
-    "quality_foreign_key",                                                             # Q3
+    "quality_foreign_key", "quality_not_null", "quality_unique",                       # Q1-Q3
+    "shipment_sample",                                                                 # O3, G7
+    "order_stream", "replica_sync", "medallion_run",                                   # write paths
 ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = env_int("BENCH_CPUS", 8)
-    runs = env_int("BENCH_RUNS", 5)
+    runs = env_int("BENCH_RUNS", 3)
     spark = get_spark(f"local[{cpus}]", app_name="lakeops-bench",
                       shuffle_partitions=max(cpus, 4),
                       extra_conf={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})

@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import extraction, mixing, packing, quality, sharding, simhash, suffix, topk_search, toxicity, warc
+from . import extraction, mixing, packing, quality, quality_sql, sharding, simhash, suffix, topk_search, toxicity, warc
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -156,7 +156,7 @@ def op6(spark, sf_dir):
     return topk_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
-@register("op7_quality")
+@register("op7_quality", quality_sql.statement())
 def op7(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"))
 

@@ -16,7 +16,7 @@ fitted weights (a fixed size) and no shuffle.
 Defined cases: NULL and empty texts hold no terms and get the machine's
 constant; a NULL doc_id counts as the text ``null`` for its fold; rows without
 a label (or a NULL one) are scored only; a repeated label row counts once per
-(doc_id, label); with no labelled rows, or one class alone, the score is the
+(doc_id, label), and an id with several texts is learned from the smallest; with no labelled rows, or one class alone, the score is the
 smoothed share of toxic rows; an empty table gives no rows."""
 
 from __future__ import annotations
@@ -154,9 +154,11 @@ def fit(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE, terms:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"],
                                 "terms": [own.of_text(t) for t in pdf["text"]]})
 
-    # at most ``sample`` rows of two numbers: a proven bound for the broadcast
-    rows = written(docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
-                   .mapInPandas(run, "doc_id long, label int, terms array<int>"), "toxicity-sample")
+    # at most ``sample`` rows of two numbers: a proven bound for the broadcast;
+    # one text per label row, so that repeated documents can't grow the sample
+    texts = (docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label")
+             .agg(F.min(F.coalesce("text", F.lit(""))).alias("text")))
+    rows = written(texts.mapInPandas(run, "doc_id long, label int, terms array<int>"), "toxicity-sample")
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
     if not total.n:
         return np.zeros(0, dtype=np.int64), Machine(0).fit(*flat([]), np.zeros(0))

@@ -14,14 +14,14 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from lakeops.plans.registry import QUERIES  # noqa: E402
 from lakeops.session import get_spark  # noqa: E402
 
 KINDS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange RoundRobin",
          "Exchange SinglePartition", "BroadcastExchange", "ReusedExchange",
          "BroadcastHashJoin", "SortMergeJoin", "BroadcastNestedLoopJoin",
          "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Window",
-         "TakeOrderedAndProject", "MapInArrow"]
+         "TakeOrderedAndProject"]
 
 
 def shorten(line: str, width: int = 170) -> str:
@@ -41,7 +41,7 @@ def main() -> None:
     summary = ["| query | " + " | ".join(k.replace("Exchange ", "X-") for k in KINDS) + " |",
                "|---|" + "---|" * len(KINDS)]
     bodies = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()

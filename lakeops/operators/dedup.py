@@ -22,15 +22,6 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFr
             .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]))
 
 
-def last_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """The last row per key (log replay: latest record wins)."""
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_by])
-    row = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.max_by(row, order).alias("_last"))
-            .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest]))
-
-
 def distinct_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """SELECT DISTINCT (partial aggregate on every column)."""
     return (df.select(*columns) if columns else df).distinct()

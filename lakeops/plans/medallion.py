@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.exprs import as_of_lit, ilike, null_default
 from ..operators.dedup import distinct_rows
-from ..sinks.tables import read_refreshed, refresh_atomic
+from ..sinks.tables import read_refreshed, refresh_atomic, write_full_refresh
 from ..sources.tables import conform
 
 # Gold metric names and their case-insensitive patterns.
@@ -68,27 +68,36 @@ def layer_counts(b: DataFrame, s: DataFrame, g: DataFrame) -> DataFrame:
     return cnt(b, "bronze").unionByName(cnt(s, "silver")).unionByName(cnt(g, "gold"))
 
 
-def read_layer(spark: SparkSession, target: str, layer: str) -> DataFrame:
+def read_layer(spark: SparkSession, target: str | None, layer: str, database: str | None = None) -> DataFrame:
     """A layer as ``run`` stored it."""
+    if database:
+        return spark.table(f"{database}.{layer}")
     return read_refreshed(spark, f"{target.rstrip('/')}/{layer}")
 
 
-def run(source: DataFrame, target: str, as_of=None,
-        patterns: dict[str, str] | None = None) -> DataFrame:
-    """Run the three layers into ``target``/{bronze,silver,gold} and return the
-    layer-count report. Each layer is replaced at once (``refresh_atomic``), so
-    ``read_layer`` never meets an empty or half-written one. The bronze count is the number of rows read, observed
-    while writing (no second scan); silver and gold count their written
+def _store(df: DataFrame, target: str | None, layer: str, database: str | None, schema=None) -> DataFrame:
+    """Replace a layer and read it back: K1 with a schema, K2 without."""
+    if database:
+        write_full_refresh(df, table=f"{database}.{layer}", schema=schema)
+    else:
+        refresh_atomic(df, f"{target.rstrip('/')}/{layer}", schema)
+    return read_layer(df.sparkSession, target, layer, database)
+
+
+def run(source: DataFrame, target: str | None = None, as_of=None,
+        patterns: dict[str, str] | None = None, database: str | None = None) -> DataFrame:
+    """Run the three layers into ``target``/{bronze,silver,gold}, or into the
+    tables of those names of a catalog ``database``, and return the layer-count
+    report. By path each layer is replaced at once (``refresh_atomic``), so
+    ``read_layer`` never meets an empty or half-written one; a catalog table is
+    replaced as its format does it. The bronze count is the number of rows read,
+    observed while writing (no second scan); silver and gold count their written
     tables."""
-    spark = source.sparkSession
-    base = target.rstrip("/")
+    if not (target or database):
+        raise ValueError("a target path or a database is needed")
     obs = Observation("bronze")
     b = bronze(source).observe(obs, F.count(F.lit(1)).alias("rows"))
-    refresh_atomic(b, f"{base}/bronze", schemas.BRONZE)
-    b_rows = obs.get["rows"]
-    refresh_atomic(silver(read_layer(spark, base, "bronze"), as_of), f"{base}/silver", schemas.SILVER)
-    s_stored = read_layer(spark, base, "silver")
-    s_rows = s_stored.count()
-    refresh_atomic(gold(s_stored, patterns), f"{base}/gold")
-    g_rows = read_layer(spark, base, "gold").count()
-    return layer_counts_frame(spark, b_rows, s_rows, g_rows)
+    b_stored = _store(b, target, "bronze", database, schemas.BRONZE)
+    s_stored = _store(silver(b_stored, as_of), target, "silver", database, schemas.SILVER)
+    g_stored = _store(gold(s_stored, patterns), target, "gold", database)
+    return layer_counts_frame(source.sparkSession, obs.get["rows"], s_stored.count(), g_stored.count())

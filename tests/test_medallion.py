@@ -58,3 +58,15 @@ def test_a_reader_during_a_refresh_sees_a_whole_layer(spark, tmp):
     # an attempt that has not been committed is never read
     source(spark, EDGE).write.parquet(tmp + "/m/bronze/v=00000000000000000009/_temporary/0")
     assert medallion.read_layer(spark, tmp + "/m", "bronze").count() == 3
+
+
+def test_run_into_a_catalog(spark, tmp):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS medallion_t LOCATION '{tmp}/db'")
+    try:
+        for n in (10, 3):       # a second run replaces the tables
+            r = medallion.run(source(spark, EDGE[:n]), as_of=AS_OF, database="medallion_t")
+            assert dict(rows(r))["bronze"] == n
+            assert spark.table("medallion_t.bronze").count() == n
+        assert medallion.read_layer(spark, None, "silver", "medallion_t").schema == schemas.SILVER
+    finally:
+        spark.sql("DROP DATABASE medallion_t CASCADE")

@@ -67,3 +67,12 @@ def test_last_before_vs_loop(spark):
     out = last_before(df, "k", ["t", "id"], F.col("r"), "p", 13)
     assert out.columns == [*df.columns, "p"]
     assert last_before(df.limit(0), "k", ["t", "id"], F.col("r"), "p").count() == 0
+
+
+def test_segments_follow_the_input_not_a_join_estimate(spark):
+    from lakeops.operators.scan import segments_for
+    a, b = spark.range(200_000), spark.range(200_000).withColumnRenamed("id", "k")
+    joined = a.join(b, a.id == b.k, "left")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert segments_for(joined) == least
+    assert segments_for(joined, 100_000) == 32

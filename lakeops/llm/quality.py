@@ -218,7 +218,9 @@ def joined(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def verdict() -> Column:
-    return ~F.col("base_failed") & F.coalesce(distance() <= CUT, F.lit(False))
+    """One expression over both sides of the join, not a conjunction: a filter
+    on it stays above the statistics, which below it would be computed twice."""
+    return F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(distance() <= CUT, F.lit(False)))
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -235,8 +237,8 @@ def judged(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, unchanged. The statistics are computed
     again beside the text rather than joined to it: no text is shuffled."""
-    rows = written(with_statistics(docs.select("text", *GROUP)).where("not base_failed").select(*GROUP, *X),
-                   "quality-statistics")
+    rows = written(with_statistics(docs.select("text", *GROUP)).select(*GROUP, *X, "base_failed"),
+                   "quality-statistics").where("not base_failed").drop("base_failed")
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", *GROUP)
     return (joined(with_statistics(own), estimates(rows)).where(verdict())
             .select("_row.*"))

@@ -3,6 +3,8 @@ written intermediate tables, and gapless numbering without one-task windows."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,6 +36,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return the freed memory of a Python worker to the system, where the C
+    library can: Spark keeps the worker for later tasks."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def utf8(text: Column) -> Column:
     """The UTF-8 bytes of a text; NULL counts as empty."""
     return F.coalesce(F.encode(text, "UTF-8"), F.lit(b""))

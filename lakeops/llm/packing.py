@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import numbered, written
+from .base import give_back, numbered, written
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -111,6 +111,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                     own = ids[s:s + n]
                     rows.append([doc, k, s, n, zlib.crc32(own.tobytes())] + [own.astype(np.int32)] * with_ids)
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
 

@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import run_folder, written
+from .base import give_back, run_folder, written
 
 LENGTH, WINDOW = 50, 24
 CHUNK_BYTES = 1 << 20       # text of a chunk row
@@ -331,6 +331,7 @@ def send_phrases(batches, buckets: int, length: int, most: int):
             if held >= BATCH_BYTES or n_docs >= BATCH_TEXTS:
                 yield from ordered(flush())
     yield from ordered(flush())
+    give_back()
 
 
 def look_up(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
@@ -452,6 +453,7 @@ def send_suffixes(batches, buckets: int, length: int):
                 yield from flush()
     if docs:
         yield from flush()
+    give_back()
 
 
 def order_suffixes(pdf: pd.DataFrame, length: int) -> pd.DataFrame:

@@ -19,7 +19,9 @@ group is ever gathered. The bins are fine (1/64 of a natural logarithm of
 ``FLOORS`` are standard deviations below which a statistic is not told apart;
 their squares are added to the diagonal, so a statistic that is constant in a
 group (most have no symbols) leaves the covariance regular, and groups of any
-size have an estimate (in a group of one text it is that text).
+size have an estimate (in a group of one text it is that text). They only
+regularise: each is so small a part of its statistic's range that every statistic
+alone can pass the cut among texts that are all alike.
 
 Three-word windows are compared by a 64-bit hash of their words, within one text.
 
@@ -40,7 +42,7 @@ from .base import SPACES, let, written
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 50, 50            # base rule: least words, most per cent of repeated words
 SHARE, LEVEL, STEPS, BIN = 0.75, 0.9999, 6, 64
-FLOORS = (0.08, 0.30, 1.10, 1.30)
+FLOORS = (0.08, 0.30, 0.40, 0.40)
 P = len(FLOORS)
 X = [f"x{i}" for i in range(P)]
 _LOWER = [(i, j) for i in range(P) for j in range(i + 1)]

@@ -216,6 +216,24 @@ def test_symbols_in_clean_company_are_rejected(spark):
     assert all(out[i] == (i < 1000) for i in out)
 
 
+@pytest.mark.parametrize("spoilt", [
+    lambda k: "\n".join(s + ("\nmore" if i % 2 else "") for i, s in enumerate(lines_of(k))),       # duplicate lines
+    lambda k: " ".join(lines_of(k)) + " " + " ".join(lines_of(k)[:5]),                              # repeated words
+    lambda k: "\n".join(lines_of(k) + lines_of(k)[:5])], ids=["lines", "words", "both"])
+def test_repetition_in_clean_company_is_rejected(spark, spoilt):
+    clean = [(i, "\n".join(lines_of(i)), "en", "s") for i in range(100)]
+    junk = [(1000 + i, spoilt(1000 + i), "en", "s") for i in range(10)]
+    df = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
+    out = quality.judged(df).collect()
+    assert not any(r.base_failed for r in out)
+    assert {r.doc_id for r in out if not r.kept} == set(range(1000, 1010))
+
+
+def lines_of(k):
+    """Twenty lines of six words; no line and no three words come twice."""
+    return [" ".join(f"w{chr(97 + (k + j) % 26)}{100 + 6 * i + j}" for j in range(6)) for i in range(20)]
+
+
 def test_chi_square():
     assert quality.chi2_quantile(0.95, 4) == pytest.approx(9.4877, abs=1e-3)
     assert quality.chi2_quantile(0.5, 6) == pytest.approx(5.3481, abs=1e-3)

@@ -6,10 +6,14 @@ elements whose class, id or role names such a part are boilerplate), its link
 density, its length and the share of stop words among its words: good, bad, or
 ambiguous. Pass two gives an ambiguous block the label of its nearest decided
 neighbours in its region: both alike, that label; different, the nearer one
-(equally near: good). Boilerplate elements inside an article are no neighbours. A region is the article (or ``main``) a block stands in; on a
-page that has one with text, what stands outside of it is boilerplate. Blocks in
-an article are never bad for lack of stop words, only ambiguous, and a region
-without decided blocks is good if it isn't mostly links.
+(equally near: good). Boilerplate elements inside an article are no neighbours.
+
+A region is the article (or ``main``) a block stands in, and a hint for both
+passes. In it short texts are good from fewer stop words on, long texts without
+stop words and linked headings are ambiguous, not bad (some languages and all code
+have no stop words), and a region without decided blocks is good. Outside, on a
+page that has a region with text, only long texts dense with stop words are good
+by themselves, and what has no decided neighbours is bad.
 
 Text is kept whole: character references are decoded, white space in a block
 becomes one space, blocks are joined by one newline, nothing else is dropped or
@@ -32,6 +36,7 @@ from pyspark.sql import functions as F
 MAX_LINKS = 0.33        # share of a block's characters in links, from which it is bad
 LONG, SHORT = 140, 40   # characters
 STOP_HIGH, STOP_LOW = 0.20, 0.08
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Frequent function words of the four languages.
 STOP_WORDS = frozenset((
@@ -71,10 +76,10 @@ GOOD, BAD, OPEN = 1, 0, None
 
 
 class Block:
-    __slots__ = ("chars", "linked", "boiler", "region")
+    __slots__ = ("chars", "linked", "boiler", "region", "heading")
 
-    def __init__(self, boiler: bool, region: int):
-        self.chars, self.linked, self.boiler, self.region = [], 0, boiler, region
+    def __init__(self, boiler: bool, region: int, heading: bool = False):
+        self.chars, self.linked, self.boiler, self.region, self.heading = [], 0, boiler, region, heading
 
 
 def names_boilerplate(attributes: str, in_article: bool) -> bool:
@@ -105,7 +110,7 @@ def blocks_of(page: str) -> list[Block]:
         if block.chars and any(c and not c.isspace() for c in block.chars):
             out.append(block)
         boiler, region = stack[-1][1:] if stack else (False, 0)
-        block = Block(boiler, region)
+        block = Block(boiler, region, bool(stack) and stack[-1][0] in HEADINGS)
 
     def close(tag):
         nonlocal links
@@ -156,15 +161,17 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def label(block: Block, text: str) -> int | None:
-    """Pass one."""
+def label(block: Block, text: str, outside: bool = False) -> int | None:
+    """Pass one. ``outside``: the page has a region, the block stands in none."""
     if block.boiler:
         return BAD
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?()[]«»\"'#*$%&|-") in STOP_WORDS for w in words) / max(1, len(words))
     if block.linked > MAX_LINKS * len(text):
-        return OPEN if block.region else BAD
-    if len(text) >= SHORT and stops >= STOP_HIGH or len(text) >= LONG and stops >= STOP_LOW:
+        return OPEN if block.region and block.heading else BAD
+    if outside:
+        return GOOD if len(text) >= LONG and stops >= STOP_HIGH else BAD if len(text) >= LONG else OPEN
+    if len(text) >= SHORT and stops >= (STOP_LOW if block.region else STOP_HIGH) or len(text) >= LONG and stops >= STOP_LOW:
         return GOOD
     if not block.region and len(text) >= LONG and stops < STOP_LOW:
         return BAD
@@ -201,11 +208,11 @@ def main_text(page: str | None) -> str:
         return ""
     found = [(b, " ".join("".join(b.chars).split())) for b in blocks_of(page)]
     found = [(b, t) for b, t in found if t]
-    if any(b.region and not b.boiler for b, _ in found):
-        found = [(b, t) for b, t in found if b.region]
+    hinted = any(b.region and not b.boiler for b, _ in found)
     # boilerplate inside an article says nothing about the text around it
-    labels = resolve([label(b, t) for b, t in found], [-1 if b.boiler and b.region else b.region for b, _ in found],
-                     [b.linked > MAX_LINKS * len(t) for b, t in found])
+    labels = resolve([label(b, t, hinted and not b.region) for b, t in found],
+                     [-1 if b.boiler and b.region else b.region for b, _ in found],
+                     [hinted or b.linked > MAX_LINKS * len(t) for b, t in found])
     return "\n".join(t for (_, t), good in zip(found, labels) if good)
 
 

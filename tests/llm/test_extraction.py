@@ -24,6 +24,24 @@ def test_main_text(page, text):
     assert x.main_text(page) == text
 
 
+LONG_STORY = f"{STORY} {STORY}"
+LINKS = "<a href=x>Ten things to see</a> <a href=y>Nine more of them here</a>"
+
+
+@pytest.mark.parametrize("page, text", [
+    # the text in a plain div, teasers in articles
+    (f"<div><h1>Title</h1><p>{LONG_STORY}</p><p>Short.</p><p>{LONG_STORY}</p></div><article><a href=x>Next</a></article>",
+     f"Title\n{LONG_STORY}\nShort.\n{LONG_STORY}"),
+    # link lists in an article, also what stands between them; a linked title stays
+    (f"<article><h1><a href=x>Title</a></h1><p>{STORY}</p><p>{LINKS}</p><p>See also</p><p>{LINKS}</p></article>",
+     f"Title\n{STORY}"),
+    # short text beside an article, and texts without stop words in it
+    (f"<article><p>{'Zeile ' * 40}</p></article><div>Copyright of x</div>", ("Zeile " * 40).strip()),
+])
+def test_both_passes_run_inside_and_outside_of_regions(page, text):
+    assert x.main_text(page) == text
+
+
 def test_second_pass_takes_the_nearest_label():
     assert x.resolve([1, None, 1], [0] * 3, [False] * 3) == [1, 1, 1]
     assert x.resolve([0, None, 0], [0] * 3, [False] * 3) == [0, 0, 0]

@@ -1,8 +1,9 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at block-level tags. Pass one labels a block by the
-element it stands in (menus, headers, footers, side bars, forms, and
-elements whose class, id or role names such a part are boilerplate), its link
+element it stands in (menus, headers, footers, side bars, forms, hidden
+elements, and elements whose class, id or role names such a part are
+boilerplate; a long text dense with stop words overrules a name), its link
 density, its length and the share of stop words among its words: good, bad, or
 ambiguous. Pass two gives an ambiguous block the label of its nearest decided
 neighbours in its region: both alike, that label; different, the nearer one
@@ -55,7 +56,8 @@ BLOCK_TAGS = frozenset((
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("iframe noembed noframes noscript script style svg math template textarea title xmp".split())
 BOILERPLATE_TAGS = frozenset("aside button dialog footer form head header label legend menu nav option select".split())
-# Parts of class, id and role names that name a boilerplate part of a page.
+# Class, id and role names of a boilerplate part of a page: whole, or as the
+# first or last part of a block's name.
 BOILERPLATE_NAMES = frozenset((
     "ad ads adbox adsense advert advertisement adverts advertising aside banner breadcrumb breadcrumbs comment "
     "comments complementary consent contentinfo cookie cookies copyright discussion disqus feedback footer form gdpr "
@@ -63,40 +65,67 @@ BOILERPLATE_NAMES = frozenset((
     "outbrain pager pagination popup promo promoted promotion related replies reply search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe subscription taboola toolbar widget").split())
 HEADER_NAMES = frozenset(("header",))
+# Parts before a last part that make the name one of something else (has-footer).
+MODIFIERS = frozenset("has hide is no non not open show toggle with without".split())
 REGION_TAGS = frozenset(("article", "main"))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>", re.S)
-_NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
 _END = {t: re.compile(rf"</{t}\s*[^>]*>|\Z", re.I) for t in RAW_TAGS}
 GOOD, BAD, OPEN = 1, 0, None
+NAMED, SURE = 1, 2      # boilerplate by a name only; by its tag, or hidden
 
 
 class Block:
     __slots__ = ("chars", "linked", "boiler", "region", "heading")
 
-    def __init__(self, boiler: bool, region: int, heading: bool = False):
+    def __init__(self, boiler: int, region: int, heading: bool = False):
         self.chars, self.linked, self.boiler, self.region, self.heading = [], 0, boiler, region, heading
 
 
-def names_boilerplate(attributes: str, in_article: bool) -> bool:
-    if not attributes:
+def attributes_of(text: str) -> dict[str, str]:
+    """Attribute values by lower-case name; the first of a name counts."""
+    out = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
+def is_boilerplate_name(name: str, names: frozenset[str], block: bool) -> bool:
+    if name.lower() in names:
+        return True
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    if not block or len(parts) < 2:
         return False
-    for found in _NAMED.findall(attributes):
-        parts = {p.lower() for p in _PARTS.findall("".join(found))}
-        if parts & BOILERPLATE_NAMES or (parts & HEADER_NAMES and not in_article):
-            return True
-    return bool(_HIDDEN.search(attributes))
+    last = parts[-1] in names and parts[-1] != "hidden" and parts[-2] not in MODIFIERS
+    return parts[0] in names or last
+
+
+def names_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> int:
+    """0, ``NAMED`` or ``SURE``. The page, its article and its main part are never
+    judged by a name, paragraphs and inline elements by whole names only."""
+    if not attributes or tag in ("html", "body"):
+        return 0
+    if ("hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true"
+            or _NO_DISPLAY.search(attributes.get("style", ""))):
+        return SURE
+    if tag in REGION_TAGS:
+        return 0
+    names = BOILERPLATE_NAMES if in_article else BOILERPLATE_NAMES | HEADER_NAMES
+    block = tag in BLOCK_TAGS and tag != "p"
+    return NAMED * any(is_boilerplate_name(n, names, block)
+                       for a in ("class", "id", "role") for n in attributes.get(a, "").split())
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks with text, in order. The stack holds the open
     elements that matter: (tag, boilerplate so far, region so far)."""
     stack, known, out, regions, links, at = [], set(), [], 0, 0, 0
-    block = Block(False, 0)
+    block = Block(0, 0)
 
     def add(text):
         if text and (block.boiler or not (stack and stack[-1][1])):     # inline boilerplate is left out
@@ -109,7 +138,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal block
         if block.chars and any(c and not c.isspace() for c in block.chars):
             out.append(block)
-        boiler, region = stack[-1][1:] if stack else (False, 0)
+        boiler, region = stack[-1][1:] if stack else (0, 0)
         block = Block(boiler, region, bool(stack) and stack[-1][0] in HEADINGS)
 
     def close(tag):
@@ -141,17 +170,17 @@ def blocks_of(page: str) -> list[Block]:
                     close("head")
                 if block_tag and stack and stack[-1][0] in ("p", "li", "option", "a"):
                     stack.pop()
-                boiler, region = stack[-1][1:] if stack else (False, 0)
+                boiler, region = stack[-1][1:] if stack else (0, 0)
                 inside = region > 0
-                mine = (tag in BOILERPLATE_TAGS and not (tag == "header" and inside)
-                        or names_boilerplate(attributes, inside))
+                mine = (SURE if tag in BOILERPLATE_TAGS and not (tag == "header" and inside)
+                        else names_boilerplate(tag, attributes_of(attributes) if attributes else {}, inside))
                 if tag in REGION_TAGS and not boiler and not mine and not inside:
                     regions += 1
                     region = regions
                 if tag == "a":
                     links = 1
                 if mine or block_tag and tag not in ("p", "li"):
-                    stack.append((tag, boiler or mine, region))
+                    stack.append((tag, max(boiler, mine), region))
                     known.add(tag)
             if block_tag:
                 cut()
@@ -163,12 +192,14 @@ def blocks_of(page: str) -> list[Block]:
 
 def label(block: Block, text: str, outside: bool = False) -> int | None:
     """Pass one. ``outside``: the page has a region, the block stands in none."""
-    if block.boiler:
+    if block.boiler == SURE:
         return BAD
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?()[]«»\"'#*$%&|-") in STOP_WORDS for w in words) / max(1, len(words))
     if block.linked > MAX_LINKS * len(text):
-        return OPEN if block.region and block.heading else BAD
+        return OPEN if block.region and block.heading and not block.boiler else BAD
+    if block.boiler:
+        return GOOD if len(text) >= LONG and stops >= STOP_HIGH else BAD
     if outside:
         return GOOD if len(text) >= LONG and stops >= STOP_HIGH else BAD if len(text) >= LONG else OPEN
     if len(text) >= SHORT and stops >= (STOP_LOW if block.region else STOP_HIGH) or len(text) >= LONG and stops >= STOP_LOW:

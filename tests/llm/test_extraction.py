@@ -42,6 +42,20 @@ def test_both_passes_run_inside_and_outside_of_regions(page, text):
     assert x.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<html class='has-footer'><body class='no-sidebar'><div class='content-with-sidebar'><p>{STORY}", STORY),
+    (f"<article class='post comments-open'><p>{STORY}</p></article>", STORY),
+    (f"<body style='display: none'><main id=search><p>{STORY}</p></main></body>", STORY),
+    (f"<div class='overflow-hidden'>{STORY}</div><p class='share-price'>{STORY}</p>", f"{STORY}\n{STORY}"),
+    (f"<div data-id='ad' title='class=ad hidden'>{STORY}</div>", STORY),
+    (f"<div class='share-price'><p>{LONG_STORY}</p><p>Les.</p></div>", LONG_STORY),     # the text overrules the name
+    (f"<p>{STORY}</p><div class='site-footer'>{STORY}</div><div class='hidden'>{STORY}</div>", STORY),
+    (f"<p>{STORY}</p><div aria-hidden=true>{LONG_STORY}</div><div style='x:y;display:none'>{LONG_STORY}</div>", STORY),
+])
+def test_names_of_boilerplate(page, text):
+    assert x.main_text(page) == text
+
+
 def test_second_pass_takes_the_nearest_label():
     assert x.resolve([1, None, 1], [0] * 3, [False] * 3) == [1, 1, 1]
     assert x.resolve([0, None, 0], [0] * 3, [False] * 3) == [0, 0, 0]

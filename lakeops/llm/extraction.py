@@ -22,7 +22,8 @@ capped. ``br`` is white space; inline tags are nothing.
 
 Defined cases: a NULL or empty page has the empty text; an unclosed comment or
 script reaches to the end of the page, an unclosed element to the end of the one
-around it; ``<`` that opens no tag is text; a NULL id or url is carried along;
+around it, a link also where the next one starts, a head where something starts
+that can't stand in it; ``<`` that opens no tag is text; a NULL id or url is carried along;
 repeated rows are extracted each; an empty table gives no rows."""
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ HEADER_NAMES = frozenset(("header",))
 # Parts before a last part that make the name one of something else (has-footer).
 MODIFIERS = frozenset("has hide is no non not open show toggle with without".split())
 REGION_TAGS = frozenset(("article", "main"))
+HEAD_TAGS = frozenset("base link meta noscript script style template title".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -123,15 +125,16 @@ def names_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) ->
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks with text, in order. The stack holds the open
-    elements that matter: (tag, boilerplate so far, region so far)."""
-    stack, known, out, regions, links, at = [], set(), [], 0, 0, 0
+    elements that matter: (tag, boilerplate so far, region so far). ``link`` is
+    the open link: the depth of the stack and the p or li around it."""
+    stack, known, out, regions, link, around, at = [], set(), [], 0, None, None, 0
     block = Block(0, 0)
 
     def add(text):
         if text and (block.boiler or not (stack and stack[-1][1])):     # inline boilerplate is left out
             text = html.unescape(text) if "&" in text else text
             block.chars.append(text)
-            if links:
+            if link:
                 block.linked += len(text.strip())
 
     def cut():
@@ -142,7 +145,6 @@ def blocks_of(page: str) -> list[Block]:
         block = Block(boiler, region, bool(stack) and stack[-1][0] in HEADINGS)
 
     def close(tag):
-        nonlocal links
         if tag not in known:
             return
         for i in range(len(stack) - 1, -1, -1):
@@ -152,39 +154,55 @@ def blocks_of(page: str) -> list[Block]:
 
     token = _TOKEN.search(page, at)
     while token:
+        if stack and stack[-1][0] == "head" and not page[at:token.start()].isspace() and at < token.start():
+            close("head")
+            cut()
         add(page[at:token.start()])
         at = token.end()
         closing, tag, attributes = token.group(1), token.group(2), token.group(3)
         if tag:
             tag = tag.lower()
             block_tag = tag in BLOCK_TAGS
+            if not closing and tag not in HEAD_TAGS and stack and stack[-1][0] == "head":
+                close("head")
+                cut()
             if closing:
                 close(tag)
-                links = 0 if tag == "a" else links
+                if link and (tag == "a" or len(stack) < link[0] or link[1] and tag in (link[1], "li")):
+                    link = None
+                if block_tag:
+                    around = None
             elif tag in RAW_TAGS:
                 at = _END[tag].search(page, at).end()
             elif tag == "br":
                 block.chars.append(" ")
             elif tag not in VOID_TAGS:
-                if tag == "body":
-                    close("head")
                 if block_tag and stack and stack[-1][0] in ("p", "li", "option", "a"):
                     stack.pop()
                 boiler, region = stack[-1][1:] if stack else (0, 0)
                 inside = region > 0
+                if link and (tag == "a" or len(stack) < link[0]
+                             or block_tag and link[1] == "p" or tag == "li" == link[1]):
+                    link = None
+                if block_tag:
+                    around = tag if tag in ("p", "li") else None
+                named = attributes_of(attributes) if attributes else {}
                 mine = (SURE if tag in BOILERPLATE_TAGS and not (tag == "header" and inside)
-                        else names_boilerplate(tag, attributes_of(attributes) if attributes else {}, inside))
+                        else names_boilerplate(tag, named, inside))
                 if tag in REGION_TAGS and not boiler and not mine and not inside:
                     regions += 1
                     region = regions
-                if tag == "a":
-                    links = 1
+                if tag == "a" and "href" in named:
+                    link = (len(stack), around)
                 if mine or block_tag and tag not in ("p", "li"):
                     stack.append((tag, max(boiler, mine), region))
                     known.add(tag)
             if block_tag:
                 cut()
         token = _TOKEN.search(page, at)
+    if stack and stack[-1][0] == "head":
+        close("head")
+        cut()
     add(page[at:])
     cut()
     return out

@@ -56,6 +56,21 @@ def test_names_of_boilerplate(page, text):
     assert x.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<a name=top><p>{STORY}</p><div>{STORY}</div>", f"{STORY}\n{STORY}"),
+    (f"<a id=x/><p>{STORY}</p>", STORY),
+    (f"<div><a href=x>One</div><p>{STORY}</p>", STORY),               # closed with the element around
+    (f"<p>{STORY} <a href=x>One<p>{STORY}</p>", f"{STORY} One\n{STORY}"),
+    (f"<ul><li><a href=x>One<li>{STORY}</ul><p>{STORY}</p>", f"{STORY}\n{STORY}"),
+    (f"<p>{STORY}</p><a href=x><div><p>Ten things</p><p>{STORY}</p></div></a><p>{STORY}</p>", f"{STORY}\n{STORY}"),
+    (f"<head><title>x</title><p>{STORY}</p><p>{STORY}</p>", f"{STORY}\n{STORY}"),
+    (f"<head><meta x><link y><script>z</script>\n{STORY}", STORY),
+    (f"<head><title>x</title></head><body><p>{STORY}</p>", STORY),
+])
+def test_links_and_heads_end(page, text):
+    assert x.main_text(page) == text
+
+
 def test_second_pass_takes_the_nearest_label():
     assert x.resolve([1, None, 1], [0] * 3, [False] * 3) == [1, 1, 1]
     assert x.resolve([0, None, 0], [0] * 3, [False] * 3) == [0, 0, 0]

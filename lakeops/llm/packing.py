@@ -240,8 +240,9 @@ def packed(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     histogram = {r.length: r.n for r in piece_rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     where = places(plan(histogram, capacity))
     cols = piece_rows.columns
-    ranked = numbered(piece_rows.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS))),
-                      "length", "_b", ["doc_id", "piece", "ids_crc32"], "_rank").select(*cols, "_rank")
+    order = ["doc_id", "piece", "ids_crc32"]    # rows equal in all three share a part
+    ranked = numbered(piece_rows.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(BUCKETS))),
+                      "length", "_b", order, "_rank").select(*cols, "_rank")
 
     def run(batches):
         for pdf in batches:

@@ -167,6 +167,15 @@ def test_ids_of_a_piece(spark):
     assert len(r) > 1 and all(len(x.ids) == x.length for x in r) and {x.length for x in r[1:]} == {2048}
 
 
+def test_pieces_of_one_doc_id_are_numbered_in_parts(spark, monkeypatch):
+    seen, numbered = [], packing.numbered
+    monkeypatch.setattr(packing, "numbered", lambda df, *a: seen.append(df) or numbered(df, *a))
+    data = [(None, 0, 0, 100, k) for k in range(400)]
+    out = packing.packed(spark.createDataFrame(data, "doc_id long, piece int, start long, length long, ids_crc32 long"))
+    assert seen[0].groupBy("length", "_b").count().count() > 100
+    assert len({(r.sequence_id, r.offset) for r in out.collect()}) == 400
+
+
 def test_empty_packing(spark):
     assert packing.packed_documents(empty_docs(spark), tokenizer_path()).count() == 0
 

@@ -1,14 +1,13 @@
 """Best-fit packing of token pieces into sequences of fixed capacity.
 
 The pieces' length histogram (at most ``capacity`` numbers, whatever the
-corpus) is packed by its configuration linear program: a configuration is a
-multiset of lengths that fits one sequence, and the program covers every
-length's count with as few configurations as it can. It is solved by
-multiplicative weights: each step prices a configuration by a knapsack dynamic
-program over the lengths' current weights, uses it for a small amount, and
-lowers the weights of the lengths it covers. The fractional amounts are rounded
-down, configurations that leave room to nothing; what is left over is packed
-best-fit decreasing.
+corpus) is packed by a knapsack greedy: a configuration is a multiset of lengths
+that fits one sequence. Each step prices a configuration by a knapsack dynamic
+program over ``PRICED`` dealt lengths, valued by size and by weights that follow
+coverage, and uses it until its scarcest length is gone. This does not approach
+the optimum of the configuration linear program; sequences can be more than that.
+Amounts are rounded down, configurations that leave room to nothing; what is left
+over is packed best-fit decreasing.
 
 Every piece then finds its place by its rank among the pieces of its length:
 ranks come from a distributed numbering, the plan is a table whose size is
@@ -163,8 +162,8 @@ def best_fit(lengths, left, capacity: int) -> dict[int, int]:
 
 
 def solve(lengths: list[int], counts: list[int], capacity: int) -> list[tuple[dict, float]]:
-    """Configurations with amounts that together cover about every count:
-    multiplicative weights on the covering program. Each step prices among
+    """Configurations with amounts that together cover about every count, by a
+    greedy with weights, not the covering program's optimum. Each step prices among
     ``PRICED`` lengths, dealt out in a seeded order that visits all lengths
     equally often (partial pricing), and uses the configuration for ``SHARE`` of
     what its scarcest length still lacks."""

@@ -3,7 +3,8 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import extraction, mixing, packing, quality, quality_sql, sharding, simhash, suffix, topk_search, toxicity, warc
+from . import (extraction, mixing, packing, quality, quality_sql, sharding, simhash, suffix, topk_search, toxicity,
+               warc, whitening)
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -181,3 +182,8 @@ def op9(spark, sf_dir):
 @register("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

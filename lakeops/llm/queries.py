@@ -3,8 +3,8 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import (extraction, mixing, packing, quality, quality_sql, sharding, simhash, suffix, topk_search, toxicity,
-               warc, whitening)
+from . import (extraction, hard_negatives, mixing, packing, quality, quality_sql, sharding, simhash, suffix,
+               topk_search, toxicity, warc, whitening)
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
 
@@ -184,6 +184,26 @@ def op10(spark, sf_dir):
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op12_hard_negatives", """
+    WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+               FROM embeddings
+               WHERE label IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+         s AS (SELECT a.vec_id AS anchor_id, a.label AS own, c.vec_id, c.label,
+                      list_dot_product(a.v, c.v)::BIGINT AS score
+               FROM r a JOIN r c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+         p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+               QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+         n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+                      row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+               FROM p JOIN s USING (anchor_id)
+               WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""")
+def op12(spark, sf_dir):
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
 @register("op13_whitening")
 def op13(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))

@@ -3,7 +3,7 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
-from . import (extraction, hard_negatives, mixing, packing, quality, quality_sql, sharding, simhash, suffix,
+from . import (extraction, hard_negatives, minhash, mixing, packing, quality, quality_sql, sharding, simhash, suffix,
                topk_search, toxicity, warc, whitening)
 from .base import table
 from .registry import ORACLE_SQL, QUERIES, register  # noqa: F401
@@ -184,6 +184,31 @@ def op10(spark, sf_dir):
     return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# All pairs of distinct texts that share a shingle; components by repeated
+# minima over the links
+MINHASH_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) >= 2
+               THEN list_sort(list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])))
+               ELSE words END AS items FROM w),
+class AS (SELECT items, row_number() OVER () AS c, min(doc_id) AS least FROM s WHERE len(items) > 0 GROUP BY items),
+flat AS (SELECT c, len(items) AS n, unnest(items) AS item FROM class),
+links AS (SELECT a.c AS u, b.c AS v FROM flat a JOIN flat b ON a.item = b.item AND a.c <> b.c
+          GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(c, r) AS (SELECT c, c FROM class UNION SELECT u, r FROM reach JOIN links ON reach.c = v),
+component AS (SELECT reach.c, min(class.least) AS component_id FROM reach JOIN class ON reach.r = class.c GROUP BY reach.c)
+SELECT s.doc_id, coalesce(len(s.items), 0)::BIGINT AS n_shingles, coalesce(component_id, s.doc_id) AS component_id,
+       s.doc_id IS NOT DISTINCT FROM coalesce(component_id, s.doc_id) AS kept
+FROM s LEFT JOIN class ON s.items = class.items LEFT JOIN component ON component.c = class.c"""
+
+
+@register("op11_minhash", MINHASH_SQL)
+def op11(spark, sf_dir):
+    return minhash.minhash_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op12_hard_negatives", """
     WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                       list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v

@@ -17,7 +17,8 @@ bucket at once:
 2. links so far give groups. What is left open are pairs inside a bucket that
    are in different groups. A bucket's largest group is set apart, the others are cut
    into parts of PART, and each meets every part; an item hands on a spanning forest
-   of what it finds. Buckets of the same members are compared once.
+   of what it finds. Buckets whose largest group is the same are put together where
+   that takes fewer comparisons than one after the other.
 
 No bucket is capped and no pair that could link two groups is left out, so the
 components are those of all links between classes that share a bucket. Members
@@ -230,26 +231,29 @@ def open_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int)
     """(u, v): links between groups (``root``) that buckets of ``members``
     (b, uid, n, root) hold, as spanning forests of the groups that meet."""
     count = F.count(F.lit(1))
-    sizes = members.groupBy("b", "root").agg(count.alias("n_root"))
-    buckets = (sizes.groupBy("b").agg(F.max_by("root", F.struct("n_root", "root")).alias("main"), F.max("n_root").alias("n_main"),
-                                      F.sum("n_root").alias("n_all"), count.alias("n_groups"))
-               .where("n_groups > 1"))
-    names = members.groupBy("b").agg(F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("x"),
-                                     F.bit_xor(F.xxhash64("uid", F.lit(2))).alias("y"))
-    once = (names.join(buckets, "b").groupBy("x", "y", "n_all")
-            .agg(F.min(F.struct("b", "main", "n_main")).alias("s")).select("s.*", "n_all"))
-    parts = once.select("b", "main", F.ceil((F.col("n_all") - F.col("n_main")) / PART).alias("few"),
-                        F.ceil(F.col("n_main") / PART).alias("many"))
+    buckets = (members.groupBy("b", "root").agg(count.alias("n")).groupBy("b")
+               .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("n_main"),
+                    F.sum("n").alias("n_all"), count.alias("n_groups")).where("n_groups > 1"))
+    opened = written(members.join(buckets.select("b", "main"), "b").select("main", "b", "uid", "root"), "open-members")
+    apart = F.col("root") != F.col("main")
+    merged = (opened.select("main", "uid", "root").distinct().groupBy("main")
+              .agg((F.count_if(apart) * count).alias("at_once")))
+    meets = (buckets.groupBy("main").agg(F.sum((F.col("n_all") - F.col("n_main")) * F.col("n_all")).alias("apart"))
+             .join(merged, "main").select("main", (F.col("at_once") <= F.col("apart")).alias("together")))
+    opened = written(opened.join(meets, "main").withColumn("b", F.when(~F.col("together"), F.col("b")))
+                     .select("main", F.coalesce("b", F.lit(0)).alias("b"), "uid", "root").distinct(), "open-groups")
+    parts = opened.groupBy("main", "b").agg(F.ceil(F.count_if(apart) / PART).alias("few"),
+                                            F.ceil(F.count_if(~apart) / PART).alias("many"))
     h = F.xxhash64("uid")
-    own = (members.join(parts, "b").withColumn("is_main", F.col("root") == F.col("main"))
+    own = (opened.join(parts, ["main", "b"]).withColumn("is_main", ~apart)
            .withColumn("own", F.when(F.col("is_main"), F.col("few") + F.pmod(h, F.col("many")))
                        .otherwise(F.pmod(h, F.col("few")))))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("is_main"), F.col("few"))
                                  .otherwise(F.col("few") + F.col("many")) - 1))
     items = (own.withColumn("other", other)
-             .select("b", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+             .select("main", "b", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                      (F.col("own") > F.col("other")).alias("second"), "uid", "root"))
-    key = ["b", "p", "q"]
+    key = ["main", "b", "p", "q"]
     items = (items.join(texts.select("uid", "z"), "uid").repartition(*key).sortWithinPartitions(*key, "second", "uid"))
 
     def meet(rows, known):
@@ -268,7 +272,7 @@ def open_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int)
     def run(batches):
         known: dict[bytes, int] = {}
         rows = (r for pdf in batches for r in pdf.itertuples())
-        for _, own in groupby(rows, key=lambda r: (r.b, r.p, r.q)):
+        for _, own in groupby(rows, key=lambda r: (r.main, r.b, r.p, r.q)):
             found = meet(list(own), known)
             if found:
                 yield pd.DataFrame(found, columns=["u", "v"])
@@ -307,8 +311,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, text:
     then = stars(open_links(rooted, texts, shingle, percent)).select(F.col("v").alias("root"), F.col("root").alias("last"))
     label = (classes.join(groups, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
              .join(then, "root", "left").withColumn("root", F.coalesce("last", "root")))
-    named = label.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = written(label.select("c1", "c2", "root").join(named, "root").select("c1", "c2", "component_id"), "labels")
+    label = written(label.select("c1", "c2", "root", "least"), "rooted-classes")
+    named = written(label.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    label = written(label.join(named, "root").select("c1", "c2", "component_id"), "labels")
     found = rows.where("n > 0").select("c1", "c2", "key", "n").join(label, ["c1", "c2"])
     alone = rows.where("n = 0").select("key", "n", F.col("key").alias("component_id"))
     return (found.select("key", "n", "component_id").unionByName(alone)

@@ -240,7 +240,8 @@ def open_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int)
               .agg((F.count_if(apart) * count).alias("at_once")))
     meets = (buckets.groupBy("main").agg(F.sum((F.col("n_all") - F.col("n_main")) * F.col("n_all")).alias("apart"))
              .join(merged, "main").select("main", (F.col("at_once") <= F.col("apart")).alias("together")))
-    opened = written(opened.join(meets, "main").withColumn("b", F.when(~F.col("together"), F.col("b")))
+    meets = written(buckets.select("b", "main").join(meets, "main").select("b", "together"), "open-buckets")
+    opened = written(opened.join(meets, "b").withColumn("b", F.when(~F.col("together"), F.col("b")))
                      .select("main", F.coalesce("b", F.lit(0)).alias("b"), "uid", "root").distinct(), "open-groups")
     parts = opened.groupBy("main", "b").agg(F.ceil(F.count_if(apart) / PART).alias("few"),
                                             F.ceil(F.count_if(~apart) / PART).alias("many"))

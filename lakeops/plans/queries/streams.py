@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ...sinks.logs import append_log
 from ...sinks.tables import bulk_load
 from ...sources import testdata as td
+from ...sources.lines import numbered_lines
 from ...streaming import orders as orders_stream
 from ...streaming import replica as replica_stream
 from .. import medallion
@@ -133,6 +134,39 @@ def q_replica_sync(spark, d):
     return replica_stream.current_tickets(spark, base)
 
 
+def _log_lines(spark, d, path):
+    """The ticket log as JSON lines without an lsn, in order, as several files."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    recs = td.ticket_log(spark, d, TICKET_TTL).orderBy("lsn").select(
+        "lsn", F.to_json(F.struct("op", "ticket_id", "passenger_name", F.date_format("created_at", iso).alias("created_at"),
+                                  F.date_format("expires_at", iso).alias("expires_at"),
+                                  F.col("lsn").alias("event"))).alias("value"))
+    recs.select("value").write.text(path)
+
+
+@register("replica_follow", ORACLE_SQL["replica_sync"])
+def q_replica_follow(spark, d):
+    """L8 for one growing log file: it grows in three steps, the first two ending
+    inside a line, and is followed after each."""
+    run = _run_dir(spark, "replica_follow")
+    _log_lines(spark, d, f"{run}/parts")
+    for step in (1, 2, 3):
+        td.one_file(spark, f"{run}/parts", f"{run}/wal.jsonl", step, 3)
+        replica_stream.follow(spark, f"{run}/wal.jsonl", f"{run}/replica")
+    return replica_stream.current_tickets(spark, f"{run}/replica")
+
+
+@register("log_line_numbers", """
+SELECT row_number() OVER (ORDER BY event_id) - 1 AS line, event_id FROM events
+""")
+def q_log_line_numbers(spark, d):
+    """The log's dense line numbers, over many files."""
+    run = _run_dir(spark, "log_line_numbers")
+    _log_lines(spark, d, f"{run}/log")
+    return numbered_lines(spark, f"{run}/log").select(
+        "line", F.get_json_object("value", "$.event").cast("long").alias("event_id"))
+
+
 @register("replica_sync_now", f"""
 SELECT count(*) AS tickets, (SELECT count(*) FROM ({_LOG_SQL}) lg WHERE op IN ('CREATE', 'DELETE')) AS records
 FROM ({_TICKETS_SQL}) t

@@ -8,7 +8,7 @@ from ...functions.exprs import format_iso, parse_iso
 from ...sinks.logs import append_validation_lines
 from ...sources import testdata as td
 from ...sources.jsonlog import bad_records, parse_records, read_log, read_text_or_empty
-from .. import tickets
+from .. import history, tickets
 from .base import register, run_dir
 
 
@@ -110,6 +110,21 @@ def q_ticket_state_mid_month(spark, d):
     return tickets.replay_as_of(log, F.col("_as_of"))
 
 
+@register("ticket_state_at_times", f"""
+SELECT r.request_id, r.ticket_id, r.ts, CASE WHEN t.op = 'CREATE' THEN t.passenger_name END AS passenger_name,
+       CASE WHEN t.op = 'CREATE' THEN t.created_at END AS created_at,
+       CASE WHEN t.op = 'CREATE' THEN t.expires_at END AS expires_at
+FROM (SELECT *, {_POS.format(t="ts", i="999999999999")} AS pos FROM ({_REQ_SQL}) q) r
+ASOF LEFT JOIN (SELECT *, {_POS.format(t="created_at", i="lsn")} AS pos FROM ({_COUNTING_SQL}) c) t
+  ON r.ticket_id = t.ticket_id AND r.pos >= t.pos
+""")
+def q_ticket_state_at_times(spark, d):
+    """L2 at the time of every request, from the stored interval table."""
+    path = run_dir(spark, "ticket_history")
+    history.write_history(_log(spark, d), path)
+    return history.states_at(spark, path, td.ticket_requests(spark, d), "request_id")
+
+
 @register("expiry_sweep", f"""
 SELECT 'DELETE' AS op, ticket_id FROM ({_TICKETS_SQL}) t WHERE expires_at < {_END_SQL}
 """)

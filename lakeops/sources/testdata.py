@@ -156,3 +156,23 @@ def order_messages(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
 def order_id_col():
     return F.concat(F.lit("order-"), F.col("user_id").cast("string"), F.lit("-"),
                     F.col("ts").cast("date").cast("string"))
+
+
+def one_file(spark: SparkSession, folder: str, path: str, step: int, steps: int) -> None:
+    """Join the text files of ``folder``, in order of their names, into the one file
+    ``path``, up to ``step`` of ``steps`` equal shares of their bytes: a log
+    that one writer has appended to so far."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(((s.getPath().getName(), s) for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")),
+                   key=lambda x: x[0])
+    left = sum(int(s.getLen()) for _, s in parts) * step // steps
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(path), True)
+    for _, s in parts:
+        n = min(left, int(s.getLen()))
+        source = fs.open(s.getPath())
+        jvm.org.apache.commons.io.IOUtils.copyLarge(source, out, 0, n)
+        source.close()
+        left -= n
+    out.close()

@@ -28,6 +28,7 @@ from ..operators.joins import MAX_PROBE_BYTES, key_bytes
 from ..plans import tickets
 from ..session import shared_path
 from ..sinks import bucketed, snapshot
+from ..sources import tail
 from ..sources.jsonlog import parse_records, read_log
 
 BUCKETS = 64                # of a new state; a stored one keeps its number
@@ -81,16 +82,21 @@ def _sync_batch(batch: DataFrame, epoch_id: int, base: str) -> None:
     records = (parse_records(batch, schemas.LOG_RECORD, explicit_lsn=True)
                .where(F.length("ticket_id") > 0).persist())
     try:
-        version, buckets, entries = bucketed.current(spark, base, BUCKETS)
-        touched = [r.b for r in records.select(bucketed.bucket_of("ticket_id", buckets).alias("b"))
-                   .distinct().collect()]                           # at most `buckets` rows
-        if touched:
-            prev = bucketed.read(spark, base, STATE_SCHEMA, entries, set(touched))
-            bucketed.write(fold(prev, records), base, "ticket_id", version + 1, buckets, entries, touched)
+        _fold_into(spark, base, records)
     finally:
         records.unpersist()
 
 
+def _fold_into(spark: SparkSession, base: str, records: DataFrame) -> None:
+    """Fold persisted records into the buckets they touch."""
+    version, buckets, entries = bucketed.current(spark, base, BUCKETS)
+    touched = [r.b for r in records.select(bucketed.bucket_of("ticket_id", buckets).alias("b"))
+               .distinct().collect()]                               # at most `buckets` rows
+    if touched:
+        prev = bucketed.read(spark, base, STATE_SCHEMA, entries, set(touched))
+        bucketed.write(fold(prev, records), base, "ticket_id", version + 1, buckets, entries, touched)
+
+
 def start_sync(spark: SparkSession, log_dir: str, base: str, checkpoint: str | None = None,
                trigger: dict | None = None, query_name: str = "replica_sync") -> StreamingQuery:
     """``trigger`` defaults to every 2 seconds; pass ``{"availableNow": True}``
@@ -137,3 +143,32 @@ def sync_if_changed(spark: SparkSession, log_path: str, base: str, last_seen=Non
     if sig == last_seen and last_seen is not None:
         return None, sig
     return sync_now(spark, log_path, base, explicit_lsn=explicit_lsn), sig
+
+
+def follow(spark: SparkSession, log_file: str, base: str, checkpoint: str | None = None) -> int | None:
+    """L8 for one growing log file: read what was appended since the last
+    call, fold it into the snapshot's buckets, move the position on. Returns the number of
+    new lines, None if nothing changed. Call it from any scheduler.
+
+    A file that was replaced, cut back or deleted begins a new generation: the
+    snapshot is rebuilt from what the file now holds, in one version. Should a call die
+    between the snapshot and the position, the next one folds the same lines with the
+    same numbers again, which changes nothing."""
+    ckpt = checkpoint or f"{base.rstrip('/')}/_tail"
+    found = tail.poll(spark, log_file, ckpt)
+    if not found.changed:
+        return None
+    records = tail.records_of(spark, found).where(F.length("ticket_id") > 0).persist()
+    try:
+        if found.fresh:
+            version, buckets, _ = bucketed.current(spark, base, BUCKETS)
+            state = tickets.replay(records.select(*COLS), keep_tombstones=True).select(*COLS)
+            bucketed.write(state, base, "ticket_id", version + 1, buckets, {}, list(range(buckets)))
+        else:
+            _fold_into(spark, base, records)
+    finally:
+        records.unpersist()
+    tail.commit(spark, ckpt, found.after)
+    tail.drop_segments(spark, ckpt, found.after)
+    first = 0 if found.fresh else found.before.lines
+    return found.after.lines - first

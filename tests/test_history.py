@@ -1,0 +1,88 @@
+"""The interval table and point-in-time lookup against a row-by-row model."""
+
+import datetime as dt
+import random
+
+import pytest
+
+from lakeops.plans import history
+
+from .conftest import rows as listed
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def at(minutes):
+    return T0 + dt.timedelta(minutes=minutes)
+
+
+def make(seed, n, tickets, span):
+    rng = random.Random(seed)
+    log = [(i, rng.choice(["CREATE", "CREATE", "DELETE", "VIEW"]), rng.choice(tickets), f"n{i}",
+            at(rng.randrange(span)) if rng.random() < 0.97 else None, at(rng.randrange(span))) for i in range(n)]
+    asked = [(i, rng.choice([*tickets, "nobody"]), at(rng.randrange(-2, span + 2)) if rng.random() < 0.97 else None)
+             for i in range(n)]
+    return log, asked
+
+
+def model(log, asked):
+    out = []
+    for i, ticket, ts in asked:
+        seen = [r for r in log if r[1] in ("CREATE", "DELETE") and r[2] == ticket and ticket and r[4] is not None
+                and ts is not None and r[4] <= ts]
+        last = max(seen, key=lambda r: (r[4], r[0]), default=None)
+        there = last is not None and last[1] == "CREATE"
+        out.append((i, ticket, ts, *((last[3], last[4], last[5]) if there else (None,) * 3)))
+    return sorted(out, key=repr)
+
+
+LOG = ("lsn long, op string, ticket_id string, passenger_name string, created_at timestamp_ntz, "
+       "expires_at timestamp_ntz")
+ASKED = "point_id long, ticket_id string, ts timestamp_ntz"
+
+
+@pytest.mark.parametrize("tickets,span,segments", [
+    (["a", "b", "c", "", None], 60, 3), (["hot"] * 9 + ["b"], 4000, 7), (["hot"], 3, 4)])
+def test_states_equal_the_model(spark, tmp, monkeypatch, tickets, span, segments):
+    monkeypatch.setattr(history, "PIECE", 5)
+    log, asked = make(len(tickets), 300, tickets, span)
+    history.write_history(spark.createDataFrame(log, LOG), tmp, segments=segments)
+    got = history.states_at(spark, tmp, spark.createDataFrame(asked, ASKED), segments=segments)
+    assert listed(got, "point_id", "ticket_id", "ts", *history.STATE) == model(log, asked)
+
+
+def test_intervals_do_not_overlap(spark):
+    log, _ = make(5, 300, ["a", "hot", "hot"], 50)
+    rows = history.intervals(spark.createDataFrame(log, LOG), segments=5).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.ticket_id, []).append((r.valid_from, r.valid_to))
+    for spans in by.values():
+        spans.sort()
+        assert all(a < b for a, b in spans if b is not None)
+        assert all(b is not None and b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_only_named_buckets_are_read(spark, tmp):
+    log = [(i, "CREATE", f"t{i}", "n", at(i), at(i + 60)) for i in range(200)]
+    history.write_history(spark.createDataFrame(log, LOG), tmp, buckets=32)
+    got = history.states_at(spark, tmp, spark.createDataFrame([(1, "t7", at(20))], ASKED))
+    files = {f.split("/bucket=")[1].split("/")[0] for f in history._named(
+        spark, tmp + "/intervals", [r.b for r in spark.sql("select 't7' ticket_id").select(
+            history.bucket_of("ticket_id", 32).alias("b")).collect()]).inputFiles()}
+    assert len(files) == 1 and [r.passenger_name for r in got.collect()] == ["n"]
+
+
+def test_a_hot_ticket_is_split(spark):
+    """All rows are of one ticket: every segment holds a share of them."""
+    log = spark.range(20_000).selectExpr(
+        "id lsn", "'CREATE' op", "'hot' ticket_id", "'n' passenger_name",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) created_at", "cast(null as timestamp_ntz) expires_at")
+    shares = history.intervals(log, segments=8).groupBy("piece.segment").count().collect()
+    assert len(shares) == 8 and max(r["count"] for r in shares) < 6000
+
+
+def test_empty_history(spark, tmp):
+    history.write_history(spark.createDataFrame([], LOG), tmp)
+    got = history.states_at(spark, tmp, spark.createDataFrame([(1, "a", at(0)), (2, None, None)], ASKED))
+    assert [(r.point_id, r.expires_at) for r in got.orderBy("point_id").collect()] == [(1, None), (2, None)]

@@ -2,12 +2,15 @@
 
 A page is cut into blocks at block-level tags. Pass one labels a block by the
 element it stands in (menus, headers, footers, side bars, forms, hidden
-elements, and elements whose class, id or role names such a part are
-boilerplate; a long text dense with stop words overrules a name), its link
+elements, and elements whose class, id or role names an advert, a notice, a
+side bar, reader comments or another such part are boilerplate, however long their text;
+a name that may also mean something else, as share or related, is overruled by long text
+dense with stop words in an element that holds most of the page's text), its link
 density, its length and the share of stop words among its words: good, bad, or
 ambiguous. Pass two gives an ambiguous block the label of its nearest decided
 neighbours in its region: both alike, that label; different, the nearer one
-(equally near: good). Boilerplate elements inside an article are no neighbours.
+(equally near: good). Boilerplate that its name gives away, or
+inside an article, is no neighbour.
 
 A region is the article (or ``main``) a block stands in, and a hint for both
 passes. In it short texts are good from fewer stop words on, long texts without
@@ -20,16 +23,25 @@ Text is kept whole: character references are decoded, white space in a block
 becomes one space, blocks are joined by one newline, nothing else is dropped or
 capped. ``br`` is white space; inline tags are nothing.
 
+Tags are found in one pass forward that never looks at a character twice, so time
+follows the length of a page, also of one made to be slow. A quote opens a value
+after an equals sign only; from the first quote on that is never closed, or hides the last
+``>``, quotes count as other characters for the rest of the page. What follows the
+last ``>`` of a page is text.
+
 Defined cases: a NULL or empty page has the empty text; an unclosed comment or
 script reaches to the end of the page, an unclosed element to the end of the one
 around it, a link also where the next one starts, a head where something starts
-that can't stand in it; ``<`` that opens no tag is text; a NULL id or url is carried along;
-repeated rows are extracted each; an empty table gives no rows."""
+that can't stand in it; ``<`` that opens no tag is text; a number of a character reference
+beyond Unicode is U+FFFD; pages of any length are taken whole; a NULL id or url is carried along;
+repeated rows are extracted each; other columns of the input are not read; an empty
+table gives no rows."""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,35 +70,126 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 RAW_TAGS = frozenset("iframe noembed noframes noscript script style svg math template textarea title xmp".split())
 BOILERPLATE_TAGS = frozenset("aside button dialog footer form head header label legend menu nav option select".split())
 # Class, id and role names of a boilerplate part of a page: whole, or as the
-# first or last part of a block's name.
+# first or last part of a block's name. Names that also stand for other things come second.
 BOILERPLATE_NAMES = frozenset((
-    "ad ads adbox adsense advert advertisement adverts advertising aside banner breadcrumb breadcrumbs comment "
-    "comments complementary consent contentinfo cookie cookies copyright discussion disqus feedback footer form gdpr "
-    "hidden login masthead menu menubar modal nav navbar navigation newsletter notice notification notifications "
-    "outbrain pager pagination popup promo promoted promotion related replies reply search share sharing sidebar "
-    "signup skip social sponsor sponsored subscribe subscription taboola toolbar widget").split())
+    "ad ads adbox adsense advert advertisement advertisements adverts advertising aside banner breadcrumb breadcrumbs "
+    "comment comments complementary consent contentinfo cookie cookies copyright disqus footer gdpr masthead menu "
+    "menubar nav navbar navigation newsletter notice notices notification notifications outbrain pager pagination "
+    "popup promo promoted promotion replies reply respond sidebar signup sponsor sponsored subscribe subscription "
+    "taboola").split())
+AMBIGUOUS_NAMES = frozenset((
+    "discussion feedback form hidden login modal related search share sharing skip social toolbar widget").split())
 HEADER_NAMES = frozenset(("header",))
 # Parts before a last part that make the name one of something else (has-footer).
 MODIFIERS = frozenset("has hide is no non not open show toggle with without".split())
+# Last parts that make it a state or layout of what is around (comments-open).
+STATES = frozenset("active closed disabled enabled layout off on open page visible".split())
 REGION_TAGS = frozenset(("article", "main"))
 HEAD_TAGS = frozenset("base link meta noscript script style template title".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_VALUE = re.compile(r"[>=]")
+_SPACE = re.compile(r"\s*")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_LONG_NUMBER = re.compile(r"&#(?:0*([0-9]*)|[xX]0*([0-9a-fA-F]*));?")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
 _NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
-_END = {t: re.compile(rf"</{t}\s*[^>]*>|\Z", re.I) for t in RAW_TAGS}
 GOOD, BAD, OPEN = 1, 0, None
-NAMED, SURE = 1, 2      # boilerplate by a name only; by its tag, or hidden
+NAMED, SURE, TAGGED = 1, 2, 3       # boilerplate by an ambiguous name; by its name or hidden; by its tag
 
 
 class Block:
-    __slots__ = ("chars", "linked", "boiler", "region", "heading")
-
-    def __init__(self, boiler: int, region: int, heading: bool = False):
-        self.chars, self.linked, self.boiler, self.region, self.heading = [], 0, boiler, region, heading
+    """``named``: the outermost element of an ambiguous name around it."""
+    __slots__ = ("chars", "linked", "boiler", "named", "region", "heading")
+
+    def __init__(self, boiler: int, named: int | None, region: int, heading: bool = False):
+        self.chars, self.linked = [], 0
+        self.boiler, self.named, self.region, self.heading = boiler, named, region, heading
+
+
+def tokens(page: str):
+    """(start, end, closing, name, attributes) of every tag, comment and
+    declaration, in order; the name is None for the latter two. An element whose content
+    is no text (a script) is one token with it. Every search goes forward from where
+    the last one ended, and an answer of "no more" is kept."""
+    low, gt, quotes, at, n = None, -1, True, 0, len(page)
+    while True:
+        i = page.find("<", at)
+        if i < 0 or i + 1 >= n:
+            return
+        if page.startswith("<!--", i):
+            at = page.find("-->", i + 4)
+            at = n if at < 0 else at + 3
+            yield i, at, False, None, ""
+            continue
+        if page.startswith("<![CDATA[", i):
+            at = page.find("]]>", i + 9)
+            at = n if at < 0 else at + 3
+            yield i, at, False, None, ""
+            continue
+        if page[i + 1] in "!?":
+            at = page.find(">", i)
+            at = n if at < 0 else at + 1
+            yield i, at, False, None, ""
+            continue
+        closing = page[i + 1] == "/"
+        if gt < i:
+            gt = page.find(">", i)
+            if gt < 0:
+                return
+        name = _NAME.match(page, i + 1 + closing, gt)
+        if not name:
+            at = i + 1
+            continue
+        end = gt
+        if quotes and not closing:
+            end, where = -1, name.end()
+            while True:
+                stop = _VALUE.search(page, where)
+                if not stop:
+                    break
+                if stop.group() == ">":
+                    end = stop.start()
+                    break
+                first = _SPACE.match(page, stop.end()).end()
+                where = stop.end()
+                if page[first:first + 1] in ("'", '"') and first < n:
+                    where = page.find(page[first], first + 1) + 1
+                    if not where:
+                        break
+            if end < 0:
+                quotes, end = False, gt
+        at = end + 1
+        tag = name.group().lower()
+        if not closing and tag in RAW_TAGS:
+            low = page.translate(_LOWER) if low is None else low
+            at = _raw_end(low, tag, at)
+        yield i, at, closing, tag, page[name.end():end]
+
+
+def _raw_end(low: str, tag: str, at: int) -> int:
+    """The place after the end tag of a raw element, or the end of the page."""
+    while True:
+        at = low.find(f"</{tag}", at)
+        if at < 0:
+            return len(low)
+        at += len(tag) + 2
+        if at >= len(low) or low[at] in " \t\n\f\r/>":
+            end = low.find(">", at)
+            return len(low) if end < 0 else end + 1
+
+
+def unescaped(text: str) -> str:
+    """Character references decoded; numbers too long to be one first."""
+    if "&" not in text:
+        return text
+
+    def number(m):
+        digits = m.group(1) if m.group(1) is not None else m.group(2)
+        return m.group() if len(m.group()) < 20 else (
+            "\ufffd" if len(digits) > 7 else f"&#{'x' if m.group(1) is None else ''}{digits or 0};")
+    return html.unescape(_LONG_NUMBER.sub(number, text) if "&#" in text else text)
 
 
 def attributes_of(text: str) -> dict[str, str]:
@@ -101,7 +204,7 @@ def is_boilerplate_name(name: str, names: frozenset[str], block: bool) -> bool:
     if name.lower() in names:
         return True
     parts = [p.lower() for p in _PARTS.findall(name)]
-    if not block or len(parts) < 2:
+    if not block or len(parts) < 2 or parts[-1] in STATES:
         return False
     last = parts[-1] in names and parts[-1] != "hidden" and parts[-2] not in MODIFIERS
     return parts[0] in names or last
@@ -117,22 +220,24 @@ def names_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) ->
         return SURE
     if tag in REGION_TAGS:
         return 0
-    names = BOILERPLATE_NAMES if in_article else BOILERPLATE_NAMES | HEADER_NAMES
+    sure = BOILERPLATE_NAMES if in_article else BOILERPLATE_NAMES | HEADER_NAMES
     block = tag in BLOCK_TAGS and tag != "p"
-    return NAMED * any(is_boilerplate_name(n, names, block)
-                       for a in ("class", "id", "role") for n in attributes.get(a, "").split())
+    own = [n for a in ("class", "id", "role") for n in attributes.get(a, "").split()]
+    return max((SURE if is_boilerplate_name(n, sure, block) else NAMED * is_boilerplate_name(n, AMBIGUOUS_NAMES, block)
+                for n in own), default=0)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks with text, in order. The stack holds the open
-    elements that matter: (tag, boilerplate so far, region so far). ``link`` is
-    the open link: the depth of the stack and the p or li around it."""
-    stack, known, out, regions, link, around, at = [], set(), [], 0, None, None, 0
-    block = Block(0, 0)
+    elements that matter: (tag, boilerplate so far, outermost ambiguously named element,
+    region so far), ``open_`` how many of each tag. ``link`` is the open link: the depth
+    of the stack and the p or li around it."""
+    stack, open_, out, regions, elements, link, around, at = [], {}, [], 0, 0, None, None, 0
+    block = Block(0, None, 0)
 
     def add(text):
         if text and (block.boiler or not (stack and stack[-1][1])):     # inline boilerplate is left out
-            text = html.unescape(text) if "&" in text else text
+            text = unescaped(text)
             block.chars.append(text)
             if link:
                 block.linked += len(text.strip())
@@ -141,27 +246,26 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal block
         if block.chars and any(c and not c.isspace() for c in block.chars):
             out.append(block)
-        boiler, region = stack[-1][1:] if stack else (0, 0)
-        block = Block(boiler, region, bool(stack) and stack[-1][0] in HEADINGS)
+        boiler, named, region = stack[-1][1:] if stack else (0, None, 0)
+        block = Block(boiler, named, region, bool(stack) and stack[-1][0] in HEADINGS)
+
+    def pop():
+        tag = stack.pop()[0]
+        open_[tag] -= 1
+        return tag
 
     def close(tag):
-        if tag not in known:
-            return
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                break
-
-    token = _TOKEN.search(page, at)
-    while token:
-        if stack and stack[-1][0] == "head" and not page[at:token.start()].isspace() and at < token.start():
+        if open_.get(tag):
+            while pop() != tag:
+                pass
+
+    for start, end, closing, tag, attributes in tokens(page):
+        if stack and stack[-1][0] == "head" and at < start and not page[at:start].isspace():
             close("head")
             cut()
-        add(page[at:token.start()])
-        at = token.end()
-        closing, tag, attributes = token.group(1), token.group(2), token.group(3)
+        add(page[at:start])
+        at = end
         if tag:
-            tag = tag.lower()
             block_tag = tag in BLOCK_TAGS
             if not closing and tag not in HEAD_TAGS and stack and stack[-1][0] == "head":
                 close("head")
@@ -172,14 +276,12 @@ def blocks_of(page: str) -> list[Block]:
                     link = None
                 if block_tag:
                     around = None
-            elif tag in RAW_TAGS:
-                at = _END[tag].search(page, at).end()
             elif tag == "br":
                 block.chars.append(" ")
-            elif tag not in VOID_TAGS:
+            elif tag not in VOID_TAGS and tag not in RAW_TAGS:
                 if block_tag and stack and stack[-1][0] in ("p", "li", "option", "a"):
-                    stack.pop()
-                boiler, region = stack[-1][1:] if stack else (0, 0)
+                    pop()
+                boiler, outer, region = stack[-1][1:] if stack else (0, None, 0)
                 inside = region > 0
                 if link and (tag == "a" or len(stack) < link[0]
                              or block_tag and link[1] == "p" or tag == "li" == link[1]):
@@ -187,7 +289,7 @@ def blocks_of(page: str) -> list[Block]:
                 if block_tag:
                     around = tag if tag in ("p", "li") else None
                 named = attributes_of(attributes) if attributes else {}
-                mine = (SURE if tag in BOILERPLATE_TAGS and not (tag == "header" and inside)
+                mine = (TAGGED if tag in BOILERPLATE_TAGS and not (tag == "header" and inside)
                         else names_boilerplate(tag, named, inside))
                 if tag in REGION_TAGS and not boiler and not mine and not inside:
                     regions += 1
@@ -195,11 +297,11 @@ def blocks_of(page: str) -> list[Block]:
                 if tag == "a" and "href" in named:
                     link = (len(stack), around)
                 if mine or block_tag and tag not in ("p", "li"):
-                    stack.append((tag, max(boiler, mine), region))
-                    known.add(tag)
+                    elements += 1
+                    stack.append((tag, max(boiler, mine), elements if mine == NAMED and outer is None else outer, region))
+                    open_[tag] = open_.get(tag, 0) + 1
             if block_tag:
                 cut()
-        token = _TOKEN.search(page, at)
     if stack and stack[-1][0] == "head":
         close("head")
         cut()
@@ -208,9 +310,10 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def label(block: Block, text: str, outside: bool = False) -> int | None:
-    """Pass one. ``outside``: the page has a region, the block stands in none."""
-    if block.boiler == SURE:
+def label(block: Block, text: str, outside: bool = False, most: bool = False) -> int | None:
+    """Pass one. ``outside``: the page has a region, the block stands in none.
+    ``most``: the ambiguously named element around it holds most of the text."""
+    if block.boiler >= SURE or block.boiler and not most:
         return BAD
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?()[]«»\"'#*$%&|-") in STOP_WORDS for w in words) / max(1, len(words))
@@ -258,9 +361,14 @@ def main_text(page: str | None) -> str:
     found = [(b, " ".join("".join(b.chars).split())) for b in blocks_of(page)]
     found = [(b, t) for b, t in found if t]
     hinted = any(b.region and not b.boiler for b, _ in found)
-    # boilerplate inside an article says nothing about the text around it
-    labels = resolve([label(b, t, hinted and not b.region) for b, t in found],
-                     [-1 if b.boiler and b.region else b.region for b, _ in found],
+    held = Counter()        # text by ambiguously named element, and all of it
+    for b, t in found:
+        if b.boiler < SURE:
+            held[b.named] += len(t)
+    every = held.total()
+    # boilerplate that something names, or inside an article, says nothing about the text around it
+    labels = resolve([label(b, t, hinted and not b.region, 2 * held[b.named] > every) for b, t in found],
+                     [-1 if b.boiler and (b.region or b.boiler < TAGGED) else b.region for b, _ in found],
                      [hinted or b.linked > MAX_LINKS * len(t) for b, t in found])
     return "\n".join(t for (_, t), good in zip(found, labels) if good)
 

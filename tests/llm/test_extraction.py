@@ -95,3 +95,172 @@ def test_job(spark):
         assert got[(k, rows[k][1])] == (text, len(text))
     assert got[(None, "n")][0] == got[(3, "again")][0] == CASES[4][1]
     assert x.extracted(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- boilerplate that is long prose
+
+PROSE = " ".join([STORY] * 4)
+
+
+@pytest.mark.parametrize("junk", [
+    "<div class='ad'>{}</div>", "<div class=advertisement><p>{}</p></div>", "<div class=cookie-notice>{}</div>",
+    "<div class='box left-sidebar'><p>{}</p></div>", "<div id=comments><p>{}</p><p>{}</p></div>",
+    "<section class=comments><div class=c><p>{}</p></div></section>", "<div class=commentList><article><p>{}</p></article></div>",
+    "<div id=site-notice>{}</div>", "<ul class=main-menu><li>{}</ul>", "<div role=navigation>{}</div>",
+    "<div class=related>{}</div>", "<div class=newsletter-signup>{}</div>", "<div class=popup>{}</div>",
+])
+def test_long_boilerplate_goes(junk):
+    body = f"<article><h1>Title</h1><p>{PROSE}</p><p>{PROSE} And on.</p></article>"
+    want = f"Title\n{PROSE}\n{PROSE} And on."
+    filled = junk.replace("{}", PROSE)
+    assert x.main_text(f"<body>{filled}{body}</body>") == want
+    assert x.main_text(f"<body>{body}{filled}</body>") == want
+    assert x.main_text(body.replace("</h1>", f"</h1>{filled}")) == want
+    assert x.main_text(body.replace("article>", "div>").replace("</h1>", f"</h1>{filled}")) == want
+
+
+@pytest.mark.parametrize("page", [
+    "<body class=no-sidebar><article>{}</article>", "<body><article class=comments-open>{}</article>",
+    "<body><div class='page sidebar-layout'><div>{}</div></div>", "<body><div class=menu-open>{}</div>",
+    "<body><div class=share>{}</div>", "<body><div id=search-results><p>{}</p></div>",
+])
+def test_names_of_something_else_stay(page):
+    assert x.main_text(page.replace("{}", PROSE)) == PROSE
+
+
+# ---------------------------------------------------------------- slow pages
+
+@pytest.mark.parametrize("piece", [
+    "<a ", '<a x="', "<a x='\">", "</script ", "<script", "<!--", "<![CDATA[", "<!x ", "<a =", "<a x=\">\" ", "< ", "</p ", "&#",
+    "<div>", "<section></div>", "<ul><li>", "<a href=x>", "<p class='a b'>", "&#9", "a" * 60, "\n ",
+])
+def test_time_follows_length(piece):
+    import time
+    for lead in ("", f"<section><p>{STORY}</p></section>", "<script>", '<a x="'):
+        page = lead + piece * (1_000_000 // len(piece))
+        began = time.perf_counter()
+        x.main_text(page)
+        x.main_text(page + ">")
+        assert time.perf_counter() - began < 4       # two pages of 1 MB
+
+
+def test_nested_under_a_closed_element():
+    import time
+    began = time.perf_counter()
+    x.main_text("<section></section>" + "<div>" * 100_000 + "</section>" * 60_000)
+    assert time.perf_counter() - began < 2
+
+
+def test_numbers_beyond_unicode():
+    assert x.main_text("<p>a&#" + "9" * 6000 + ";b&#" + "0" * 6000 + "65;&#x" + "f" * 5000 + ";&#x" + "0" * 50 + "41;</p>") \
+        == "a�bA�A"
+
+
+# ---------------------------------------------------------------- against a tree
+
+class Tree:
+    """A slow reference for well-formed pages: the standard parser's events
+    as a tree, and by the contract's words the article without what is no part
+    of it."""
+
+    def __init__(self, page):
+        from html.parser import HTMLParser
+        self.root = ["root", {}, []]
+        path = [self.root]
+        outer = self
+
+        class Events(HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                if tag in ("p", "div", "section", "h2", "article", "ul") and path[-1][0] == "p":
+                    path.pop()
+                if tag == "br":
+                    path[-1][2].append(" ")
+                elif tag not in x.VOID_TAGS:
+                    node = [tag, {k: v or "" for k, v in attrs}, []]
+                    path[-1][2].append(node)
+                    path.append(node)
+
+            def handle_endtag(self, tag):
+                if tag in [n[0] for n in path]:
+                    while path.pop()[0] != tag:
+                        pass
+
+            def handle_data(self, data):
+                path[-1][2].append(data)
+
+        e = Events(convert_charrefs=True)
+        e.feed(page)
+        e.close()
+        outer.lines, outer.line = [], []
+
+    JUNK = {"nav", "footer", "aside", "form", "script", "style", "head", "title", "header"}
+    NAMES = {"ad", "comments", "cookie-notice", "left-sidebar", "sidebar", "menu"}
+
+    def text(self):
+        def end():
+            t = " ".join("".join(self.line).split())
+            self.line.clear()
+            if t:
+                self.lines.append(t)
+
+        def walk(node, inside):
+            tag, attrs, children = node
+            if tag in self.JUNK or {*attrs.get("class", "").split(), attrs.get("id")} & self.NAMES:
+                return
+            inside = inside or tag == "article"
+            block = tag in x.BLOCK_TAGS
+            if block:
+                end()
+            for c in children:
+                if isinstance(c, str):
+                    if inside:
+                        self.line.append(c)
+                else:
+                    if c[0] in x.BLOCK_TAGS:
+                        end()
+                    walk(c, inside)
+            if block:
+                end()
+
+        import sys
+        limit = sys.getrecursionlimit()
+        sys.setrecursionlimit(100_000)
+        try:
+            walk(self.root, False)
+        finally:
+            sys.setrecursionlimit(limit)
+        end()
+        return "\n".join(self.lines)
+
+
+def supplied_pages():
+    import pyarrow.parquet as pq
+    return pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column("html").to_pylist()
+
+
+def test_supplied_pages_equal_the_tree():
+    for page in supplied_pages():
+        assert x.main_text(page) == Tree(page or "").text()
+
+
+def test_mutated_pages_equal_the_tree():
+    import random
+    import re
+    rng = random.Random(5)
+    pages = [p for p in supplied_pages() if p]
+    junk = ["<div class='ad'>{}</div>", "<div class=\"x cookie-notice\">{}</div>", "<aside><p>{}</p></aside>",
+            "<section id=comments><p>{}</p><p>{}</p></section>", "<div class=left-sidebar>{}</div>",
+            "<form><p>{}</p></form>", "<!-- <article>{}</article> -->", "<script>x='<p>{}</p>'</script>"]
+    for _ in range(200):
+        page = rng.choice(pages)
+        for _ in range(rng.randrange(1, 6)):
+            at = rng.choice([m.end() for m in re.finditer(r"</p>|<article>|</nav>|</article>", page)
+                             if m.start() >= page.index("</nav>")])
+            kind = rng.randrange(5)
+            if kind < 3:
+                page = page[:at] + rng.choice(junk).replace("{}", PROSE) + page[at:]
+            elif kind == 3 and page.index("<h1>") < at < page.rindex("</article>"):
+                page = page[:at] + rng.choice(["\n\t ", "<p title='a > b'>" + PROSE + "</p>", f"<div><p>{PROSE}</p></div>"]) + page[at:]
+            else:
+                page = page.replace("<p>", rng.choice(["<P>", "<p class=lead>", "<p\n id='p1'>"]), rng.randrange(9))
+        assert x.main_text(page) == Tree(page).text()

@@ -1,17 +1,24 @@
 """Best-fit packing of token pieces into sequences of fixed capacity.
 
 The pieces' length histogram (at most ``capacity`` numbers, whatever the
-corpus) is packed by a knapsack greedy: a configuration is a multiset of lengths
-that fits one sequence. Each step prices a configuration by a knapsack dynamic
-program over ``PRICED`` dealt lengths, valued by size and by weights that follow
-coverage, and uses it until its scarcest length is gone. This does not approach
-the optimum of the configuration linear program; sequences can be more than that.
-Amounts are rounded down, configurations that leave room to nothing; what is left
-over is packed best-fit decreasing.
+corpus) is packed by the configuration linear program: a configuration is a multiset of
+lengths that fits one sequence, and the program covers every length's count by as
+little configuration as possible. It is solved by multiplicative weights. A length's dual
+price is its share of the capacity times exp(-RATE * how far it is covered beyond the
+average), over all lengths still open. A knapsack dynamic program finds, in one run for
+all capacities, the dearest configuration and the dearest one that holds a given length; each
+step adds those of the least covered lengths that are within SLACK of the dearest, DELTA
+of a length's count at a time. Prices that no configuration exceeds prove a lower bound.
+
+The amounts are rounded down, to the nearest, and up as far as pieces last, the rest
+is packed best-fit decreasing; where that stays above the bound, the program is solved
+again for what rounding down and one rounding up leave, over and over (at most PRICINGS
+knapsacks). The plan with the fewest sequences is taken, plain best-fit decreasing
+among them, so the program never does worse than that.
 
 Every piece then finds its place by its rank among the pieces of its length:
 ranks come from a distributed numbering, the plan is a table whose size is
-bounded by the capacity and ``STEPS``.
+bounded by the capacity, ``STEPS`` and ``PRICINGS``.
 
 Ids are those of the byte-level BPE file: its vocabulary is read as byte ranks
 and encoded by tiktoken, which gives the ids that the tokenizers library gives
@@ -28,6 +35,7 @@ import json
 import math
 import re
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,12 +46,12 @@ from .base import give_back, numbered, written
 
 CAPACITY = 2048
 CLOSING_ID = 0
-STEPS = 4096            # most steps of the multiplicative weights
-PRICED = 96             # lengths that one step prices
-SHARE = 1.0             # part of what its scarcest length lacks that a step's configuration is used for
-RATE = 0.3              # how fast a length's weight follows its coverage
-LONG = 0.3              # how much more
-SLACK = 0               # room that a configuration may leave to be rounded down, not dropped
+STEPS = 1500            # most runs of the knapsack in one solution
+BATCH = 64              # lengths whose configuration one run prices
+RATE = 5.0              # how fast a price falls with coverage
+DELTA = 0.05            # of a length's count, covered at a time
+SLACK = 0.05            # that a configuration may cost less than the dearest
+PRICINGS = 1500         # most runs of the knapsack to round by solving again
 BUCKETS = 256           # parts of one length's pieces that are numbered apart
 PART_CHARS = 1 << 16
 _CUT = re.compile(r"(?<=[^\W\d_])(?= [^\W\d_])")
@@ -117,36 +125,42 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
 
 # ---------------------------------------------------------------- the program
 
-def split_counts(lengths, most, capacity: int) -> list[tuple[int, int, int]]:
-    """Items (index, copies, size) whose subsets give every number of copies
-    from 0 to ``most`` of each length: 1, 2, 4, ... and a rest."""
-    out = []
-    for i, (length, m) in enumerate(zip(lengths, most)):
-        m, k = min(int(m), capacity // length), 1
-        while m > 0:
-            take = min(k, m)
-            out.append((i, take, take * length))
-            m, k = m - take, 2 * k
-    return out
-
-
-def priced(lengths, values, most, capacity: int) -> dict[int, int]:
-    """The configuration {index: copies} of largest value: a knapsack dynamic
-    program over the split counts."""
-    best, items = np.zeros(capacity + 1), split_counts(lengths, most, capacity)
-    taken = np.zeros((len(items), capacity + 1), dtype=bool)
-    for k, (i, copies, size) in enumerate(items):
-        new = best[:capacity + 1 - size] + copies * values[i]
-        better = new > best[size:] + 1e-15
-        taken[k, size:] = better
-        best[size:] = np.where(better, new, best[size:])
-    room, out = capacity, {}
-    for k in range(len(items) - 1, -1, -1):
-        if taken[k, room]:
-            i, copies, size = items[k]
-            out[i] = out.get(i, 0) + copies
-            room -= size
-    return out
+def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(best, last): the largest price of a multiset of the sorted ``lengths``
+    within each capacity, and the length put in last (-1: room stays)."""
+    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    for c in range(1, capacity + 1):
+        best[c], k = best[c - 1], fitting[c]
+        if k:
+            found = best[c - lengths[:k]] + prices[:k]
+            j = int(found.argmax())
+            if found[j] > best[c] * (1 + 1e-12):
+                best[c], last[c] = found[j], j
+    return best, last
+
+
+def dearest(lengths: np.ndarray, last: np.ndarray, counts, capacity: int, first: int, order: list[int]) -> dict[int, int]:
+    """The dearest configuration {index: copies} that holds ``first``, read
+    from the knapsack. Copies beyond a length's count make way for the lengths
+    first in ``order`` that fit."""
+    config, room, c = {first: 1}, capacity - int(lengths[first]), capacity - int(lengths[first])
+    while c > 0:
+        j = int(last[c])
+        if j < 0:
+            c -= 1
+            continue
+        if config.get(j, 0) < counts[j]:
+            config[j] = config.get(j, 0) + 1
+            room -= int(lengths[j])
+        c -= int(lengths[j])
+    if room >= lengths[0]:
+        for j in order:
+            n = min(int(counts[j]) - config.get(j, 0), room // int(lengths[j]))
+            if n > 0:
+                config[j] = config.get(j, 0) + n
+                room -= n * int(lengths[j])
+    return config
 
 
 def best_fit(lengths, left, capacity: int) -> dict[int, int]:
@@ -161,62 +175,118 @@ def best_fit(lengths, left, capacity: int) -> dict[int, int]:
     return out
 
 
-def solve(lengths: list[int], counts: list[int], capacity: int) -> list[tuple[dict, float]]:
-    """Configurations with amounts that together cover about every count, by a
-    greedy with weights, not the covering program's optimum. Each step prices among
-    ``PRICED`` lengths, dealt out in a seeded order that visits all lengths
-    equally often (partial pricing), and uses the configuration for ``SHARE`` of
-    what its scarcest length still lacks."""
+@dataclass
+class Program:
+    """A solution of the covering program: amounts of configurations (as sorted
+    (index, copies) pairs), their sum, the proven lower bound, and the runs of the knapsack."""
+    amounts: dict[tuple, float]
+    value: float
+    bound: float
+    runs: int
+
+
+def solve(lengths: list[int], counts: list[int], capacity: int, most: int = STEPS) -> Program:
+    """The configuration program by multiplicative weights."""
     length, count = np.array(lengths), np.array(counts, dtype=float)
-    volume = float((length * count).sum()) / capacity
-    rng, n = np.random.default_rng(11), len(length)
-    weight, left, done, used, deal = np.ones(n), count.copy(), 0.0, {}, np.zeros(0, dtype=int)
-    rate, part = RATE, length / capacity
-    worth = part + LONG * part * part       # long pieces are worth more than their size: they fit least
-    for _ in range(STEPS):
-        open_ = np.nonzero(left >= 1)[0]
-        if not len(open_) or done >= volume:
+    part, covered, amounts = length / capacity, np.zeros(len(length)), {}
+    bound, runs, every = 0.0, 0, np.arange(len(length))
+    while runs < most and (covered < 1).any():
+        runs += 1
+        free = covered < 1
+        prices = np.where(free, part * np.exp(-RATE * (covered - covered[free].mean())), 0)
+        best, last = knapsack(length, prices, capacity)
+        bound = max(bound, float(count @ prices) / best[capacity])
+        order = np.argsort(-prices / part, kind="stable").tolist()
+        added = False
+        for i in every[np.argsort(covered, kind="stable")][:BATCH].tolist():
+            if covered[i] >= 1:
+                break
+            config = dearest(length, last, np.where(covered < 1, count, 0), capacity, i, order)
+            own, copies = list(config), np.array(list(config.values()), dtype=float)
+            if added and prices[own] @ copies < (1 - SLACK) * best[capacity]:
+                continue
+            room = (count[own] / copies)
+            amount = min(DELTA * room.min(), ((1 - covered[own]) * room).min())
+            covered[own] += amount * copies / count[own]
+            covered[covered > 1 - 1e-9] = 1
+            key = tuple(sorted(config.items()))
+            amounts[key] = amounts.get(key, 0.0) + amount
+            added = True
+    scale = 1 / max(covered.min(initial=1), 1e-12)
+    amounts = {k: a * scale for k, a in amounts.items()}
+    return Program(amounts, sum(amounts.values()), bound, runs)
+
+
+class _Packing:
+    """A plan in the making: configurations used, and the counts left."""
+
+    def __init__(self, lengths: list[int], counts: list[int], capacity: int):
+        self.lengths, self.left, self.capacity, self.used = lengths, list(counts), capacity, []
+
+    def use(self, config: dict[int, int], most: int) -> bool:
+        m = min([most, *(self.left[i] // n for i, n in config.items())])
+        if m <= 0:
+            return False
+        for i, n in config.items():
+            self.left[i] -= m * n
+        self.used.append((config, m))
+        return True
+
+    def finish(self) -> list[tuple[dict[int, int], int]]:
+        """What is left by best-fit decreasing; lengths instead of indexes."""
+        while any(self.left):
+            self.use(best_fit(self.lengths, self.left, self.capacity), max(self.left))
+        return [({self.lengths[i]: n for i, n in c.items()}, m) for c, m in self.used]
+
+
+def _sequences(configs) -> int:
+    return sum(m for _, m in configs)
+
+
+def _room(lengths, config, capacity: int) -> int:
+    return capacity - sum(lengths[i] * n for i, n in config)
+
+
+def _dive(lengths: list[int], counts: list[int], capacity: int, program: Program) -> list:
+    """Round down, the largest amount up, and solve again for the rest."""
+    p, own, runs = _Packing(lengths, counts, capacity), list(range(len(lengths))), 0
+    while program.amounts:
+        took = False
+        rows = sorted(program.amounts.items(), key=lambda r: (-r[1], _room([lengths[i] for i in own], r[0], capacity), r[0]))
+        for k, (config, amount) in enumerate(rows):
+            took |= p.use({own[i]: n for i, n in config}, max(math.floor(amount + 1e-9), k == 0))
+        own = [i for i, n in enumerate(p.left) if n]
+        if not took or not own or runs >= PRICINGS:
             break
-        if len(deal) < min(PRICED, len(open_)):
-            deal = np.concatenate([deal, rng.permutation(n)])
-        own, deal = deal[:PRICED], deal[PRICED:]
-        own = np.sort(own[left[own] >= 1])
-        if not len(own):
-            continue
-        config = priced(length[own].tolist(), (weight * worth)[own], left[own], capacity)
-        config = {int(own[i]): k for i, k in config.items()}
-        amount = max(1.0, SHARE * min(left[i] / k for i, k in config.items()))
-        key = tuple(sorted(config.items()))
-        used[key] = used.get(key, 0) + amount
-        for i, k in config.items():
-            left[i] -= amount * k
-        done += amount
-        weight = np.exp(np.clip(rate * (done / volume - 1 + left / count), -30, 30))
-    return [(dict(k), a) for k, a in used.items()]
+        program = solve([lengths[i] for i in own], [p.left[i] for i in own], capacity, min(STEPS, PRICINGS - runs))
+        runs += program.runs
+    return p.finish()
+
+
+def planned(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[dict[int, int], int]], Program]:
+    """The plan, and the program's solution beside it."""
+    lengths = sorted(n for n in histogram if histogram[n])
+    counts = [histogram[n] for n in lengths]
+    if not lengths:
+        return [], Program({}, 0.0, 0.0, 0)
+    program = solve(lengths, counts, capacity)
+    plans = [_Packing(lengths, counts, capacity).finish()]
+    for up in (1e-9, 0.5, 0.999):
+        p = _Packing(lengths, counts, capacity)
+        for config, amount in sorted(program.amounts.items(), key=lambda r: (-r[1], r[0])):
+            # rounded down to nothing where room is left: best-fit fills it better
+            if up > 0.1 or not _room(lengths, config, capacity):
+                p.use(dict(config), math.floor(amount + up))
+        plans.append(p.finish())
+    if min(map(_sequences, plans)) > math.ceil(program.bound - 1e-6):
+        plans.append(_dive(lengths, counts, capacity, program))
+    return min(plans, key=_sequences), program
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
     """Configurations {length: copies} with whole multiplicities whose pieces
     are exactly the histogram's."""
-    lengths = sorted(histogram)
-    left = [histogram[n] for n in lengths]
-    out = []
-
-    def use(config, most):
-        m = min([most, *(left[i] // n for i, n in config.items())])
-        if m > 0:
-            for i, n in config.items():
-                left[i] -= m * n
-            out.append(({lengths[i]: n for i, n in config.items()}, m))
-
-    if lengths:
-        for config, amount in solve(lengths, left, capacity):
-            # rounded down to nothing where room is left: the residue fills it better
-            if capacity - sum(lengths[i] * n for i, n in config.items()) <= SLACK:
-                use(config, math.floor(amount + 1e-9))
-    while any(left):
-        use(best_fit(lengths, left, capacity), max(left))
-    return out
+    return planned(histogram, capacity)[0]
 
 
 def places(configs: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:

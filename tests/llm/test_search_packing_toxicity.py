@@ -134,16 +134,77 @@ def test_program_beats_largest_first_where_that_is_poor():
     assert packing.plan({}) == [] and packing.plan({2048: 7}) == [({2048: 1}, 7)]
 
 
-def test_priced_is_the_best_configuration():
+def test_knapsack_finds_the_dearest_configurations():
     rng = np.random.default_rng(5)
     for _ in range(20):
-        lengths = sorted(rng.choice(np.arange(2, 13), 4, replace=False).tolist())
-        values, most = rng.random(4), rng.integers(1, 4, 4)
-        best = max(sum(v * k for v, k in zip(values, n)) for n in np.ndindex(*(most + 1))
-                   if sum(a * k for a, k in zip(lengths, n)) <= 20)
-        got = packing.priced(lengths, values, most, 20)
-        assert sum(values[i] * k for i, k in got.items()) == pytest.approx(best)
-        assert all(k <= most[i] for i, k in got.items())
+        lengths = np.sort(rng.choice(np.arange(2, 13), 4, replace=False))
+        prices = rng.random(4)
+        best, last = packing.knapsack(lengths, prices, 20)
+        every = [n for n in np.ndindex(11, 11, 11, 11) if np.dot(n, lengths) <= 20]
+        assert best[20] == pytest.approx(max(np.dot(n, prices) for n in every))
+        for i in range(4):
+            got = packing.dearest(lengths, last, [99] * 4, 20, i, [0, 1, 2, 3])
+            assert sum(prices[j] * n for j, n in got.items()) >= max(np.dot(n, prices) for n in every if n[i]) - 1e-9
+            few = packing.dearest(lengths, last, [1] * 4, 20, i, [0, 1, 2, 3])
+            assert few[i] == 1 and max(few.values()) == 1 and sum(lengths[j] for j in few) <= 20
+
+
+def fewest(histogram, capacity):
+    """The exact optimum, by all ways to fill the sequence of the longest
+    piece left."""
+    sizes = sorted(histogram)
+    known = {}
+
+    def go(state):
+        if not any(state):
+            return 0
+        if state not in known:
+            longest = max(k for k in range(len(sizes)) if state[k])
+
+            def fill(k, room, left):
+                if k < 0:
+                    return 1 + go(tuple(left))
+                return min(fill(k - 1, room - n * sizes[k], [*left[:k], left[k] - n, *left[k + 1:]])
+                           for n in range(min(left[k], room // sizes[k]) + 1))
+            first = [*state[:longest], state[longest] - 1, *state[longest + 1:]]
+            known[state] = fill(longest, capacity - sizes[longest], first)
+        return known[state]
+    return go(tuple(histogram[n] for n in sizes))
+
+
+def test_small_histograms_are_packed_best():
+    rng, poor = np.random.default_rng(3), 0
+    for _ in range(120):
+        capacity = int(rng.integers(20, 60))
+        sizes = rng.choice(np.arange(capacity // 6 + 1, capacity * 3 // 5), 5, replace=False)
+        histogram = {int(n): int(rng.integers(1, 4)) for n in sizes}
+        if sum(histogram.values()) <= 12:
+            configs, program = packing.planned(histogram, capacity)
+            best = fewest(histogram, capacity)
+            assert sum(m for _, m in configs) == best and program.bound <= best + 1e-6
+            poor += largest_first(histogram, capacity) > best
+    assert poor
+
+
+def test_never_more_than_best_fit_and_often_less():
+    rng, less = np.random.default_rng(4), 0
+    for k in range(200):
+        capacity, wide = (200, int(rng.integers(2, 25))) if k % 40 else (2048, 12)
+        sizes = rng.choice(np.arange(capacity // 8, capacity * 3 // 5), wide, replace=False)
+        histogram = {int(n): int(rng.integers(1, 150)) for n in sizes}
+        configs, program = packing.planned(histogram, capacity)
+        used, plain = sum(m for _, m in configs), largest_first(histogram, capacity)
+        assert program.bound - 1e-6 <= used <= plain
+        less += used < plain
+    assert less > 60
+
+
+def test_supplied_documents_reach_the_volume(spark, library):
+    """The number of sequences of sf0.01 is that of its volume: no packing
+    has fewer."""
+    rows_ = packing.packed_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), tokenizer_path())
+    n, volume = rows_.selectExpr("count(distinct sequence_id)", "sum(length)").first()
+    assert n == -(-volume // packing.CAPACITY)
 
 
 def test_packed_documents(spark, library):

@@ -11,9 +11,9 @@ step adds those of the least covered lengths that are within SLACK of the deares
 of a length's count at a time. Prices that no configuration exceeds prove a lower bound.
 
 The amounts are rounded down, to the nearest, and up as far as pieces last, the rest
-is packed best-fit decreasing; where that stays above the bound, the program is solved
-again for what rounding down and one rounding up leave, over and over (at most PRICINGS
-knapsacks). The plan with the fewest sequences is taken, plain best-fit decreasing
+is packed best-fit decreasing; where that stays more than GAP above the bound, the program
+is solved again for what rounding down and one rounding up leave, over and over (at most
+PRICINGS knapsacks). The plan with the fewest sequences is taken, plain best-fit decreasing
 among them, so the program never does worse than that.
 
 Every piece then finds its place by its rank among the pieces of its length:
@@ -52,6 +52,7 @@ RATE = 5.0              # how fast a price falls with coverage
 DELTA = 0.05            # of a length's count, covered at a time
 SLACK = 0.05            # that a configuration may cost less than the dearest
 PRICINGS = 1500         # most runs of the knapsack to round by solving again
+GAP = 0.0005            # above the proven bound from which that is tried
 BUCKETS = 256           # parts of one length's pieces that are numbered apart
 PART_CHARS = 1 << 16
 _CUT = re.compile(r"(?<=[^\W\d_])(?= [^\W\d_])")
@@ -140,7 +141,8 @@ def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np
     return best, last
 
 
-def dearest(lengths: np.ndarray, last: np.ndarray, counts, capacity: int, first: int, order: list[int]) -> dict[int, int]:
+def dearest(lengths: np.ndarray, last: np.ndarray, counts, capacity: int, first: int,
+            order: np.ndarray) -> dict[int, int]:
     """The dearest configuration {index: copies} that holds ``first``, read
     from the knapsack. Copies beyond a length's count make way for the lengths
     first in ``order`` that fit."""
@@ -155,7 +157,7 @@ def dearest(lengths: np.ndarray, last: np.ndarray, counts, capacity: int, first:
             room -= int(lengths[j])
         c -= int(lengths[j])
     if room >= lengths[0]:
-        for j in order:
+        for j in order[order < np.searchsorted(lengths, room, side="right")].tolist():
             n = min(int(counts[j]) - config.get(j, 0), room // int(lengths[j]))
             if n > 0:
                 config[j] = config.get(j, 0) + n
@@ -196,7 +198,7 @@ def solve(lengths: list[int], counts: list[int], capacity: int, most: int = STEP
         prices = np.where(free, part * np.exp(-RATE * (covered - covered[free].mean())), 0)
         best, last = knapsack(length, prices, capacity)
         bound = max(bound, float(count @ prices) / best[capacity])
-        order = np.argsort(-prices / part, kind="stable").tolist()
+        order = np.argsort(-prices / part, kind="stable")
         added = False
         for i in every[np.argsort(covered, kind="stable")][:BATCH].tolist():
             if covered[i] >= 1:
@@ -278,7 +280,7 @@ def planned(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[t
             if up > 0.1 or not _room(lengths, config, capacity):
                 p.use(dict(config), math.floor(amount + up))
         plans.append(p.finish())
-    if min(map(_sequences, plans)) > math.ceil(program.bound - 1e-6):
+    if min(map(_sequences, plans)) > math.ceil(program.bound * (1 + GAP) - 1e-6):
         plans.append(_dive(lengths, counts, capacity, program))
     return min(plans, key=_sequences), program
 

@@ -237,10 +237,9 @@ def judged(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged. The statistics are computed
-    again beside the text rather than joined to it: no text is shuffled."""
-    rows = written(with_statistics(docs.select("text", *GROUP)).select(*GROUP, *X, "base_failed"),
-                   "quality-statistics").where("not base_failed").drop("base_failed")
+    """The rows of ``docs`` that pass, unchanged. Every row is written once
+    with its statistics beside it; the estimates read the statistics alone and the
+    verdict filters the written rows: nothing is computed twice and no text is shuffled."""
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", *GROUP)
-    return (joined(with_statistics(own), estimates(rows)).where(verdict())
-            .select("_row.*"))
+    rows = written(with_statistics(own).select("_row", *GROUP, *X, "base_failed"), "quality-statistics")
+    return joined(rows, estimates(rows.where("not base_failed").select(*GROUP, *X))).where(verdict()).select("_row.*")

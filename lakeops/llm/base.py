@@ -6,6 +6,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,9 +23,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_made: list[list[str]] = []     # folders of the open scopes
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
-    return shared_path(spark, "lakeops-llm", f"{name}-{uuid.uuid4().hex}")
+    path = shared_path(spark, "lakeops-llm", f"{name}-{uuid.uuid4().hex}")
+    if _made:
+        _made[-1].append(path)
+    return path
+
+
+@contextmanager
+def intermediates(spark: SparkSession):
+    """A scope for running an operator and storing its result: the folders that
+    ``run_folder`` named inside are deleted at its end, and only those. Results of
+    operators are lazy and read such folders, so store them inside; a folder taken
+    off the list that the scope gives is kept."""
+    _made.append([])
+    try:
+        yield _made[-1]
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _made.pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -135,7 +135,7 @@ drawn AS (SELECT doc_id, key, s, -ln((('0x' || substr(md5('s0:' || s || ':' || k
 placed AS (SELECT key, arg_min(s, (score, s)) FILTER (WHERE s < 16)::INT AS shard,
                   arg_min(s, (score, s))::INT AS grown_shard FROM drawn GROUP BY key)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
-       row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id, size, text_crc32) - 1 AS slot, grown_shard
+       row_number() OVER (PARTITION BY shard ORDER BY md5(key || ':' || size || ':' || text_crc32), doc_id) - 1 AS slot, grown_shard
 FROM sized JOIN placed USING (key)"""
 
 

@@ -1,0 +1,53 @@
+from lakeops.llm import base, minhash, sharding, suffix
+
+from .data import docs
+
+
+def exists(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def test_a_scope_deletes_what_it_made_and_no_more(spark):
+    before = base.written(spark.range(3), "outside")
+    with base.intermediates(spark) as made:
+        n = minhash.minhash_documents(docs(spark)).count()
+        kept = base.written(spark.range(5), "kept")
+        inside, own = list(made), made.pop()
+        assert n and len(inside) > 3 and all(exists(spark, p) for p in inside)
+    assert not any(exists(spark, p) for p in inside[:-1])
+    assert exists(spark, own) and kept.count() == 5 and before.count() == 3
+
+
+def test_repeat_removal_leaves_no_table(spark):
+    tables = len(spark.catalog.listTables())
+    out = suffix.repeats_removed(docs(spark))
+    assert len(spark.catalog.listTables()) == tables
+    assert out.count() == docs(spark).count()
+
+
+def test_chunks_are_one_file_a_bucket(spark):
+    table = suffix.chunk_table(docs(spark, 300).repartition(13), "doc_id", "text")
+    assert len(table.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_hot_id_is_numbered_in_many_parts(spark, monkeypatch):
+    """400,000 rows of one id, half of them equal: many parts, all small."""
+    rows = base.written(spark.range(400_000).selectExpr(
+        "7L doc_id", "case when id % 2 = 0 then 5L else id % 1000 end size", "case when id % 2 = 0 then 9L else id end crc",
+        "0 shard", "md5(concat_ws(':', 7, case when id % 2 = 0 then 5L else id % 1000 end, case when id % 2 = 0 then 9L "
+        "else id end)) h", "id salt"), "hot")
+    dealt = rows.withColumn("part", sharding.parts(rows, "h", "salt"))
+    sizes = [r["count"] for r in dealt.groupBy("part").count().collect()]
+    assert len(sizes) > 1000 and max(sizes) < 4000
+    out = base.numbered(dealt, "shard", "part", ["h", "doc_id"], "slot")
+    assert out.selectExpr("count(distinct slot)", "min(slot)", "max(slot)").first()[:] == (400_000, 0, 399_999)
+    # in the order of the digests, whatever the parts
+    assert out.selectExpr("h", "slot", "lag(h) over (order by slot) before").where("before > h").count() == 0
+
+
+def test_clashing_columns_of_shards(spark):
+    df = spark.createDataFrame([(i, "a", 9, "b", i) for i in range(50)], "k long, shard string, _best int, _more string, _best_ int")
+    out = sharding.shard_rows(df, "k", [1.0, 2.0], added_weight=1.0)
+    assert out.columns == ["k", "shard", "_best", "_more", "_best_", "grown_shard"]
+    assert {r._best for r in out.collect()} == {9} and {r.shard for r in out.collect()} <= {0, 1}

@@ -244,9 +244,12 @@ def chunk_table(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     name = f"lakeops_chunks_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (rows.mapInArrow(run, schema).write.bucketBy(buckets, "chunk")
+    # dealt by bucket first: a file per bucket, however many tasks there are
+    (rows.mapInArrow(run, schema).repartition(buckets, "chunk").write.bucketBy(buckets, "chunk")
      .option("path", run_folder(spark, "chunks")).saveAsTable(name))
-    return spark.table(name)
+    table = spark.table(name)       # resolved; the name is of no use any more, the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def texts_of(data: bytes, lens) -> tuple[bytes, np.ndarray]:

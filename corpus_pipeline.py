@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import mixing, packing, quality, simhash, suffix
-from lakeops.llm.base import table, written
+from lakeops.llm.base import intermediates, table, written
 from lakeops.llm.queries import tokenizer_path
 
 
@@ -57,5 +57,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with intermediates(spark) as made:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            made.pop()      # the stage's own rows stay; what it wrote on the way goes
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -50,12 +50,12 @@ def intermediates(spark: SparkSession):
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: what
     follows reads files that every executor sees, so a lost executor never
     makes the steps before run again."""
     path = run_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -241,5 +241,6 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     with its statistics beside it; the estimates read the statistics alone and the
     verdict filters the written rows: nothing is computed twice and no text is shuffled."""
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", *GROUP)
-    rows = written(with_statistics(own).select("_row", *GROUP, *X, "base_failed"), "quality-statistics")
+    rows = written(with_statistics(own).select("_row", *GROUP, *X, "base_failed"), "quality-statistics",
+                   compression="zstd")
     return joined(rows, estimates(rows.where("not base_failed").select(*GROUP, *X))).where(verdict()).select("_row.*")

@@ -14,4 +14,5 @@ from . import audits  # noqa: F401
 from . import generator  # noqa: F401
 from . import streams  # noqa: F401
 from . import keyed_streams  # noqa: F401
+from . import kept_reports  # noqa: F401
 from .base import ORACLE_SQL, QUERIES, register  # noqa: F401

@@ -32,10 +32,13 @@ _BEFORE = (Window.unboundedPreceding, -1)
 def segments_for(df: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> int:
     """Segments of about ``segment_bytes`` of what the plan reads, and at least
     ``spark.sql.shuffle.partitions``. The sizes are those of the plan's leaves: the
-    estimate of a join's result is a product, far above what comes out."""
+    estimate of a join's result is a product, far above what comes out. A session that
+    shows no plan (a remote one) gets ``spark.sql.shuffle.partitions``."""
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not hasattr(df, "_jdf"):
+        return floor
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(floor, min(-(-size // segment_bytes), 100_000))
 
 

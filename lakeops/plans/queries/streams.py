@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ...sinks import keyed_table
 from ...sinks.logs import append_log
 from ...sinks.tables import bulk_load
 from ...sources import testdata as td
@@ -13,6 +14,7 @@ from ...sources.lines import numbered_lines
 from ...streaming import orders as orders_stream
 from ...streaming import replica as replica_stream
 from .. import medallion
+from ..orders import decode as decode_orders, split as split_orders
 from .base import ORACLE_SQL, register, run_dir as _run_dir
 from .match_events import AS_OF
 from .order_messages import _MSG_SQL, INGEST_AS_OF
@@ -71,6 +73,24 @@ def q_order_stream_one_batch(spark, d):
     return orders_stream.read_target(spark, target)
 
 
+@register("order_table_keyed", f"""
+SELECT order_uuid, username, item_name, quantity
+FROM (SELECT *, row_number() OVER (PARTITION BY order_uuid ORDER BY "offset") AS rn
+      FROM ({_MSG_SQL}) m WHERE reject_reason IS NULL) x
+WHERE rn = 1
+""")
+def q_order_table_keyed(spark, d):
+    """K3 into a table with a unique key, in two inserts of the same rows and a
+    compaction between: each key once, from the first."""
+    base = _run_dir(spark, "order_table")
+    columns = ["order_uuid", "username", "item_name", "quantity"]
+    for before in (True, False):
+        good, _ = split_orders(decode_orders(td.order_messages(spark, d, None if not before else _cut(True)), ["offset"]))
+        keyed_table.insert_ignore(good.select(*columns, "offset"), base, "order_uuid", ["offset"])
+        keyed_table.compact(spark, base, "order_uuid", good.select(*columns, "offset").schema, most=0)
+    return keyed_table.read(spark, base, good.select(*columns).schema)
+
+
 @register("order_quarantine", f"""
 SELECT "offset" AS seq, reject_reason FROM ({_MSG_SQL}) m WHERE reject_reason IS NOT NULL
 """)

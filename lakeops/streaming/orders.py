@@ -18,6 +18,13 @@ pruning), so the per-batch cost follows the buckets it touches instead of the
 whole history; with small batches and a larger B most of the target is
 never read. ``buckets=None`` keeps a flat target.
 
+Which record is first: inside a micro-batch the one of the smallest sequence number
+(``seq``), or for want of it the oldest file; across micro-batches the one whose batch
+came first, because a stored row is never replaced. So with ``maxFilesPerTrigger`` a message
+of a smaller ``seq`` in a later batch does not displace a stored one. Where event time must
+decide over any split into batches, use ``streaming.keyed.first_wins``; where several
+writers share the target, or it must stay compact while it grows, ``sinks.keyed_table``.
+
 Option (``dedup_state``): native ``dropDuplicates`` with keyed state; simple
 but the state grows with every id ever seen.
 """

@@ -155,3 +155,24 @@ def test_kafka_shaped_batch(spark, tmp):
     assert got == [("a", "p0-o2"), ("b", "Pineapple")]
     reasons = sorted(r.reject_reason for r in spark.read.parquet(tmp + "/q").collect())
     assert reasons == ["not a JSON object", "null message"]
+
+
+def test_seq_decides_inside_a_batch_only(spark, tmp):
+    """Two files, the later one with the smaller seq: in one micro-batch its
+    message wins, in two the stored one stays."""
+    import os
+    import time
+
+    from lakeops.streaming import orders as stream
+    for name, seq in (("a", 5), ("b", 1)):
+        os.makedirs(tmp + "/in", exist_ok=True)
+        with open(f"{tmp}/in/{name}.json", "w") as f:
+            f.write('{"seq": %d, "order_id": "o", "user": "%s", "item": "x", "quantity": 1}\n' % (seq, name))
+        time.sleep(1.1)
+    for most, winner in ((None, "b"), (1, "a")):
+        out = f"{tmp}/out-{winner}"
+        q = stream.start_ingest(stream.file_source(spark, tmp + "/in", most), out, out + "-bad", checkpoint=out + "-ck",
+                                trigger={"availableNow": True})
+        q.awaitTermination(120)
+        assert q.exception() is None
+        assert [r.username for r in stream.read_target(spark, out).collect()] == [winner]

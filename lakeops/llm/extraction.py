@@ -90,7 +90,7 @@ HEAD_TAGS = frozenset("base link meta noscript script style template title".spli
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _VALUE = re.compile(r"[>=]")
 _SPACE = re.compile(r"\s*")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_END = {t: re.compile(rf"</{t}(?=[ \t\n\f\r/>]|\Z)", re.I | re.A) for t in RAW_TAGS}
 _LONG_NUMBER = re.compile(r"&#(?:0*([0-9]*)|[xX]0*([0-9a-fA-F]*));?")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
 _NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
@@ -113,7 +113,7 @@ def tokens(page: str):
     declaration, in order; the name is None for the latter two. An element whose content
     is no text (a script) is one token with it. Every search goes forward from where
     the last one ended, and an answer of "no more" is kept."""
-    low, gt, quotes, at, n = None, -1, True, 0, len(page)
+    gt, quotes, at, n = -1, True, 0, len(page)
     while True:
         i = page.find("<", at)
         if i < 0 or i + 1 >= n:
@@ -163,21 +163,15 @@ def tokens(page: str):
         at = end + 1
         tag = name.group().lower()
         if not closing and tag in RAW_TAGS:
-            low = page.translate(_LOWER) if low is None else low
-            at = _raw_end(low, tag, at)
+            at = _raw_end(page, tag, at)
         yield i, at, closing, tag, page[name.end():end]
 
 
-def _raw_end(low: str, tag: str, at: int) -> int:
+def _raw_end(page: str, tag: str, at: int) -> int:
     """The place after the end tag of a raw element, or the end of the page."""
-    while True:
-        at = low.find(f"</{tag}", at)
-        if at < 0:
-            return len(low)
-        at += len(tag) + 2
-        if at >= len(low) or low[at] in " \t\n\f\r/>":
-            end = low.find(">", at)
-            return len(low) if end < 0 else end + 1
+    found = _END[tag].search(page, at)
+    end = page.find(">", found.end()) if found else -1
+    return len(page) if end < 0 else end + 1
 
 
 def unescaped(text: str) -> str:

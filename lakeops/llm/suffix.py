@@ -235,7 +235,7 @@ def chunk_table(docs: DataFrame, key: str, text: str) -> DataFrame:
                 data = b"".join(x.as_buffer().to_pybytes() for x in texts[s:e] if x.is_valid)
                 one = pa.array([0, e - s], pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([(part << 32) | seq], pa.int64()),
+                    pa.array([(part << 40) | (seq << 20)], pa.int64()),
                     pa.ListArray.from_arrays(one, rank[s:e].cast(pa.int64())),
                     pa.ListArray.from_arrays(one, pa.array(sizes[s:e], pa.int64())),
                     pa.array([coder.compress(data)], pa.binary()),
@@ -244,8 +244,13 @@ def chunk_table(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     name = f"lakeops_chunks_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # dealt by bucket first: a file per bucket, however many tasks there are
-    (rows.mapInArrow(run, schema).repartition(buckets, "chunk").write.bucketBy(buckets, "chunk")
+    # the low bits of a chunk's number are chosen so that a task's chunks share a
+    # bucket: a file per task, and nothing is shuffled
+    tries = F.sequence(F.lit(0).cast("long"), F.lit(min((1 << 20) - 1, 20 * buckets)).cast("long"))
+    fit = F.filter(tries, lambda j: F.pmod(F.hash(F.col("chunk") + j), F.lit(buckets))
+                   == F.pmod(F.shiftright("chunk", 40), F.lit(buckets)))
+    chunks = rows.mapInArrow(run, schema).withColumn("chunk", F.col("chunk") + F.coalesce(F.get(fit, F.lit(0)), F.lit(0)))
+    (chunks.write.bucketBy(buckets, "chunk")
      .option("path", run_folder(spark, "chunks")).saveAsTable(name))
     table = spark.table(name)       # resolved; the name is of no use any more, the files stay
     spark.sql(f"DROP TABLE {name}")

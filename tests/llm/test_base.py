@@ -26,9 +26,12 @@ def test_repeat_removal_leaves_no_table(spark):
     assert out.count() == docs(spark).count()
 
 
-def test_chunks_are_one_file_a_bucket(spark):
-    table = suffix.chunk_table(docs(spark, 300).repartition(13), "doc_id", "text")
-    assert len(table.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_chunks_are_one_file_a_task(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "CHUNK_BYTES", 500)
+    table = suffix.chunk_table(docs(spark, 300).repartition(9), "doc_id", "text")
+    assert table.count() > 60 and len(table.inputFiles()) <= 9
+    assert table.select("chunk").distinct().count() == table.count()
+    assert table.selectExpr("sum(size(ranks))").first()[0] == docs(spark, 300).count()
 
 
 def test_a_hot_id_is_numbered_in_many_parts(spark, monkeypatch):

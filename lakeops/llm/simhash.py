@@ -227,7 +227,8 @@ def representatives(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text:
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     text_at, wrapped = docs.columns.index(text), docs.select(row.alias("row"))
-    rows = written(wrapped.mapInArrow(run, T.StructType([*wrapped.schema.fields, T.StructField("fp", T.LongType())])), "documents-fingerprinted")
+    rows = written(wrapped.mapInArrow(run, T.StructType([*wrapped.schema.fields, T.StructField("fp", T.LongType())])),
+                   "documents-fingerprinted", compression="zstd")
     own = F.col(f"row.`{key}`")
     first = (grouped(rows.select(own.cast("long").alias("key"), "fp"), max_bits, "key").groupBy("root")
              .agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "fp")).alias("first"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_of_lit", "null_default", "ilike", "flag_to_int", "is_expired",
     "plus_interval", "parse_iso", "format_iso", "json_struct", "json_field",
-    "json_object_shape", "json_string_field", "key_text", "stable_id", "coerce_int", "col_", "epoch_micros",
+    "json_object_shape", "variant_text", "variant_quoted", "key_text", "stable_id", "coerce_int", "col_", "epoch_micros",
 ]
 
 
@@ -93,14 +93,16 @@ def json_object_shape(c) -> Column:
                       F.lit(False))
 
 
-def json_string_field(c, field: str) -> Column:
-    """True when the top-level ``field`` of a JSON object is a JSON string.
-    The value's type is asked of the parsed document, and only where the text
-    holds such a field with a quoted value at any depth."""
-    c = col_(c)
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(c), f"$.{field}", "variant"))
-    quoted = c.rlike(rf'"{field}"\s*+:\s*+"')
-    return F.coalesce(F.when(quoted, kind == "STRING"), F.lit(False))
+def variant_text(v) -> Column:
+    """A variant's value as text (objects and arrays as JSON, JSON null as
+    NULL), as ``from_json`` gives it for a string field."""
+    return F.try_variant_get(col_(v), "$", "string")
+
+
+def variant_quoted(v) -> Column:
+    """True when a variant was a JSON string, so that ``7`` and ``"7"`` can be
+    told apart with no second look at the document."""
+    return F.coalesce(F.schema_of_variant(col_(v)) == "STRING", F.lit(False))
 
 
 def key_text(*cols) -> Column:
@@ -122,11 +124,11 @@ def coerce_int(c, quoted: Column | None = None) -> Column:
     column. A JSON number is rounded half away from zero (2.5 -> 3); a JSON
     string must be integer text ("7", " +7 " -> 7; "2.5", "abc" -> NULL);
     true/false and out-of-range values -> NULL. ``quoted`` tells whether the
-    value was a JSON string (``from_json`` returns the same text for ``7``
-    and ``"7"``); without it every value is treated as a number. The caller
+    value was a JSON string (``variant_quoted``); without it every value is
+    treated as a number. The caller
     treats NULL from a non-NULL input as a rejected row."""
     c = col_(c)
-    as_number = F.round(c.try_cast("decimal(38,6)")).try_cast("int")
+    as_number = F.round(c.try_cast("decimal(38,18)")).try_cast("int")
     if quoted is None:
         return as_number
     as_text = F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(c).try_cast("int"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.exprs import as_of_lit, coerce_int, json_object_shape, json_string_field, json_struct
+from ..functions.exprs import as_of_lit, coerce_int, json_object_shape, json_struct, variant_quoted, variant_text
 from ..operators.joins import anti_join
 from ..sinks.tables import rows_to_insert
 
@@ -31,9 +31,9 @@ def decode(messages: DataFrame, order_cols: list[str] | None = None) -> DataFram
     text = F.col("value").cast("string")
     m = json_struct(text, schemas.ORDER_MESSAGE)
     df = messages.select(*keep, text.alias("value"), m.alias("m"))
-    q_in = F.col("m.quantity")
     # a quoted quantity is integer text; a bare one is a number
-    qty = coerce_int(q_in, json_string_field("value", "quantity"))
+    q_in = variant_text("m.quantity")
+    qty = coerce_int(q_in, variant_quoted("m.quantity"))
     reason = (F.when(F.col("value").isNull(), F.lit("null message"))
               .when(~json_object_shape("value") | F.col("m").isNull(), F.lit("not a JSON object"))
               .when(F.col("m.order_id").isNull(), F.lit("missing order_id"))

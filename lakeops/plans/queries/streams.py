@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ...sinks import keyed_table
-from ...sinks.logs import append_log
+from ...sinks.copy_text import read_copy, split_copy
+from ...sinks.logs import append_log, publish_files
 from ...sinks.tables import bulk_load
 from ...sources import testdata as td
 from ...sources.lines import numbered_lines
@@ -118,6 +119,69 @@ def q_bulk_load(spark, d):
     return spark.read.parquet(path)
 
 
+# events whose texts hold what the text form must escape: NULLs, empty texts, tabs,
+# line ends and backslashes before letters
+_COPY_SQL = """
+SELECT event_id, ts, value,
+       CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'view' THEN ''
+            WHEN event_type = 'signup' THEN chr(92) || 'N'
+            ELSE event_type || chr(9) || props || chr(92) || chr(92) || 't' || chr(10) || chr(13) || chr(92) END AS note
+FROM events"""
+
+
+def _copy_rows(spark, d):
+    kind = F.col("event_type")
+    note = (F.when(kind == "error", None).when(kind == "view", "").when(kind == "signup", "\\N")
+            .otherwise(F.concat(kind, F.lit("\t"), F.col("props"), F.lit("\\\\t\n\r\\"))))
+    return td.table(spark, d, "events").select("event_id", "ts", "value", note.alias("note"))
+
+
+@register("bulk_load_text", _COPY_SQL)
+def q_bulk_load_text(spark, d):
+    """K4 in the tab-separated form, in two loads, and read back: every text,
+    NULL and empty text is what it was."""
+    path = f"{_run_dir(spark, 'bulk_load_text')}/events"
+    rows = _copy_rows(spark, d)
+    bulk_load(rows.where(_cut(True)), path, tsv=True)
+    bulk_load(rows.where(_cut(False)), path, tsv=True)
+    return read_copy(spark, path, rows.schema)
+
+
+@register("bulk_load_bad_lines", f"""
+SELECT CASE WHEN note IS NULL THEN 'wrong number of fields'
+            WHEN note = chr(92) || 'N' THEN 'field 1 is no bigint' END AS reason, count(*) AS n
+FROM ({_COPY_SQL}) c WHERE note IS NULL OR note = chr(92) || 'N' GROUP BY 1
+""")
+def q_bulk_load_bad_lines(spark, d):
+    """K4 with foreign lines among the rows: those of errors lack a field, those of
+    signups have a text for the id."""
+    path = f"{_run_dir(spark, 'bulk_load_bad_lines')}/events"
+    rows = _copy_rows(spark, d)
+    bulk_load(rows.where("note IS NULL").drop("note"), path, tsv=True)
+    named = F.concat(F.lit("id "), F.col("event_id").cast("string")).alias("event_id")
+    bulk_load(rows.where("note = r'\\N'").select(named, "ts", "value", "note"), path, tsv=True)
+    bulk_load(rows.where("note <> r'\\N'"), path, tsv=True)
+    _, bad = split_copy(spark, path, rows.schema)
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("published_orders", f"""
+SELECT '{{"order_id":"' || order_uuid || '","user":"' || username || '","item":"' || item_name
+       || '","quantity":' || coalesce(CAST(quantity AS VARCHAR), 'null') || '}}' AS value,
+       count(*) OVER () AS published
+FROM ({_MSG_SQL}) m
+""")
+def q_published_orders(spark, d):
+    """K8: every order published as a JSON value into a folder that stands for
+    the topic, with the number of messages that the write reported."""
+    topic = f"{_run_dir(spark, 'published_orders')}/orders"
+    rows = decode_orders(td.order_messages(spark, d)).select(
+        F.col("order_uuid").alias("order_id"), F.col("username").alias("user"),
+        F.col("item_name").alias("item"), "quantity")
+    sent = publish_files(rows, topic)
+    return spark.read.text(topic).select("value", F.lit(sent).cast("bigint").alias("published"))
+
+
 def _drain(q):
     q.awaitTermination()
     if q.exception():

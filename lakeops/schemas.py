@@ -59,8 +59,9 @@ SILVER = T.StructType([
     _f("match_id", S), _f("team", S), _f("event_type", S), _f("timestamp", TSNTZ)])
 
 # --- order stream ---------------------------------------------------------
+# the quantity keeps its JSON type, so one parse tells 7 from "7"
 ORDER_MESSAGE = T.StructType([
-    _f("order_id", S), _f("user", S), _f("item", S), _f("quantity", S)])
+    _f("order_id", S), _f("user", S), _f("item", S), _f("quantity", T.VariantType())])
 
 ORDERS_TARGET = T.StructType([
     _f("order_uuid", S, False), _f("username", S), _f("item_name", S),

@@ -46,9 +46,10 @@ def append_validation_lines(valid: DataFrame, path: str, name: str = "passenger_
 
 
 def to_message_value(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """K8: value = JSON of the record, no key (what is published)."""
+    """K8: value = JSON of the record, no key (what is published). A NULL field is
+    written as null, not left out."""
     cols = columns or df.columns
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def kafka_options(bootstrap: str, topic: str, extra: dict | None = None) -> dict:
@@ -61,7 +62,20 @@ def kafka_options(bootstrap: str, topic: str, extra: dict | None = None) -> dict
 def publish(df: DataFrame, bootstrap: str, topic: str, columns: list[str] | None = None) -> int:
     """K8: publish each row as a JSON value (no key) and return how many
     were sent, observed during the write. Needs the Kafka connector."""
-    obs = Observation("published")
-    out = to_message_value(df, columns).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out, sent = _counted(to_message_value(df, columns))
     out.write.format("kafka").options(**kafka_options(bootstrap, topic)).save()
-    return int(obs.get["rows"])
+    return int(sent.get["rows"])
+
+
+def publish_files(df: DataFrame, path: str, columns: list[str] | None = None) -> int:
+    """K8 into a folder that stands for a topic: the same values, one a line,
+    appended where ``streaming.orders.file_source`` reads them. Returns how many
+    were sent, observed during the write, so nothing is counted a second time."""
+    out, sent = _counted(to_message_value(df, columns))
+    out.write.mode("append").text(path)
+    return int(sent.get["rows"])
+
+
+def _counted(values: DataFrame) -> tuple[DataFrame, Observation]:
+    sent = Observation("published")
+    return values.observe(sent, F.count(F.lit(1)).alias("rows")), sent

@@ -10,7 +10,7 @@ from ..operators.dedup import first_per_key
 from ..operators.joins import MAX_PROBE_BYTES, anti_join, key_bytes
 from ..sources.paths import path_exists
 from ..sources.tables import conform
-from . import snapshot
+from . import copy_text, snapshot
 
 
 def _writer(df: DataFrame, mode: str, fmt: str = "parquet", partition_by=None):
@@ -90,9 +90,9 @@ def insert_ignore(new: DataFrame, target_path: str, keys: list[str],
 
 
 def bulk_load(df: DataFrame, path: str, fmt: str = "parquet", tsv: bool = False) -> None:
-    """K4: append rows in parallel (one file per task). ``tsv`` writes
-    tab-separated text for interchange with COPY-style loaders."""
+    """K4: append rows in parallel (one file per task). ``tsv`` writes the
+    tab-separated text of database bulk loaders (``copy_text``)."""
     if tsv:
-        df.write.mode("append").option("sep", "\t").option("header", "false").csv(path)
+        copy_text.write_copy(df, path)
     else:
         df.write.mode("append").format(fmt).save(path)

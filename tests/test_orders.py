@@ -176,3 +176,18 @@ def test_seq_decides_inside_a_batch_only(spark, tmp):
         q.awaitTermination(120)
         assert q.exception() is None
         assert [r.username for r in stream.read_target(spark, out).collect()] == [winner]
+
+
+def test_quantity_keeps_its_json_type(spark):
+    """One parse tells numbers, texts and other values apart, with the last of
+    repeated fields and only top-level ones."""
+    cases = [("7", 7), ('"7"', 7), ("2.5", 3), ("2.4999999", 2), ("-2.5", -3), ('"2.5"', None), ("1e2", 100),
+             ("1e40", None), ("true", None), ('"true"', None), ("null", None), ("[7]", None), ('{"a": 7}', None),
+             ("2147483647", 2147483647), ("2147483647.5", None), ('"-8"', -8), ('7, "quantity": "8"', 8),
+             ('"8x", "quantity": 7', 7), ('7, "x": {"quantity": "y"}', 7)]
+    values = [(i, '{"order_id": "o", "quantity": %s}' % q) for i, (q, _) in enumerate(cases)]
+    got = {r.offset: r for r in orders.decode(spark.createDataFrame(values, "offset int, value string"),
+                                              ["offset"]).collect()}
+    for i, (q, want) in enumerate(cases):
+        assert got[i].quantity == want, q
+        assert got[i].reject_reason == (None if want is not None or q == "null" else "bad quantity"), q

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from lakeops.plans import tickets
-from lakeops.sinks.logs import append_validation_lines, to_message_value
+from lakeops.sinks.logs import append_validation_lines, publish_files, to_message_value
 from lakeops.sinks.tables import bulk_load, insert_ignore, write_ctas, write_full_refresh
 from lakeops.sources.jsonlog import read_text_or_empty
 from lakeops.streaming import orders as stream
@@ -72,6 +72,16 @@ def test_message_value_is_json(spark):
     assert json.loads(v) == {"order_id": "o1", "user": "Sergi", "item": "Pineapple", "quantity": 7}
 
 
+def test_published_values_are_whole_and_counted(spark, tmp):
+    df = spark.createDataFrame([("o1", None, "a\tb\n", 7), ("o2", "u", None, None)],
+                               "order_id string, user string, item string, quantity int")
+    assert publish_files(df, tmp + "/topic") == 2
+    assert publish_files(df.limit(0), tmp + "/topic") == 0
+    got = sorted((json.loads(r.value) for r in spark.read.text(tmp + "/topic").collect()), key=str)
+    assert got == [{"order_id": "o1", "user": None, "item": "a\tb\n", "quantity": 7},
+                   {"order_id": "o2", "user": "u", "item": None, "quantity": None}]
+
+
 def test_dedup_state_option(spark, tmp):
     import os
     src = tmp + "/in"

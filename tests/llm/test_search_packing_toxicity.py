@@ -70,6 +70,68 @@ def test_finer_bounds_prune_more():
     assert gaps[0] > gaps[1] > gaps[2]
 
 
+def whole_vectors(kind, n, dim=64, seed=3, clusters=20):
+    rng = np.random.default_rng(seed)
+    if kind == "isotropic":
+        v = rng.normal(0, 8, (n, dim))
+    elif kind == "decaying":
+        turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+        v = rng.normal(size=(n, dim)) * (40 * 0.8 ** np.arange(dim)) @ turn
+    else:                                           # clusters
+        v = rng.normal(0, 30, (clusters, dim))[rng.integers(0, clusters, n)] + rng.normal(0, 2, (n, dim))
+    return np.floor(v)
+
+
+@pytest.mark.parametrize("kind, most", [("isotropic", 1), ("decaying", 0.5), ("clusters", 0.5)])
+def test_stream_of_blocks_is_exact_and_prunes(kind, most):
+    """The turned bounds leave out over half of the pairs where vectors have structure, and
+    never a result."""
+    v, k = whole_vectors(kind, 6000), 20
+    ids = np.random.default_rng(0).permutation(6000)
+    q = np.arange(0, 6000, 20)
+    turn = topk_search.basis(v[::3])
+    assert np.allclose(turn.T @ turn, np.eye(64), atol=1e-12)
+    best = topk_search.TopK(ids[q], v[q], k, turn, np.full(len(q), -np.inf))
+    near = np.lexsort((v @ turn).T[::-1][-2:])      # blocks of neighbours by the first two components
+    for i in range(0, 6000, topk_search.BLOCK):
+        at = near[i:i + topk_search.BLOCK]
+        best.add(ids[at], v[at])
+    got = {int(a): g.sort_values(["score", "vec_id"], ascending=[False, True])[["vec_id", "score"]].values.tolist()
+           for a, g in best.result().groupby("query_id")}
+    score = (v[q] @ v.T).astype(int)
+    for row, a in enumerate(q):
+        order = [j for j in np.lexsort((ids, -score[row])) if j != a][:k]
+        assert got[int(ids[a])] == [[int(ids[j]), int(score[row, j])] for j in order]
+    assert best.pairs == len(q) * 6000 and best.scored <= most * best.pairs
+
+
+@pytest.mark.parametrize("kind", ["isotropic", "clusters"])
+def test_search_over_many_blocks_groups_and_shares(spark, monkeypatch, kind):
+    """Small blocks, groups, zone chunks and shares give the same rows, with extra
+    columns of clashing names, and blocks no query needs are in no cell."""
+    for name, value in (("BLOCK", 32), ("GROUP", 8), ("ZONES", 8), ("SHARE_ROWS", 256), ("QUERIES", 5)):
+        monkeypatch.setattr(topk_search, name, value)
+    planned, plan = [], topk_search.plan
+    monkeypatch.setattr(topk_search, "plan", lambda *a: planned.append((a[0].count() * a[1].count(), plan(*a))) or planned[-1][1])
+    v = whole_vectors(kind, 900, 16, clusters=5) / 64
+    data = [(i, x.tolist(), "a", 1) for i, x in enumerate(v)] + [(5000 + i, v[7].tolist(), "b", 2) for i in range(300)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, block string, grp int")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk_search.nearest(df).collect())
+    assert got == brute_search([d[:2] for d in data], 20, 20)
+    every, cells = planned[0]
+    assert cells.count() == cells.select("grp", "block").distinct().count()
+    if kind == "clusters":
+        assert cells.count() < every * 2 / 3      # 164 of 320 when written
+
+
+def test_zone_bounds_hold():
+    rng = np.random.default_rng(4)
+    q, v = rng.normal(0, 30, (40, 64)), rng.normal(5, 20, (200, 64))
+    f, g = topk_search.bound_features(q, 32), topk_search.bound_features(v, 32)
+    bound = topk_search.zone_bounds(f, g.min(axis=0, keepdims=True), g.max(axis=0, keepdims=True))
+    assert (bound >= (q @ v.T).max(axis=1, keepdims=True)).all()
+
+
 # ---------------------------------------------------------------- packing
 
 @pytest.fixture(scope="module")

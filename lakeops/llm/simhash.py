@@ -10,15 +10,17 @@ bit sets are chosen so that two fingerprints with at most ``max_bits``
 differing bits agree on all bits of some tree: cut 64 bits into b > max_bits
 blocks and give every choice of b - max_bits blocks a tree. In that tree r is 0,
 no shard beyond a fingerprint's own has to be searched, and the pair is met
-in it. Inside a shard the pairs are pruned once more by the triangle bound of
-whole distances to a vantage point, then compared exactly.
+in it. Inside a shard a vantage-point tree on all 64 bits goes on with radius
+``max_bits``: each branch is searched by itself, and of the neighbouring branch
+the fingerprints in the overlap around the border (``near_pairs``); a shard that is cut
+into work items is cut by the same bound (``work_items``).
 
 Fewer blocks mean fewer copies of each fingerprint but larger shards;
 ``tree_masks`` takes the number that makes least work for the number of
 distinct fingerprints, with the same links for each. Equal fingerprints are one
-vertex. A shard over ``CHUNK`` fingerprints is cut into chunks, each pair of
-chunks a work item of its own, and an item returns a spanning star of each
-group it finds (at most one link per fingerprint), never all its pairs.
+vertex. A shard over ``CHUNK`` fingerprints is cut into chunks by distance, each pair of
+chunks in reach of another a work item of its own, and an item returns a spanning star of
+each group it finds (at most one link per fingerprint), never all its pairs.
 
 Defined cases: NULL and wordless texts have fingerprint zero and link like any
 other; a NULL doc_id is no component's id unless all of the component's are
@@ -43,6 +45,8 @@ from .components import stars
 SEED = 42
 CHUNK = 4096        # fingerprints of a shard that one work item compares with as many
 LEVELS = 8          # vantage points of a tree
+LEAF = 256          # fingerprints of a branch that are compared with as many outright
+HELD = 1 << 20      # links that an item holds before it folds them into labels
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SLICE = 1 << 16    # shingles whose bits are counted at a time
 
@@ -114,49 +118,117 @@ def shards(points: DataFrame, masks: list[int]) -> DataFrame:
             .select("s.tree", "s.leaf", "fp"))
 
 
-def work_items(sharded: DataFrame) -> DataFrame:
-    """(tree, leaf, a, b, fp): shards of two or more, cut into chunks by a
-    hash of the fingerprint; the item (a, b) holds the chunks a and b."""
-    sizes = (sharded.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select("tree", "leaf", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")))
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    return (sharded.join(sizes, ["tree", "leaf"])
-            .withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("tree", "leaf", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp"))
-
-
-def local_links(x: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning star (point, root) of every group of the sorted fingerprints
-    ``x`` (uint64) that links within ``max_bits`` form. The points are ordered by
-    their distance to a vantage point; those whose distances differ by more
-    than ``max_bits`` are never compared."""
-    d = np.bitwise_count(x ^ x[0]).astype(np.int16)
-    order = np.argsort(d, kind="stable")
-    y, d = x[order], d[order]
-    n, step, found = len(y), 256, []
-    for i in range(0, n, step):
-        j = min(i + step, n)
-        hi = np.searchsorted(d, d[j - 1] + max_bits, side="right")
-        near = np.bitwise_count(y[i:j, None] ^ y[None, i:hi]) <= max_bits
-        p, q = np.nonzero(near)
-        keep = p < q
-        found.append((p[keep] + i, q[keep] + i))
-    p, q = (np.concatenate(z) for z in zip(*found))
-    if not len(p):
-        return x[:0], x[:0]
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[p], root[q])
-        new = root.copy()
-        np.minimum.at(new, root[p], low)
-        np.minimum.at(new, root[q], low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    linked = np.nonzero(root != np.arange(n))[0]
-    return y[linked], y[root[linked]]
+def work_items(sharded: DataFrame, max_bits: int = 4) -> DataFrame:
+    """(tree, leaf, a, b, fp, second): shards of two or more. One of up to CHUNK
+    fingerprints is the item (0, 0). A larger one is ordered by the distance to a
+    vantage point on all 64 bits and cut into chunks; the item (a, a) is a chunk by
+    itself, the item (a, b) what ``a`` and ``b`` (``second``) have in the other's
+    reach: by the triangle bound a fingerprint at distance d is sent only to chunks
+    that hold distances from d - max_bits to d + max_bits. A distance with over
+    CHUNK fingerprints fills several chunks, dealt by a hash."""
+    key = ["tree", "leaf"]
+    sized = sharded.join(sharded.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), key)
+    small = sized.where(F.col("n") <= CHUNK).select(
+        *key, F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "fp", F.lit(False).alias("second"))
+    away = F.bit_count(F.col("fp").bitwiseXOR(_long(xxhash.xxh64_intdigest("chunks", SEED))))
+    large = sized.where(F.col("n") > CHUNK).select(*key, "fp", away.alias("d"))
+    shard = Window.partitionBy(*key).orderBy("d")       # at most 65 rows of a shard
+    near = shard.rangeBetween(-max_bits, max_bits)
+    cells = (large.groupBy(*key, "d").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("start", F.sum("n").over(shard) - F.col("n"))
+             .withColumn("first", F.floor(F.col("start") / CHUNK))
+             .withColumn("last", F.floor((F.col("start") + F.col("n") - 1) / CHUNK))
+             .withColumn("low", F.min("first").over(near)).withColumn("high", F.max("last").over(near)))
+    dealt = (large.join(cells, [*key, "d"])
+             .withColumn("own", F.floor((F.col("start") + F.pmod(F.xxhash64("fp"), F.col("n"))) / CHUNK))
+             .withColumn("other", F.explode(F.sequence("low", "high"))))
+    return small.unionByName(dealt.select(*key, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+                                          "fp", (F.col("own") > F.col("other")).alias("second")))
+
+
+def near_pairs(x: np.ndarray, a: np.ndarray, b: np.ndarray | None, max_bits: int, compared: list | None = None):
+    """(p, q): places in ``x`` of all pairs within ``max_bits`` among the places ``a``,
+    or between ``a`` and ``b``, in parts. A vantage-point tree: what lies up to the
+    median distance to a vantage point and what lies beyond are searched each by
+    itself, and of pairs across only those in the overlap of ``max_bits`` around
+    the border, as no others can be near. ``compared`` collects the pairs looked at."""
+    def ball(places, v):
+        return np.bitwise_count(x[places] ^ x[v]).astype(np.int16)
+
+    def compare(a, b):
+        same = b is None
+        for i in range(0, len(a), LEAF):
+            rows, cols = a[i:i + LEAF], a[i:] if same else b
+            p, q = np.nonzero(np.bitwise_count(x[rows][:, None] ^ x[cols][None]) <= max_bits)
+            if compared is not None:
+                compared.append(len(rows) * len(cols))
+            keep = p < q if same else slice(None)
+            yield rows[p[keep]], cols[q[keep]]
+
+    todo = [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        if not len(a) or b is not None and not len(b):
+            continue
+        if len(a) * len(a if b is None else b) <= LEAF * LEAF:
+            yield from compare(a, b)
+        elif b is None:
+            d = ball(a, a[len(a) // 2])
+            cut = int(np.median(d))
+            inside, outside = a[d <= cut], a[d > cut]
+            if not len(outside):            # no distance above the median: split below it
+                cut = int(d.max()) - 1
+                inside, outside = a[d <= cut], a[d > cut]
+            if not len(inside):             # all equally far
+                yield from compare(a, None)
+                continue
+            todo += [(inside, None), (outside, None),
+                     (a[(d <= cut) & (d > cut - max_bits)], a[(d > cut) & (d <= cut + max_bits)])]
+        else:
+            v = (a if len(a) >= len(b) else b)[0]
+            d, e = ball(a, v), ball(b, v)
+            cut = int(np.median(np.concatenate([d, e])))
+            parts = [(a[d <= cut], b[e <= cut]), (a[d > cut], b[e > cut]),
+                     (a[(d <= cut) & (d > cut - max_bits)], b[(e > cut) & (e <= cut + max_bits)]),
+                     (a[(d > cut) & (d <= cut + max_bits)], b[(e <= cut) & (e > cut - max_bits)])]
+            if any(len(p) == len(a) and len(q) == len(b) for p, q in parts):
+                yield from compare(a, b)    # the vantage point tells nothing apart
+            else:
+                todo += parts
+
+
+def local_links(x: np.ndarray, max_bits: int, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning star (point, root) of every group that links within ``max_bits``
+    form among the fingerprints ``x`` (uint64), or between those marked ``second`` and
+    the others. Links are folded into labels as they come, so that a group
+    in which all are near never stands in memory as pairs."""
+    root, ps, qs, held = np.arange(len(x)), [], [], 0
+
+    def folded():
+        p, q = np.concatenate([*ps, np.arange(len(x))]), np.concatenate([*qs, root])
+        label = np.arange(len(x))
+        while True:
+            low = np.minimum(label[p], label[q])
+            new = label.copy()
+            np.minimum.at(new, p, low)
+            np.minimum.at(new, q, low)
+            new = new[new]
+            if (new == label).all():
+                return label
+            label = new
+
+    every = np.arange(len(x))
+    a, b = (every, None) if second is None or not second.any() else (every[~second], every[second])
+    for p, q in near_pairs(x, a, b, max_bits):
+        ps.append(p)
+        qs.append(q)
+        held += len(p)
+        if held > HELD:
+            root, ps, qs, held = folded(), [], [], 0
+    if held:
+        root = folded()
+    linked = np.nonzero(root != every)[0]
+    return x[linked], x[root[linked]]
 
 
 def links(points: DataFrame, max_bits: int, n: int) -> DataFrame:
@@ -164,32 +236,27 @@ def links(points: DataFrame, max_bits: int, n: int) -> DataFrame:
     connect, for distinct fingerprints ``points`` (fp), ``n`` of them."""
     key = ["tree", "leaf", "a", "b"]
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.sort(pdf["fp"].to_numpy().view(np.uint64))
-        u, v = local_links(x, max_bits)
-        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
-
     def run(batches):
-        """Groups arrive sorted; only the last group of a batch may go on."""
+        """Items arrive sorted; only the last item of a batch may go on."""
         rest = None
+
+        def compared(pdf, cuts):
+            fp, second = pdf["fp"].to_numpy().view(np.uint64), pdf["second"].to_numpy()
+            found = [local_links(fp[i:j], max_bits, second[i:j]) for i, j in zip(cuts, cuts[1:]) if j - i > 1]
+            u, v = (np.concatenate([fp[:0], *z]) for z in (zip(*found) if found else ([], [])))
+            return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
+
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
             k = pdf[key].to_numpy()
-            cuts = np.nonzero((k[1:] != k[:-1]).any(axis=1))[0] + 1
-            fp, at = pdf["fp"].to_numpy().view(np.uint64), [0, *cuts.tolist()]
-            us, vs = [], []
-            for i, j in zip(at, at[1:]):
-                u, v = local_links(fp[i:j], max_bits) if j - i > 1 else (fp[:0], fp[:0])
-                us.append(u)
-                vs.append(v)
-            rest = pdf.iloc[at[-1]:]
-            if us:
-                yield pd.DataFrame({"u": np.concatenate(us).view(np.int64),
-                                    "v": np.concatenate(vs).view(np.int64)})
+            cuts = [0, *(np.nonzero((k[1:] != k[:-1]).any(axis=1))[0] + 1).tolist()]
+            rest = pdf.iloc[cuts[-1]:]
+            if len(cuts) > 1:
+                yield compared(pdf, cuts)
         if rest is not None:
-            yield compare(rest)
+            yield compared(rest, [0, len(rest)])
 
-    items = work_items(shards(points, tree_masks(n, max_bits)))
+    items = work_items(shards(points, tree_masks(n, max_bits)), max_bits)
     return (items.repartition(*key).sortWithinPartitions(*key, "fp")
             .mapInPandas(run, "u long, v long"))
 

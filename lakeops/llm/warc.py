@@ -1,9 +1,12 @@
 """WARC archives: write records as gzip members, read them back in sequence.
 
 Writer: each task appends its rows to archives of its own in a shared folder,
-one gzip member per record; an archive is written under a temporary name and
-moved into place, so a repeated task leaves one whole archive. A payload that
-several records share is stored once: the record with the largest id is the
+one gzip member per record. An archive's name holds the attempt that wrote it and
+no name is used twice, so stores that refuse to overwrite or rename will do; the
+returned rows name the archives of the attempts that count, and those are whole. An
+archive of a lost or second attempt may lie beside them, named by no row: read
+through the rows (stored as a manifest), never through a listing of the folder.
+A payload that several records share is stored once: the record with the largest id is the
 ``response``, the others are ``revisit`` records that name it (identical
 payload digest profile).
 
@@ -11,7 +14,8 @@ Reader: one pass over an archive in fixed-size chunks; members are
 decompressed incrementally, records are framed by Content-Length, and block
 and payload digests are verified. Memory holds one record.
 
-Defined cases: a NULL payload is empty; a NULL id ranks below every id and is
+Defined cases: very long payloads are written and read whole; other columns of the
+input are not read, whatever their names; a NULL payload is empty; a NULL id ranks below every id and is
 written as ``urn:x-no-id``; rows that carry the same largest id and payload are all
 responses; a NULL url has no target URI; an empty table gives no archives."""
 
@@ -21,6 +25,7 @@ import base64
 import hashlib
 import posixpath
 import urllib.parse
+import uuid
 import zlib
 
 import pandas as pd
@@ -153,21 +158,21 @@ def write_warc(df: DataFrame, id_col: str, url_col: str, payload_col: str, folde
     def archives(batches):
         task = TaskContext.get()
         store, base = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        # a stage that runs again in one session, or another session, takes a name of its own
+        attempt = f"{task.taskAttemptId()}-{uuid.uuid4().hex[:12]}"
         out, done, seq = None, [], 0
 
         def close():
             out.close()
-            store.move(temporary, final)
-            done.append((final_uri, n, size))
+            done.append((posixpath.join(folder, name), n, size))
 
         for pdf in batches:
             for rid, url, payload, refers in zip(pdf["id"], pdf["_url"], pdf["_payload"], pdf["refers_to"]):
                 if out is None:
-                    name = f"part-{task.partitionId():05d}-{seq:04d}.warc.gz"
-                    final, final_uri = posixpath.join(base, name), posixpath.join(folder, name)
-                    temporary = f"{final}.attempt-{task.taskAttemptId()}"
+                    name = f"part-{task.partitionId():05d}-{seq:04d}-{attempt}.warc.gz"
                     store.create_dir(base, recursive=True)
-                    out, n, size, seq = store.open_output_stream(temporary, compression=None), 0, 0, seq + 1
+                    out = store.open_output_stream(posixpath.join(base, name), compression=None)
+                    n, size, seq = 0, 0, seq + 1
                 refers = None if pd.isna(refers) else refers
                 data = record_bytes(None if pd.isna(rid) else rid, None if pd.isna(url) else url,
                                     bytes(payload), refers, refers is not None)

@@ -75,3 +75,29 @@ def test_wrong_content_length_is_found():
     raw = next(warc.members(io.BytesIO(warc.record_bytes(1, "u", b"abc"))))
     with pytest.raises(ValueError):
         warc.parse_record(raw.replace(b"abc\r\n\r\n", b"abcd\r\n\r\n"))
+
+
+def test_repeated_writing_overwrites_nothing(spark, tmp):
+    """Every run of the writing tasks takes names of its own; each manifest reads back
+    whole, and a lost attempt's torn archive in the folder does no harm."""
+    df = spark.createDataFrame([(i, None, "x" * (i % 5) * 1000) for i in range(60)],
+                               "id long, url string, html string").repartition(3)
+    lazy = warc.write_warc(df, "id", "url", "html", tmp + "/w")
+    first = lazy.collect()
+    before = {m.path: open(m.path, "rb").read() for m in first}
+    open(tmp + "/w/part-00000-0000-9-torn.warc.gz", "wb").write(b"\x1f\x8b")
+    second = lazy.collect()
+    assert not {m.path for m in first} & {m.path for m in second}
+    assert all(open(p, "rb").read() == data for p, data in before.items())
+    for m in (first, second):
+        back = warc.read_warc(spark, spark.createDataFrame(m), 2)
+        assert sorted(int(r.record_id) for r in back.collect()) == list(range(60))
+
+
+def test_clashing_columns_and_long_payloads(spark, tmp):
+    long = "é" * 3_000_000
+    df = spark.createDataFrame([(1, "u", long, "a", 7, 8), (2, "u", None, "b", 7, 8)],
+                               "id long, _url string, payload string, path string, _digest int, _salt int")
+    m = warc.write_warc(df, "id", "_url", "payload", tmp + "/w").collect()
+    back = {int(r.record_id): bytes(r.payload).decode() for r in warc.read_warc(spark, spark.createDataFrame(m), 1).collect()}
+    assert back == {1: long, 2: ""}

@@ -58,7 +58,7 @@ LENGTH, WINDOW = 50, 24
 CHUNK_BYTES = 1 << 20       # text of a chunk row
 HASH_BYTES = 2 << 20        # text hashed at a time
 BATCH_BYTES = 16 << 20      # text whose phrases are combined before they are sent
-BUCKET_BYTES = 16 << 20     # text whose phrases one bucket gets
+BUCKET_BYTES = 8 << 20      # text whose phrases one bucket gets
 HOT = 256                   # phrases of a trigger in a batch (16 times as many in a bucket) that make it hot
 LAST = np.iinfo(np.int64).max
 COVERED, UNSURE, BY_STRING = 0, 1, 2

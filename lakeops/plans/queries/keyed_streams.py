@@ -16,6 +16,7 @@ from .streams import _drain
 from .ticket_log import _COUNTING_SQL, _JOINED_SQL, TICKET_TTL, _finish_sql
 
 ARRIVALS = 3
+FILE_ROWS = 100_000
 
 
 def arrivals(rows: DataFrame) -> tuple[DataFrame, int]:
@@ -30,16 +31,20 @@ def arrivals(rows: DataFrame) -> tuple[DataFrame, int]:
 def run_stream(spark, name: str, rows: DataFrame, make, tick: dict, files: int = 4) -> DataFrame:
     """Rows into files, portion by portion, each followed by a run of the
     stream ``make(source, delay)``; at last a tick far enough ahead to settle all
-    rows. A portion's rows are in no order, so the delay covers a portion."""
+    rows. A portion's rows are in no order, so the delay covers a portion. A portion
+    has ``files`` files, more if they would hold over FILE_ROWS rows, and a
+    micro-batch takes three quarters of them: more rows are read by more tasks."""
     run = run_dir(spark, name)
     dealt, width = arrivals(rows)
     dealt.write.partitionBy("portion").parquet(f"{run}/dealt")
     dealt = spark.read.parquet(f"{run}/dealt")
-    last = dealt.agg(F.max("at")).first()[0]
+    last, n = dealt.agg(F.max("at"), F.count(F.lit(1))).first()
+    files = max(files, -(-n // (ARRIVALS * FILE_ROWS)))
 
     def arrive(df):
         df.write.mode("append").parquet(f"{run}/in")
-        source = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{run}/in"))
+        source = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, files * 3 // 4))
+                  .parquet(f"{run}/in"))
         q = keyed.start(make(source, f"{-(-width // 1000) + 1} milliseconds"), f"{run}/out", f"{run}/checkpoint",
                         {"availableNow": True})
         _drain(q)

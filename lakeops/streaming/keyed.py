@@ -14,15 +14,22 @@ The watermark moves with the rows. A source that falls silent should send ticks
 of kind TICK), which carry a time and nothing else.
 
 State lives in RocksDB: per key one settled row and the rows that wait, so its
-size follows the keys and the delay, never the length of the stream. A key has one timer,
-at the earliest thing that waits. A hot key is one state: its rows of a batch
-pass through one task, which holds the key's waiting rows.
+size follows the keys and the delay, never the length of the stream. A visit to a
+state from Python costs milliseconds whatever it holds, so keys share ``SLOTS``
+groups (by hash): rows of a slot wait together, settle together when its one timer, at the
+earliest thing that waits, fires, and their settled rows are stored by cell, a cell
+being read and written only if one of its keys moves. A task holds the waiting rows of
+one slot at a time; streams with more keys or a longer delay take more slots (fixed
+for the life of a checkpoint). With ``slots=0`` each key has a state and a timer of its own.
+A hot key is in one slot: its rows of a batch pass through one task.
 
 Times are whole microseconds in state, so their precision is that of the input
 and no time zone applies."""
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Callable
 
 import pandas as pd
@@ -39,6 +46,7 @@ RECORD, REQUEST, NULL_REQUEST, TICK = 0, 1, 2, 9
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+SLOTS, CELLS = 1024, 64
 _WAITING = "at long, id long, kind int, op string, passenger_name string, expires_at long"
 
 
@@ -49,6 +57,10 @@ def micros(c: str | Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def _longs(c: pd.Series) -> list:
+    return [None if gone else int(x) for x, gone in zip(c, c.isna())]
+
+
 def _time(at_micros: pd.Series) -> pd.Series:
     return pd.to_datetime(at_micros.astype("Int64"), unit="us")
 
@@ -64,6 +76,9 @@ class _InOrder(StatefulProcessor):
         self.waiting = handle.getListState("waiting", self.waiting_schema)
         self.settled = handle.getValueState("settled", self.settled_schema)
 
+    def taken(self, pdf):
+        return self.kept(self.read(pdf))
+
     def handleInputRows(self, key, rows, timerValues):
         new = []
         for pdf in rows:
@@ -90,14 +105,104 @@ class _InOrder(StatefulProcessor):
             yield pd.DataFrame(out, columns=list(self.columns)).astype(self.columns)
 
     def _wake_at(self, at, passed):
-        """One timer, at the first millisecond by which ``at`` has passed."""
+        _wake_at(self.handle, list(self.handle.listTimers()), at, passed)
+
+    def close(self) -> None:
+        pass
+
+
+def _wake_at(handle, timers, at, passed):
+    """One timer, at the first millisecond by which ``at`` has passed."""
+    wanted = None if at is None else max(-(-at // 1000), passed // 1000 + 1)
+    for t in timers:
+        if t != wanted:
+            handle.deleteTimer(t)
+    if wanted is not None and wanted not in timers:
+        handle.registerTimer(wanted)
+
+
+class _Slot(StatefulProcessor):
+    """The keys of a slot, each by the rules of ``own`` (an ``_InOrder``)."""
+
+    def __init__(self, own: _InOrder, key: str):
+        self.own, self.key = own, key
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "rows binary")    # [(key, row)], a batch's rows in one
+        self.settled = handle.getMapState("settled", "cell int", "rows binary")    # {key: settled row}
+        self.due = handle.getMapState("due", "cell int", "at long")     # when a settled row of a cell next moves
+
+    def handleInputRows(self, key, rows, timerValues):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        by_key = {}
+        for pdf in rows:
+            for k, row in zip(pdf[self.key], self.own.read(pdf)):
+                by_key.setdefault(k, []).append(row)
+        new = [(k, row) for k, read in by_key.items() for row in self.own.kept(read)]
+        if not new:
+            return
         timers = list(self.handle.listTimers())
-        wanted = None if at is None else max(-(-at // 1000), passed // 1000 + 1)
-        for t in timers:
-            if t != wanted:
-                self.handle.deleteTimer(t)
-        if wanted is not None and wanted not in timers:
-            self.handle.registerTimer(wanted)
+        first = min([row[0] for _, row in new] + [t * 1000 for t in timers])
+        if first <= passed:         # a timer that is due would be put off by its renewal
+            yield from self._settle(passed, new)
+        else:
+            self.waiting.appendValue((pickle.dumps(new),))
+            _wake_at(self.handle, timers, first, passed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._settle(timerValues.getCurrentWatermarkInMs() * 1000, [])
+
+    def _settle(self, passed, new):
+        ripe, rest, held = {}, [], False
+        if self.waiting.exists():
+            held = True
+            new = [w for (rows,) in self.waiting.get() for w in pickle.loads(rows)] + new
+        for w in new:
+            if w[1][0] <= passed:
+                ripe.setdefault(zlib.crc32(w[0].encode()) % CELLS, {}).setdefault(w[0], []).append(w[1])
+            else:
+                rest.append(w)
+        if rest and (ripe or not held):
+            self.waiting.put([(pickle.dumps(rest),)])
+        elif held and not rest:
+            self.waiting.clear()
+        due = {c: at for (c,), (at,) in self.due.iterator()}
+        out = []
+        for cell in sorted(ripe.keys() | {c for c, at in due.items() if at <= passed}):
+            out += self._settle_cell(cell, ripe.get(cell, {}), due, passed)
+        _wake_at(self.handle, list(self.handle.listTimers()),
+                 min([row[0] for _, row in rest] + list(due.values()), default=None), passed)
+        if out:
+            yield pd.DataFrame(out, columns=list(self.own.columns)).astype(self.own.columns)
+
+    def _settle_cell(self, cell, ripe, due, passed):
+        stored = self.settled.getValue((cell,))
+        settled = {} if stored is None else pickle.loads(stored[0])
+        late = due.get(cell)
+        out, moved = [], False
+        for k in list(settled.keys() | ripe.keys()) if late is not None and late <= passed else list(ripe):
+            before = settled.get(k)
+            found, after = self.own.advance((k,), before, sorted(ripe.get(k, ()), key=lambda w: w[:3]), passed)
+            out += found
+            if after != before:
+                moved = True
+                if after is None:
+                    del settled[k]
+                else:
+                    settled[k] = after
+        if moved and settled:
+            self.settled.updateValue((cell,), (pickle.dumps(settled),))
+        elif moved:
+            self.settled.removeKey((cell,))
+        at = min((t for t in (self.own.next_time(s, []) for s in settled.values()) if t is not None), default=None)
+        if at is None:
+            if due.pop(cell, None) is not None:
+                self.due.removeKey((cell,))
+        elif at != late:
+            self.due.updateValue((cell,), (at,))
+            due[cell] = at
+        return out
 
     def close(self) -> None:
         pass
@@ -114,9 +219,12 @@ class LiveValidation(_InOrder):
                "passenger_name": "object", "expires_at": "Int64"}
     result = "request_id long, ticket_id string, at long, status string, passenger_name string, expires_at long"
 
-    def taken(self, pdf):
-        return [(int(a), int(i), int(k), o, n, None if pd.isna(e) else int(e)) for a, i, k, o, n, e in zip(
-            pdf["at_us"], pdf["id"], pdf["kind"], pdf["op"], pdf["passenger_name"], pdf["expires_at"]) if k != TICK]
+    def read(self, pdf):
+        return [(int(a), int(i), int(k), o, n, e) for a, i, k, o, n, e in zip(
+            pdf["at_us"], pdf["id"], pdf["kind"], pdf["op"], pdf["passenger_name"], _longs(pdf["expires_at"]))]
+
+    def kept(self, rows):
+        return [r for r in rows if r[2] != TICK]
 
     def advance(self, key, last, ripe, passed):
         out = []
@@ -161,18 +269,23 @@ ROWS = ("ticket string, at timestamp, at_us long, id long, kind int, op string,
         "expires_at long")
 
 
-def keyed(source: DataFrame, key: str, processor: Callable[[], _InOrder], delay: str) -> DataFrame:
-    """``source`` (with the event time ``at``) through a processor, by key."""
+def keyed(source: DataFrame, key: str, processor: Callable[[], _InOrder], delay: str, slots: int = SLOTS) -> DataFrame:
+    """``source`` (with the event time ``at``) through a processor, by key, the
+    keys sharing ``slots`` groups (0: none)."""
     p = processor()
-    return (source.withWatermark("at", delay).groupBy(key)
-            .transformWithStateInPandas(p, p.result, "Append", "EventTime"))
+    rows = source.withWatermark("at", delay)
+    if not slots:
+        return rows.groupBy(key).transformWithStateInPandas(p, p.result, "Append", "EventTime")
+    slot = F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+    return (rows.withColumn("slot", slot).groupBy("slot")
+            .transformWithStateInPandas(_Slot(p, key), p.result, "Append", "EventTime"))
 
 
-def live_validation(source: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def live_validation(source: DataFrame, delay: str = "10 minutes", slots: int = SLOTS) -> DataFrame:
     """L5 as a stream of ``ROWS`` (records and requests): one row for each
     request, when its time has passed. The status is that of
     ``tickets.validate_log`` over the same rows."""
-    v = keyed(source, "ticket", LiveValidation, delay)
+    v = keyed(source, "ticket", LiveValidation, delay, slots)
     ntz = "timestamp_ntz"
     return v.select("request_id", "ticket_id", F.timestamp_micros("at").cast(ntz).alias("ts"), "status",
                     "passenger_name", F.timestamp_micros("expires_at").cast(ntz).alias("expires_at"))
@@ -189,7 +302,7 @@ class Expiry(_InOrder):
     result = "op string, ticket_id string, expired_at long"
     keep_us = 0
 
-    taken = LiveValidation.taken
+    read, kept = LiveValidation.read, LiveValidation.kept
 
     def advance(self, key, last, ripe, passed):
         out = []
@@ -218,7 +331,8 @@ class Expiry(_InOrder):
         return min(times, default=None)
 
 
-def expiries(source: DataFrame, delay: str = "10 minutes", keep_tombstones_us: int = 0) -> DataFrame:
+def expiries(source: DataFrame, delay: str = "10 minutes", keep_tombstones_us: int = 0,
+             slots: int = SLOTS) -> DataFrame:
     """L4 as a stream of ``ROWS``: (op, ticket_id, expired_at), one DELETE
     for each CREATE that is still the ticket's last record when its expiry
     passes (``expires_at`` strictly before the watermark or the next record).
@@ -227,7 +341,7 @@ def expiries(source: DataFrame, delay: str = "10 minutes", keep_tombstones_us: i
     class Own(Expiry):
         keep_us = int(keep_tombstones_us)
 
-    e = keyed(source, "ticket", Own, delay)
+    e = keyed(source, "ticket", Own, delay, slots)
     return e.select("op", "ticket_id", F.timestamp_micros("expired_at").cast("timestamp_ntz").alias("expired_at"))
 
 
@@ -243,9 +357,11 @@ class FirstWins(_InOrder):
     result = "order_uuid string, username string, item_name string, quantity int, at long"
     forget_us: int | None = None
 
-    def taken(self, pdf):
-        rows = [(int(a), int(i), RECORD, u, n, None if pd.isna(q) else int(q)) for a, i, u, n, q in zip(
-            pdf["at_us"], pdf["id"], pdf["username"], pdf["item_name"], pdf["quantity"])]
+    def read(self, pdf):
+        return [(int(a), int(i), RECORD, u, n, q) for a, i, u, n, q in zip(
+            pdf["at_us"], pdf["id"], pdf["username"], pdf["item_name"], _longs(pdf["quantity"]))]
+
+    def kept(self, rows):
         return rows if self.forget_us is not None or not rows else [min(rows, key=lambda r: r[:2])]
 
     def advance(self, key, last, ripe, passed):
@@ -267,7 +383,8 @@ class FirstWins(_InOrder):
         return min(times, default=None)
 
 
-def first_wins(source: DataFrame, delay: str = "10 minutes", forget_us: int | None = None) -> DataFrame:
+def first_wins(source: DataFrame, delay: str = "10 minutes", forget_us: int | None = None,
+               slots: int = SLOTS) -> DataFrame:
     """W1 option B over messages (value, at, id): the first accepted message
     per order id by (at, id), with no target table to probe. ``forget_us`` bounds
     the state: an id seen again later than that is a new order."""
@@ -277,8 +394,8 @@ def first_wins(source: DataFrame, delay: str = "10 minutes", forget_us: int | No
     Own.forget_us = forget_us
     good = (decode(source, ["at", "id"]).where(F.col("reject_reason").isNull() & F.col("order_uuid").isNotNull())
             .select("order_uuid", "at", micros("at").alias("at_us"), "id", "username", "item_name", "quantity"))
-    return keyed(good, "order_uuid", Own, delay).select("order_uuid", "username", "item_name", "quantity",
-                                                        F.timestamp_micros("at").cast("timestamp_ntz").alias("at"))
+    return keyed(good, "order_uuid", Own, delay, slots).select(
+        "order_uuid", "username", "item_name", "quantity", F.timestamp_micros("at").cast("timestamp_ntz").alias("at"))
 
 
 # ---------------------------------------------------------------- running

@@ -1,0 +1,190 @@
+"""Keys that share a slot: the same rows as the row-by-row models for any split
+into micro-batches, nothing put off, few visits to the state, files by rows."""
+
+import datetime as dt
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from lakeops.plans.queries import keyed_streams
+from lakeops.streaming import keyed
+
+from .test_keyed import COLUMNS, MS, Handle, Held, Now, model_expiry, model_validation, plain, ticket_rows
+
+
+class Kept(Held):
+    def appendValue(self, v):
+        self.value = (self.value or []) + [v]
+
+
+class Map:
+    def __init__(self, count):
+        self.count, self.of = count, {}
+
+    def getValue(self, k):
+        self.count()
+        return self.of.get(k)
+
+    def updateValue(self, k, v):
+        self.count()
+        self.of[k] = v
+
+    def removeKey(self, k):
+        self.count()
+        self.of.pop(k)
+
+    def iterator(self):
+        self.count()
+        return iter(list(self.of.items()))
+
+
+class SlotHandle(Handle):
+    """The state of one slot; ``calls`` counts the visits to its maps."""
+
+    def __init__(self):
+        super().__init__()
+        self.calls = 0
+
+    def count(self):
+        self.calls += 1
+
+    def getListState(self, *a):
+        return Kept()
+
+    def getMapState(self, *a):
+        return Map(self.count)
+
+
+def slot_of(own, key="ticket"):
+    p, h = keyed._Slot(own, key), SlotHandle()
+    p.init(h)
+    return p, h
+
+
+def drive_slot(own, rows, delay_ms, rng, columns):
+    """As ``drive`` of the single keys, all keys in one slot."""
+    p, h = slot_of(own)
+    rows = sorted(rows, key=lambda r: r["at_us"] + rng.randrange(delay_ms * MS))
+    out, seen, watermark = [], 0, 0
+
+    def taken(frames):
+        for f in frames:
+            out.extend(f.itertuples(index=False))
+
+    def fire(mark):
+        for t in sorted(t for t in h.timers if t <= mark):
+            if t in h.timers:
+                h.deleteTimer(t)
+                taken(p.handleExpiredTimer((0,), Now(mark), None))
+
+    while rows:
+        n = rng.randint(1, 9)
+        batch, rows = rows[:n], rows[n:]
+        pdf = pd.DataFrame(batch, columns=columns)
+        cut = rng.randrange(len(pdf) + 1)
+        taken(p.handleInputRows((0,), iter([f for f in (pdf[:cut], pdf[cut:]) if len(f)]), Now(watermark)))
+        fire(watermark)
+        seen = max(seen, *(r["at_us"] for r in batch))
+        if rng.random() < 0.6:
+            watermark = max(watermark, seen // MS - delay_ms - 1)
+            if rng.random() < 0.5:      # else the next rows come with the new watermark
+                fire(watermark)
+    fire(10 ** 12)
+    fire(10 ** 12 + 1)
+    return out, p, h
+
+
+def many_tickets(rng, n):
+    return [{**r, "ticket": rng.choice(["a", "b", "c", "", "ü", *map(str, range(9))])} for r in ticket_rows(rng, n)]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_any_split_gives_the_same_for_shared_slots(seed, monkeypatch):
+    monkeypatch.setattr(keyed, "CELLS", [1, 3, 64][seed % 3])
+    rng = random.Random(seed)
+    rows = many_tickets(rng, 150)
+    out, p, _ = drive_slot(keyed.LiveValidation(), rows, 300, rng, COLUMNS)
+    assert plain(out) == plain(model_validation(rows))
+    assert p.waiting.value is None and not p.due.of
+    out, p, h = drive_slot(keyed.Expiry(), [r for r in rows if r["kind"] == 0], 300, rng, COLUMNS)
+    assert plain(out) == plain(model_expiry(rows))
+    assert not h.timers and p.waiting.value is None and not p.due.of
+    left = [s for (v,) in p.settled.of.values() for s in keyed.pickle.loads(v).values()]
+    assert all(s[0] == "CREATE" and s[2] is None for s in left)
+
+
+@pytest.mark.parametrize("forget", [None, 250_000])
+def test_first_records_of_shared_slots(forget):
+    class Own(keyed.FirstWins):
+        forget_us = forget
+
+    columns = ["ticket", "at_us", "id", "username", "item_name", "quantity"]
+    for seed in range(8):
+        rng = random.Random(seed)
+        rows = [dict(zip(columns, (rng.choice("abcdefgh"), rng.randrange(1, 900) * 1000 + 10 ** 6, i, f"u{i}", "x",
+                                   rng.choice([None, i])))) for i in range(120)]
+        out, p, _ = drive_slot(Own(), rows, 200, rng, columns)
+        want, last = [], {}
+        for r in sorted(rows, key=lambda r: (r["at_us"], r["id"])):
+            k = r["ticket"]
+            if k not in last or forget is not None and last[k] + forget < r["at_us"]:
+                want.append((k, r["username"], "x", r["quantity"], r["at_us"]))
+                last[k] = r["at_us"]
+        assert plain(out) == plain(want)
+        assert bool(p.settled.of) == (forget is None)
+
+
+def asked(keys, at_us):
+    return pd.DataFrame([(k, at_us, i, keyed.REQUEST, None, None, None) for i, k in enumerate(keys)], columns=COLUMNS)
+
+
+def test_rows_in_every_batch_put_nothing_off():
+    p, _ = slot_of(keyed.LiveValidation())
+    found = []
+    for batch in range(1, 6):
+        at = batch * 10 ** 6
+        for f in p.handleInputRows((0,), iter([asked("ab", at)]), Now((at - 10 ** 6) // MS)):
+            found += list(f["at"])
+        assert found == [b * 10 ** 6 for b in range(1, batch) for _ in "ab"]
+
+
+def test_visits_to_the_state_do_not_grow_with_the_keys():
+    calls = []
+    for n in (1_000, 4_000):
+        p, h = slot_of(keyed.FirstWins(), "order_uuid")
+        pdf = pd.DataFrame([(f"o{i}", 10 ** 6, i, "u", "x", 1) for i in range(n)],
+                           columns=["order_uuid", "at_us", "id", "username", "item_name", "quantity"])
+        assert not list(p.handleInputRows((0,), iter([pdf]), Now(0)))
+        assert sum(len(f) for f in p.handleExpiredTimer((0,), Now(2000), None)) == n
+        calls.append(h.calls)
+    assert calls[0] == calls[1] <= 3 * keyed.CELLS + 1
+
+
+def test_a_stream_of_many_keys_has_as_many_states_as_slots(spark, tmp):
+    at = dt.datetime(2024, 1, 1, 1)
+    rows = spark.range(300).select(F.concat(F.lit("t"), "id").alias("ticket"), F.lit(at).alias("at"),
+                                   F.lit(10 ** 6).alias("at_us"), "id", F.lit(keyed.REQUEST).alias("kind"),
+                                   F.lit(None).cast("string").alias("op"), F.lit(None).cast("string").alias("passenger_name"),
+                                   F.lit(None).cast("long").alias("expires_at"))
+    rows.write.parquet(tmp + "/in")
+    source = spark.readStream.schema(rows.schema).parquet(tmp + "/in")
+    q = keyed.start(keyed.live_validation(source, "1 hour", slots=5), tmp + "/out", tmp + "/ck", {"availableNow": True})
+    q.awaitTermination(180)
+    assert q.exception() is None
+    assert max(int(o["numRowsTotal"]) for p in q.recentProgress for o in p["stateOperators"]) == 5
+
+
+def test_a_portion_has_files_by_its_rows(spark, tmp, monkeypatch):
+    """About FILE_ROWS rows a file, dealt in turn by each task."""
+    monkeypatch.setattr(keyed_streams, "FILE_ROWS", 10)
+    monkeypatch.setattr(keyed_streams, "run_dir", lambda *a: tmp)
+    rows = spark.range(180).select(F.lit("t").alias("ticket"), F.timestamp_seconds(F.col("id") + 1_704_067_200).alias("at"),
+                                   ((F.col("id") + 1_704_067_200) * 1_000_000).alias("at_us"), "id",
+                                   F.lit(keyed.REQUEST).alias("kind"), F.lit(None).cast("string").alias("op"),
+                                   F.lit(None).cast("string").alias("passenger_name"), F.lit(None).cast("long").alias("expires_at"))
+    got = keyed_streams.run_stream(spark, "few", rows, keyed.live_validation, keyed_streams._TICK)
+    assert got.count() == 180
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp}/in").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 3 * 6 + 1 and sum(sizes) == 181 and max(sizes) < 20

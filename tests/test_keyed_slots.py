@@ -188,3 +188,19 @@ def test_a_portion_has_files_by_its_rows(spark, tmp, monkeypatch):
     assert got.count() == 180
     sizes = [r["count"] for r in spark.read.parquet(f"{tmp}/in").groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 3 * 6 + 1 and sum(sizes) == 181 and max(sizes) < 20
+
+
+def test_expiries_of_many_tickets_take_as_many_visits():
+    calls = []
+    for n in (1_000, 4_000):
+        p, h = slot_of(keyed.Expiry())
+        pdf = pd.DataFrame([(f"t{i}", 10 ** 6, i, keyed.RECORD, "CREATE", "p", 5 * 10 ** 6 + i) for i in range(n)],
+                           columns=COLUMNS)
+        assert not list(p.handleInputRows((0,), iter([pdf]), Now(0)))
+        h.timers.clear()
+        assert not list(p.handleExpiredTimer((0,), Now(2000), None)) and h.timers == {5001}
+        h.timers.clear()
+        assert sum(len(f) for f in p.handleExpiredTimer((0,), Now(6000), None)) == n
+        assert not p.settled.of and not p.due.of
+        calls.append(h.calls)
+    assert calls[0] == calls[1]

@@ -204,3 +204,16 @@ def test_expiries_of_many_tickets_take_as_many_visits():
         assert not p.settled.of and not p.due.of
         calls.append(h.calls)
     assert calls[0] == calls[1]
+
+
+def test_requests_of_many_tickets_take_as_many_visits():
+    calls = []
+    for n in (1_000, 4_000):
+        p, h = slot_of(keyed.LiveValidation())
+        made = pd.DataFrame([(f"t{i}", 10 ** 6, i, keyed.RECORD, "CREATE", "p", 10 ** 9) for i in range(n)], columns=COLUMNS)
+        frames = iter([made, asked([f"t{i}" for i in range(n)], 2 * 10 ** 6)])
+        assert not list(p.handleInputRows((0,), frames, Now(0)))
+        found = pd.concat(p.handleExpiredTimer((0,), Now(3000), None))
+        assert len(found) == n and set(found["status"]) == {"valid"}
+        calls.append(h.calls)
+    assert calls[0] == calls[1]
